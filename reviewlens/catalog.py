@@ -35,7 +35,7 @@ def whole(column: Column) -> Column:
 def elements(df: DataFrame, keys: list[str], vector: str, digits: int = DIGITS) -> DataFrame:
     """One row per vector element."""
     return df.select(*keys, F.posexplode(vector).alias("pos", "value")).select(
-        *keys, "pos", F.round(F.col("value").cast("double"), digits).alias("value")
+        *keys, whole(F.col("pos")).alias("pos"), F.round(F.col("value").cast("double"), digits).alias("value")
     )
 
 
@@ -117,7 +117,7 @@ def _titled_parts(spark, d):
     """Part names dressed up as titles, with symbols, numbers and numerals."""
     return A.table(spark, d, "part").selectExpr(
         "p_partkey",
-        "CASE p_partkey % 5 WHEN 0 THEN concat(initcap(p_name), '™: Part ', p_size) "
+        "CASE p_partkey % 5 WHEN 0 THEN concat(upper(p_name), '™: Part ', p_size) "
         "WHEN 1 THEN concat(p_name, ' ', CASE p_size % 4 WHEN 0 THEN 'VII' WHEN 1 THEN 'iv' "
         "WHEN 2 THEN 'Mix' ELSE 'IIII' END) "
         "WHEN 2 THEN concat(p_name, '*', p_type, ' (R) GOTY') "
@@ -447,14 +447,14 @@ def tfidf(spark, d):
 def tfidf_diff_pos(spark, d):
     rated = completion.rated_rows(A.text_reviews(spark, d))
     terms = studies.distinctive_terms(rated, 1.0, 10, minimum=10)
-    return rounded(terms, "score", digits=4).withColumn("rank", whole(F.col("rank")))
+    return terms.withColumn("rank", whole(F.col("rank")))
 
 
 @query
 def tfidf_diff_neg(spark, d):
     rated = completion.rated_rows(A.text_reviews(spark, d))
     terms = studies.distinctive_terms(rated, 0.0, 20, minimum=10)
-    return rounded(terms, "score", digits=4).withColumn("rank", whole(F.col("rank")))
+    return terms.withColumn("rank", whole(F.col("rank")))
 
 
 @query
@@ -492,13 +492,14 @@ def cluster_shares(spark, d):
 @query
 def cluster_terms(spark, d):
     rows = themes.cluster_terms(A.clustered_members(spark, d), ["app_id", "sentiment"], "vec_id")
-    return rounded(rows, "score").withColumn("cluster", whole(F.col("cluster")))
+    return rows.withColumn("cluster", whole(F.col("cluster")))
 
 
 @query
 def describe_clusters(spark, d):
     rows = themes.cluster_terms(A.clustered_members(spark, d), ["app_id", "sentiment"], "vec_id")
-    return themes.describe_clusters(rows, ["app_id", "sentiment"])
+    labels = themes.describe_clusters(rows, ["app_id", "sentiment"])
+    return labels.withColumn("cluster", whole(F.col("cluster")))
 
 
 @query
@@ -546,7 +547,7 @@ def rank_items(spark, d):
     best = recommend.rank_items(items, clusters, wanted, min_rate=SEARCH_RATE)
     best = best.select("rank", "app_id", "app_name", "recommendation_rate", "wanted_similarity",
                        "match_pct", "positive_review", "negative_review")
-    return rounded(best, "recommendation_rate", "wanted_similarity", "match_pct").withColumn("rank", whole(F.col("rank")))
+    return rounded(best, "recommendation_rate").withColumn("rank", whole(F.col("rank")))
 
 
 @query
@@ -554,7 +555,7 @@ def rank_items_avoid(spark, d):
     items, clusters, wanted, avoid = _search(spark, d)
     best = recommend.rank_items(items, clusters, wanted, avoid, min_rate=SEARCH_RATE)
     best = best.select("rank", "app_id", "wanted_similarity", "avoid_similarity", "rank_score")
-    return rounded(best, "wanted_similarity", "avoid_similarity", "rank_score").withColumn("rank", whole(F.col("rank")))
+    return rounded(best, "rank_score").withColumn("rank", whole(F.col("rank")))
 
 
 @query
@@ -667,8 +668,7 @@ def item_profile_study(spark, d):
 def item_search(spark, d):
     items, clusters, wanted, avoid = _search(spark, d)
     rows = studies.item_search(items, clusters, wanted, avoid, SEARCH_RATE, 3)
-    rows = rows.select("app_id", "app_name", whole(F.col("rank")).alias("rank"), "match_pct", "positive_review")
-    return rounded(rows, "match_pct")
+    return rows.select("app_id", "app_name", whole(F.col("rank")).alias("rank"), "match_pct", "positive_review")
 
 
 @query
