@@ -100,17 +100,20 @@ def cohort_flags(spark, d):
     )
 
 
+def _clean_docs(spark, d):
+    docs = A.table(spark, d, "documents").filter(clean.has_words("text"))
+    return docs.select("doc_id", clean.clean_text("text").alias("text"))
+
+
 @query
 def clean_text(spark, d):
-    docs = A.table(spark, d, "documents").select("doc_id", clean.clean_text("text").alias("text"))
-    return clean.drop_empty_text(docs, "text")
+    return _clean_docs(spark, d)
 
 
 @query
 def theme_flags(spark, d):
-    docs = A.table(spark, d, "documents").select("doc_id", clean.clean_text("text").alias("text"))
     lists = {"first_theme": A.THEME_ONE, "second_theme": A.THEME_TWO}
-    return completion.theme_flags(clean.drop_empty_text(docs, "text"), lists).drop("text")
+    return completion.theme_flags(_clean_docs(spark, d), lists).drop("text")
 
 
 def _titled_parts(spark, d):
@@ -438,9 +441,7 @@ def _side_docs(spark, d, rating, seed):
 
 @query
 def tfidf(spark, d):
-    docs = A.table(spark, d, "documents").select("doc_id", clean.clean_text("text").alias("text"))
-    docs = clean.drop_empty_text(docs, "text")
-    return rounded(text.tfidf(docs, "doc_id", text.clean_tokens("text")), "weight")
+    return rounded(text.tfidf(_clean_docs(spark, d), "doc_id", text.clean_tokens("text")), "weight")
 
 
 @query

@@ -11,6 +11,7 @@ from reviewlens import constants as K
 # every character that counts as white space in Unicode, spelled out so that
 # all regex engines agree
 SPACE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
+SPACES = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 
@@ -21,7 +22,7 @@ def _col(column) -> Column:
 
 def strip(column) -> Column:
     """Remove white space of any kind at both ends."""
-    return F.regexp_replace(_col(column), f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(_col(column), F.lit(SPACES))
 
 
 def collapse_spaces(column) -> Column:
@@ -100,12 +101,13 @@ def clean_text(column, max_chars: int | None = None) -> Column:
 
     The whole text is used unless ``max_chars`` sets a cut
     (``constants.REVIEW_CHAR_LIMIT`` is the customary one). Texts without any
-    letter become empty; drop them with ``drop_empty_text``.
+    letter become empty; ``has_words`` tells them beforehand.
     """
     text = F.coalesce(_col(column), F.lit(""))
     if max_chars is not None:
         text = F.substring(text, 1, max_chars)
-    text = F.translate(F.lower(text), "’‘", "''")
+    text = F.replace(F.lower(text), F.lit("’"), F.lit("'"))
+    text = F.replace(text, F.lit("‘"), F.lit("'"))
     spelled = text
     for pattern, words in K.CONTRACTIONS:
         spelled = F.regexp_replace(spelled, f"(?U){pattern}", words)
@@ -113,8 +115,15 @@ def clean_text(column, max_chars: int | None = None) -> Column:
     return F.trim(F.regexp_replace(text, "[^a-z]+", " "))
 
 
-def drop_empty_text(df: DataFrame, name: str) -> DataFrame:
-    return df.filter(F.col(name) != "")
+def has_words(column, max_chars: int | None = None) -> Column:
+    """Would cleaning leave anything? True for texts with a letter of a-z.
+
+    Far cheaper than cleaning, so filters use it on the raw text.
+    """
+    text = F.coalesce(_col(column), F.lit(""))
+    if max_chars is not None:
+        text = F.substring(text, 1, max_chars)
+    return F.lower(text).rlike("[a-z]")
 
 
 def keyword_pattern(words) -> str:

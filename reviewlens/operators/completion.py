@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewlens import constants as K
 from reviewlens.functions.clean import (
-    clean_id, clean_text, completion_pct, mentions, minutes_to_hours, numeric, rating_value,
+    clean_id, clean_text, completion_pct, has_words, mentions, minutes_to_hours, numeric, rating_value,
 )
 from reviewlens.operators.sampling import cap_per_group, dedupe
 from reviewlens.sources.tables import require_columns
@@ -114,13 +114,10 @@ def theme_balance(
     plain = df.withColumnRenamed(playtime, "_minutes")
     hours = minutes_to_hours(numeric(plain, "_minutes"))
     # the text is cleaned once per row, before both searches read it
-    cells = (
-        plain.select(
-            clean_text("review", max_chars).alias("text"),
-            playtime_group(hours).alias("playtime_group"),
-            completion_group().alias("completion_group"),
-        )
-        .filter((F.col("text") != "") & F.col("playtime_group").isNotNull())
+    cells = plain.filter(has_words("review", max_chars) & playtime_group(hours).isNotNull()).select(
+        clean_text("review", max_chars).alias("text"),
+        playtime_group(hours).alias("playtime_group"),
+        completion_group().alias("completion_group"),
     )
     share = {
         name: F.avg(F.col(name).cast("int")) * 100 for name in ("first_theme", "second_theme")

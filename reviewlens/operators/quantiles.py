@@ -26,7 +26,9 @@ def value_counts_numeric(df: DataFrame, value: str, by: Sequence[str] = ()) -> D
 
 
 def _bucket(value: Column) -> Column:
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * BUCKETS_PER_UNIT)
+    place = F.floor(F.signum(value) * F.log1p(F.abs(value)) * BUCKETS_PER_UNIT)
+    # never null, so that no filter of its own keeps the counts from being reused
+    return F.coalesce(place, F.lit(0))
 
 
 def exact_quantiles(

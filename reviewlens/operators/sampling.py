@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reviewlens import constants as K
+from reviewlens.session import materialize
 
 SALTS = 32
 PREFIX_CHARS = 4
@@ -91,6 +92,25 @@ def dedupe(
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
+def _prefix() -> Column:
+    return F.substring("_priority", 1, PREFIX_CHARS)
+
+
+def _prefix_counts(hashed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rows up to each hash prefix, at most 16 ** PREFIX_CHARS of them per group."""
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    running = group.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = hashed.groupBy(*by, _prefix().alias("_prefix")).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.withColumn("_seen", F.sum("_n").over(running))
+
+
+def _cutoff(n: int, condition: Column | None = None) -> Column:
+    """First prefix that covers n rows; one past all prefixes when there are fewer."""
+    enough = F.col("_seen") >= n
+    covered = F.when(enough if condition is None else enough & condition, F.col("_prefix"))
+    return F.coalesce(F.min(covered), F.lit("g"))
+
+
 def sample_n(df: DataFrame, keys: Sequence[str], n: int, seed: int = K.SEED) -> DataFrame:
     """Exactly ``min(n, rows)`` rows with the lowest priorities, as ``_priority``.
 
@@ -99,54 +119,51 @@ def sample_n(df: DataFrame, keys: Sequence[str], n: int, seed: int = K.SEED) ->
     the final merge handles about ``n`` rows however large the table is.
     """
     hashed = df.withColumn("_priority", priority(keys, seed))
-    prefix = F.substring("_priority", 1, PREFIX_CHARS)
-    # at most 16 ** PREFIX_CHARS rows reach this window
-    running = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cutoff = (
-        hashed.groupBy(prefix.alias("_prefix"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_seen", F.sum("_n").over(running))
-        .agg(F.coalesce(F.min(F.when(F.col("_seen") >= n, F.col("_prefix"))), F.lit("g")))
-        .scalar()
-    )
-    return hashed.filter(prefix <= cutoff).orderBy("_priority", *keys).limit(n)
+    cutoff = _prefix_counts(hashed).agg(_cutoff(n)).scalar()
+    return hashed.filter(_prefix() <= cutoff).orderBy("_priority", *keys).limit(n)
 
 
 def select_users(
     users: DataFrame, states: DataFrame, user: str = "rater_id",
-    n: int = K.PUBLIC_USERS, seed: int = K.SEED, check: bool = True,
+    n: int = K.PUBLIC_USERS, seed: int = K.SEED,
 ) -> DataFrame:
     """``n`` random users with a public profile; fails when there are fewer."""
     from reviewlens.operators.joins import with_visibility
 
     visible = with_visibility(users.select(user).dropna().distinct(), states, user)
-    chosen = sample_n(visible.filter(F.col("state") == K.PUBLIC_STATE), [user], n, seed)
-    chosen = chosen.select(user)
-    if check:
-        found = chosen.count()
-        if found < n:
-            raise RuntimeError(f"Only {found:,} public users were found")
+    visible = visible.filter(F.col("state") == K.PUBLIC_STATE)
+    chosen = materialize(sample_n(visible, [user], n, seed).select(user))
+    found = chosen.count()
+    if found < n:
+        raise RuntimeError(f"Only {found:,} public users were found")
     return chosen
 
 
 def balanced_sample(
-    low: DataFrame, high: DataFrame, key: str,
+    df: DataFrame, key: str, side: str = "side",
     limit: int = K.TEXT_SAMPLE_LIMIT, minimum: int = K.MIN_TEXTS_PER_SIDE, seed: int = K.SEED,
 ) -> DataFrame:
-    """Equally large random samples of two sides, labelled in ``side``."""
-    picked = sample_n(low, [key], limit, seed).select("*", F.lit("low").alias("side")).unionByName(
-        sample_n(high, [key], limit, seed + 1).select("*", F.lit("high").alias("side"))
-    )
-    # each side holds at most ``limit`` rows from here on
-    order = Window.partitionBy("side").orderBy("_priority", key)
-    ranked = picked.withColumn("_rank", F.row_number().over(order))
-    sides = ranked.agg(
-        F.least(F.count_if(F.col("side") == "low"), F.count_if(F.col("side") == "high")).alias("n")
+    """Equally large random samples of the rows marked ``low`` and ``high``.
+
+    One pass over the keys yields the size of both sides and the hash prefixes
+    to look below; only about ``limit`` rows per side are then ranked.
+    """
+    low = F.col(side) == "low"
+    side_seed = F.when(low, str(seed)).otherwise(str(seed + 1))
+    hashed = df.withColumn("_priority", F.md5(F.concat_ws("|", F.col(key).cast("string"), side_seed)))
+    rows = F.coalesce(F.max(F.when(low, F.col("_seen"))), F.lit(0)), F.coalesce(
+        F.max(F.when(~low, F.col("_seen"))), F.lit(0)
     )
-    size = sides.select(
-        F.when(
-            F.col("n") < minimum,
-            F.raise_error(F.lit(f"Both sides need at least {minimum} usable reviews")).cast("long"),
-        ).otherwise(F.col("n"))
+    size = F.least(*rows, F.lit(limit))
+    too_few = F.raise_error(F.lit(f"Both sides need at least {minimum} usable reviews")).cast("long")
+    plan = _prefix_counts(hashed, [side]).agg(
+        F.struct(
+            F.when(size >= minimum, size).otherwise(too_few).alias("size"),
+            _cutoff(limit, low).alias("low"), _cutoff(limit, ~low).alias("high"),
+        )
     ).scalar()
-    return ranked.filter(F.col("_rank") <= size).drop("_rank", "_priority")
+    near = hashed.filter(_prefix() <= F.when(low, plan.getField("low")).otherwise(plan.getField("high")))
+    ranked = near.withColumn(
+        "_rank", F.row_number().over(Window.partitionBy(side).orderBy("_priority", key))
+    )
+    return ranked.filter(F.col("_rank") <= plan.getField("size")).drop("_rank", "_priority")

@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewlens import constants as K
-from reviewlens.functions.clean import clean_id, clean_text, item_matches, parse_boolean, strip
+from reviewlens.functions.clean import clean_id, clean_text, has_words, item_matches, parse_boolean, strip
 from reviewlens.operators import cohorts, completion, consensus, critics, joins, recommend, sampling, text, themes
 from reviewlens.session import materialize
 
@@ -45,7 +45,8 @@ def enrichment(
     typed = typed.dropna(subset=[user, "review_id", "app_id"])
     known = states.withColumn(user, clean_id(user))
     chosen = sampling.select_users(typed, known, user, users, seed)
-    public = joins.rows_of(typed, chosen, user)
+    # the choice holds exactly ``users`` short ids
+    public = joins.rows_of(typed, F.broadcast(chosen) if users <= 1_000_000 else chosen, user)
     results = joins.classify_responses(responses)
     return joins.enrich_reviews(public, results, order)
 
@@ -53,15 +54,18 @@ def enrichment(
 def text_sides(rated: DataFrame, rating: float, seed: int, key: str = "review_id",
                limit: int = K.TEXT_SAMPLE_LIMIT, minimum: int = K.MIN_TEXTS_PER_SIDE,
                max_chars: int | None = None) -> DataFrame:
-    """Equally many cleaned texts of low and of high completion for one rating."""
-    texts = rated.filter(F.col("rating") == rating).select(
-        key, "completion_percentage", clean_text("review", max_chars).alias("text")
-    ).filter(F.col("text") != "")
-    low = texts.filter(F.col("completion_percentage") <= K.LOW_COMPLETION)
-    high = texts.filter(F.col("completion_percentage") >= K.HIGH_COMPLETION)
-    return sampling.balanced_sample(
-        low.select(key, "text"), high.select(key, "text"), key, limit, minimum, K.SEED + seed
+    """Equally many cleaned texts of low and of high completion for one rating.
+
+    Sampling comes first, so only the chosen texts are cleaned.
+    """
+    completed = F.col("completion_percentage")
+    side = F.when(completed <= K.LOW_COMPLETION, "low").when(completed >= K.HIGH_COMPLETION, "high")
+    usable = rated.filter((F.col("rating") == rating) & side.isNotNull()).select(
+        key, "review", side.alias("side")
     )
+    usable = usable.filter(has_words("review", max_chars))
+    chosen = sampling.balanced_sample(usable, key, "side", limit, minimum, K.SEED + seed)
+    return chosen.select(key, "side", clean_text("review", max_chars).alias("text"))
 
 
 def distinctive_terms(rated: DataFrame, rating: float, seed: int, key: str = "review_id", **options) -> DataFrame:
