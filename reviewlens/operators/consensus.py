@@ -24,17 +24,27 @@ def consensus(df: DataFrame, min_reviews: int = K.MIN_ITEM_REVIEWS) -> DataFrame
     )
 
 
-def item_counts(df: DataFrame, order: str = "review_id") -> DataFrame:
-    """Ratings per item and the first known name; every rated row counts."""
-    liked = boolean(df, "recommended", "basic")
-    named = F.when(F.col("app_name").isNotNull(), F.col(order))
+def name_counts(df: DataFrame, order: str = "review_id") -> DataFrame:
+    """Ratings per item and name. Plain counters, so Spark can aggregate by hashing."""
     return (
-        df.withColumn("_liked", liked.cast("int"))
+        df.withColumn("_liked", boolean(df, "recommended", "basic").cast("int"))
         .dropna(subset=["app_id", "_liked"])
-        .groupBy("app_id")
+        .groupBy("app_id", "app_name")
+        .agg(
+            F.count(F.lit(1)).alias("_ratings"), F.sum("_liked").alias("_liked"),
+            F.min(order).alias("_first"),
+        )
+    )
+
+
+def merge_names(counts: DataFrame) -> DataFrame:
+    """Item table from counts per name; an item takes its first known name, else its id."""
+    named = F.when(F.col("app_name").isNotNull(), F.col("_first"))
+    return (
+        counts.groupBy("app_id")
         .agg(
             F.min_by("app_name", named).alias("app_name"),
-            F.count(F.lit(1)).alias("review_count"),
+            F.sum("_ratings").alias("review_count"),
             F.sum("_liked").alias("positive_reviews"),
         )
         .withColumn("app_name", F.coalesce("app_name", F.col("app_id").cast("string")))
@@ -43,6 +53,11 @@ def item_counts(df: DataFrame, order: str = "review_id") -> DataFrame:
     )
 
 
+def item_counts(df: DataFrame, order: str = "review_id") -> DataFrame:
+    """Ratings per item and the first known name; every rated row counts."""
+    return merge_names(name_counts(df, order))
+
+
 def item_profiles(counts: DataFrame, sample: DataFrame) -> DataFrame:
     """Item table with sample sizes, largest items first."""
     sized = with_sample_counts(counts, pivot_counts(sample))

@@ -59,7 +59,8 @@ def with_row_position(df: DataFrame, order: Sequence[str], name: str = "position
 
     Rows are range-sorted and written once. Their number inside each sorted
     part is then shifted by the sizes of the parts before it; only those part
-    sizes, one row per part, pass through a single window.
+    sizes, one row per shuffle partition, pass through a single window and are
+    broadcast. ``order`` should be unique, which also keeps the parts even.
     """
     placed = F.monotonically_increasing_id()
     rows = materialize(df.orderBy(*order).withColumn("_at", placed))
@@ -74,7 +75,7 @@ def with_row_position(df: DataFrame, order: Sequence[str], name: str = "position
     within = F.col("_at").bitwiseAND((1 << 33) - 1) + 1
     return (
         rows.withColumn("_part", part)
-        .join(starts, "_part")
+        .join(F.broadcast(starts), "_part")
         .withColumn(name, F.col("_start") + within)
         .drop("_part", "_at", "_start")
     )

@@ -17,7 +17,7 @@ from reviewlens.session import materialize
 
 def cohort_study(reviews: DataFrame, playtime: str = "playtime_minutes") -> dict[str, DataFrame]:
     """Shares, lengths, free copies and votes of the three cohorts."""
-    narrow = cohorts.processed(reviews, playtime)
+    narrow = materialize(cohorts.processed(reviews, playtime))
     labelled = cohorts.add_cohort(narrow)
     return {
         "shares": cohorts.cohort_shares(narrow),
@@ -45,8 +45,7 @@ def enrichment(
     typed = typed.dropna(subset=[user, "review_id", "app_id"])
     known = states.withColumn(user, clean_id(user))
     chosen = sampling.select_users(typed, known, user, users, seed)
-    # the choice holds exactly ``users`` short ids
-    public = joins.rows_of(typed, F.broadcast(chosen) if users <= 1_000_000 else chosen, user)
+    public = joins.rows_of(typed, chosen, user)
     results = joins.classify_responses(responses)
     return joins.enrich_reviews(public, results, order)
 

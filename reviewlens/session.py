@@ -35,13 +35,12 @@ def shared_root(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     root = configured or context.getCheckpointDir()
-    if not root:
-        if not context.master.startswith("local"):
-            raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="reviewlens-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(root)
-    return root
+    if root:
+        return root
+    if not context.master.startswith("local"):
+        raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="reviewlens-"))
+    return context.getCheckpointDir()
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -50,6 +49,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write the rows once to the shared folder, so later jobs do not replay the lineage."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows as a table in the shared folder, written once.
+
+    Later jobs read columns from there instead of replaying the lineage, a lost
+    executor costs no recomputation, and joins see the true size of the rows.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reviewlens import constants as K
-from reviewlens.operators.consensus import item_counts
+from reviewlens.operators.consensus import merge_names, name_counts
 from reviewlens.operators.joins import classify_responses, pending
 from reviewlens.operators.sampling import dedupe, dedupe_sample, hash_sample, top_k_per_group
 
@@ -51,13 +51,13 @@ def latest_version(spark: SparkSession, target: str) -> DataFrame:
 
 
 def stream_item_counts(reviews: DataFrame, target: str, order: str = "review_id") -> DataFrame:
-    """Counts per item, kept as streaming state: one row per item, not per review."""
+    """Counts per item; the streaming state holds one row per item and name."""
 
     def handle(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(_version(target, number))
 
-    _run(item_counts(reviews, order), handle, target, "complete")
-    return latest_version(reviews.sparkSession, target)
+    _run(name_counts(reviews, order), handle, target, "complete")
+    return merge_names(latest_version(reviews.sparkSession, target))
 
 
 def stream_hash_sample(
