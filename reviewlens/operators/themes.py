@@ -28,7 +28,8 @@ def encode_text(
     hashes words and weighs them by inverse document frequency.
     """
     if encoder is not None:
-        return df.withColumn(name, unit_vector(encoder(F.col(text))).cast("array<float>"))
+        coded = df.withColumn(name, encoder(F.col(text)))
+        return coded.withColumn(name, unit_vector(name).cast("array<float>"))
     words = df.withColumn("_words", raw_tokens(text))
     counts = HashingTF(numFeatures=size, inputCol="_words", outputCol="_counts").transform(words)
     weighted = IDF(inputCol="_counts", outputCol="_weights").fit(counts).transform(counts)

@@ -31,10 +31,7 @@ def shared_root(spark: SparkSession) -> str:
     Only a local session without that setting gets a temporary folder.
     """
     context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    root = configured or context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root
     if not context.master.startswith("local"):
