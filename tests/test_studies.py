@@ -52,10 +52,27 @@ def test_enrichment_needs_enough_users(spark, sf):
         studies.enrichment(A.plays(spark, sf), A.states(spark, sf), A.responses(spark, sf).withColumn("at", F.lit(1)), ["at"])
 
 
+class Stub:
+    """Just enough of a session to ask where the shared folder is."""
+
+    def __init__(self, configured, master):
+        self.conf = self.sparkContext = self
+        self.configured, self.master, self.set = configured, master, None
+
+    def get(self, name, default=None):
+        return self.configured or default
+
+    def getCheckpointDir(self):
+        return self.set
+
+    def setCheckpointDir(self, path):
+        self.set = path
+
+
 def test_shared_folder_comes_from_the_session(spark):
-    before = shared_root(spark)
-    assert before == (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
-    own = spark.newSession()
-    own.conf.set("spark.checkpoint.dir", "/tmp/reviewlens-set-by-cluster")
-    assert shared_root(own) == "/tmp/reviewlens-set-by-cluster"
-    assert shared_root(spark) == before
+    assert shared_root(Stub("hdfs://shared/folder", "yarn")) == "hdfs://shared/folder"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(Stub(None, "yarn"))
+    local = Stub(None, "local[2]")
+    assert shared_root(local) == shared_root(local) == local.set
+    assert shared_root(spark)
