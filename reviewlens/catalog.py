@@ -202,7 +202,7 @@ def classify_responses(spark, d):
 
 
 @query
-def completion_rows(spark, d):
+def completion_share(spark, d):
     rows = completion.completion_rows(A.text_reviews(spark, d), [F.col("review_id")])
     rows = rounded(rows, "completion_percentage")
     return rows.select("review_id", "app_id", "completion_percentage")

@@ -118,12 +118,13 @@ def clean_text(column, max_chars: int | None = None) -> Column:
 def has_words(column, max_chars: int | None = None) -> Column:
     """Would cleaning leave anything? True for texts with a letter of a-z.
 
-    Far cheaper than cleaning, so filters use it on the raw text.
+    The search stops at the first such letter, so filters use it on raw text.
+    The last two characters of the pattern turn into i and k when lowered.
     """
     text = F.coalesce(_col(column), F.lit(""))
     if max_chars is not None:
         text = F.substring(text, 1, max_chars)
-    return F.lower(text).rlike("[a-z]")
+    return text.rlike("[a-zA-Z\u0130\u212A]")
 
 
 def keyword_pattern(words) -> str:

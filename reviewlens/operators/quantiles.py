@@ -11,7 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKETS_PER_UNIT = 1024
+# buckets per doubling of the value; doubles span fewer than 2 * SPAN doublings
+BUCKETS = 1024
+SPAN = 1100
 
 
 def value_counts_numeric(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -26,9 +28,11 @@ def value_counts_numeric(df: DataFrame, value: str, by: Sequence[str] = ()) -> D
 
 
 def _bucket(value: Column) -> Column:
-    place = F.floor(F.signum(value) * F.log1p(F.abs(value)) * BUCKETS_PER_UNIT)
+    """A whole number that never falls as the value rises, finer near zero."""
+    size = F.abs(value)
+    steps = F.floor(F.when(size == float("inf"), F.lit(float(SPAN))).otherwise(F.log2(size)) * BUCKETS)
     # never null, so that no filter of its own keeps the counts from being reused
-    return F.coalesce(place, F.lit(0))
+    return F.coalesce(F.signum(value).cast("long") * (steps + SPAN * BUCKETS), F.lit(0))
 
 
 def exact_quantiles(

@@ -23,19 +23,21 @@ def priority(keys: Sequence[str], seed: int = K.SEED) -> Column:
 
 
 def top_k_per_group(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, rank: str | None = None
+    df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, rank: str | None = None,
+    salt: Column | None = None,
 ) -> DataFrame:
     """First ``k`` rows of each group in the given total order.
 
     Runs in two rounds so that one huge group is never sorted by one task: the
-    first round ranks inside (group, salt), the salt being the input partition,
-    and Spark's group limit trims each partition before that shuffle. The
-    second round sees at most ``k`` rows per salt.
+    first round ranks inside (group, salt), and Spark's group limit trims each
+    partition before that shuffle. The second round sees at most ``k`` rows per
+    salt. The salt is the input partition; give another one where the input is
+    already partitioned by group.
     """
     first = Window.partitionBy(*by, "_salt").orderBy(*order)
     last = Window.partitionBy(*by).orderBy(*order)
     trimmed = (
-        df.withColumn("_salt", F.spark_partition_id() % SALTS)
+        df.withColumn("_salt", (F.spark_partition_id() if salt is None else salt) % SALTS)
         .withColumn("_rank", F.row_number().over(first))
         .filter(F.col("_rank") <= k)
         .drop("_salt", "_rank")

@@ -44,8 +44,15 @@ def tfidf(
     # shuffle of the far larger term rows
     placed = docs.select(*by, *carry, key, tokens.alias("_tokens")).repartition(key)
     words = placed.withColumn("_words", F.filter("_tokens", lambda word: ~word.isin(list(stop_words))))
+    following = F.slice("_words", 2, F.greatest(F.size("_words") - 1, F.lit(0)))
+    # each word beside its successor; the last one has none, and so no pair
+    pairs = words.select(
+        *by, *carry, key, F.inline(F.arrays_zip(F.col("_words").alias("word"), following.alias("next")))
+    ).toDF(*by, *carry, key, "_word", "_next")
+    terms = F.array("_word", F.concat("_word", F.lit(" "), "_next"))
     counted = (
-        words.select(*by, *carry, key, F.explode(_with_pairs("_words")).alias("term"))
+        pairs.select(*by, *carry, key, F.explode(terms).alias("term"))
+        .filter(F.col("term").isNotNull())
         .groupBy(*by, *carry, key, "term")
         .agg(F.count(F.lit(1)).alias("_tf"))
     )
@@ -58,15 +65,6 @@ def tfidf(
     )
 
 
-def _with_pairs(words: str) -> Column:
-    shifted = F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0)))
-    pairs = F.zip_with(
-        F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), shifted,
-        lambda left, right: F.concat(left, F.lit(" "), right),
-    )
-    return F.concat(F.col(words), pairs)
-
-
 def _vocabulary(docs, counted, by, min_documents, max_share, max_features) -> DataFrame:
     """Kept terms with their weights, per corpus."""
     seen = counted.groupBy(*by, "term").agg(
@@ -83,7 +81,7 @@ def _vocabulary(docs, counted, by, min_documents, max_share, max_features) -> Da
     kept = seen.filter((F.col("_df") >= fewest) & (F.col("_df") <= F.col("_docs") * max_share))
     order = [F.desc("_corpus"), F.col("term")]
     if by:
-        kept = top_k_per_group(kept, by, order, max_features)
+        kept = top_k_per_group(kept, by, order, max_features, salt=F.xxhash64("term"))
     else:
         kept = kept.orderBy(*order).limit(max_features)
     idf = F.log((1 + F.col("_docs")) / (1 + F.col("_df"))) + 1

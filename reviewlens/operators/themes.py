@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewlens import constants as K
 from reviewlens.functions.clean import flatten_text
-from reviewlens.functions.vectors import as_vector, dot, squared_distance, unit_vector, vector_mean
+from reviewlens.functions.vectors import as_vector, dot, element_means, squared_distance, unit_vector, vector_mean
 from reviewlens.operators.sampling import top_k_per_group
 from reviewlens.operators.text import default_stop_words, raw_tokens, tfidf
 from reviewlens.session import materialize
@@ -39,8 +39,32 @@ def encode_text(
     )
 
 
-def _nearest(points: DataFrame, centers: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Closest center per point and restart; the lowest cluster number wins ties."""
+# a group may put this share of all points, but no fewer than SLICE_POINTS, on one task
+SLICE_SHARE = 0.001
+SLICE_POINTS = 100_000
+
+
+def _slices(points: DataFrame, by: Sequence[str], least: int) -> DataFrame:
+    """Groups too large for one task and the number of slices they need.
+
+    Fewer than ``1 / SLICE_SHARE`` groups can hold that share of the points.
+    """
+    sizes = points.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    total = points.agg(F.count(F.lit(1))).scalar()
+    room = F.greatest(total * SLICE_SHARE, F.lit(float(least)))
+    large = sizes.withColumn("_room", room).filter(F.col("_n") > F.col("_room"))
+    return large.select(*by, F.ceil(F.col("_n") / F.col("_room")).alias("_slices"))
+
+
+def _nearest(points: DataFrame, centers: DataFrame, by: Sequence[str], slices: DataFrame) -> DataFrame:
+    """Closest center per point and restart; the lowest cluster number wins ties.
+
+    Centers of a sliced group are copied to each of its slices.
+    """
+    last = F.coalesce(F.col("_slices"), F.lit(1)) - 1
+    centers = centers.join(F.broadcast(slices), list(by), "left").withColumn(
+        "_slice", F.explode(F.sequence(F.lit(0).cast("long"), last))
+    )
     gaps = F.transform(
         "_centers",
         lambda c: F.struct(
@@ -48,19 +72,33 @@ def _nearest(points: DataFrame, centers: DataFrame, by: Sequence[str]) -> DataFr
             c.getField("cluster").alias("cluster"),
         ),
     )
-    return points.join(centers, list(by)).withColumn("_best", F.array_min(gaps))
+    return points.join(centers.drop("_slices"), [*by, "_slice"]).withColumn("_best", F.array_min(gaps))
 
 
-def _pack(centers: DataFrame, by: Sequence[str]) -> DataFrame:
-    """At most k centers per group and restart, as one array."""
-    entry = F.struct(F.col("cluster"), F.col("_at").alias("at"))
-    return centers.groupBy(*by, "_restart").agg(F.array_sort(F.collect_list(entry)).alias("_centers"))
+def _pack(elements: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Centers of each group and restart in one array, from rows per vector element.
+
+    An array holds at most k times the vector length entries.
+    """
+    entries = F.array_sort(F.collect_list(F.struct("cluster", "pos", "value")))
+    packed = elements.groupBy(*by, "_restart").agg(entries.alias("_entries"))
+    clusters = F.array_distinct(F.col("_entries").getField("cluster"))
+    return packed.select(
+        *by, "_restart",
+        F.transform(
+            clusters,
+            lambda c: F.struct(
+                c.alias("cluster"),
+                F.filter("_entries", lambda e: e.getField("cluster") == c).getField("value").alias("at"),
+            ),
+        ).alias("_centers"),
+    )
 
 
 def grouped_kmeans(
     df: DataFrame, by: Sequence[str], key: str, vector: str = "embedding",
     k: int = K.CLUSTERS_PER_SENTIMENT, restarts: int = K.KMEANS_RESTARTS, iterations: int = 10,
-    seed: int = K.SEED, checkpoint_every: int = 5,
+    seed: int = K.SEED, checkpoint_every: int = 5, slice_points: int = SLICE_POINTS,
 ) -> DataFrame:
     """K-means inside every group at once: (``by``…, key, ``cluster``, ``center``).
 
@@ -68,29 +106,35 @@ def grouped_kmeans(
     round. Start points are the rows of lowest hash priority; groups smaller
     than k get one cluster per row. The restart with the least inertia wins.
     Centers come back with length one, clusters without members are left out.
+    Very large groups are worked on in slices of ``slice_points`` or more.
     """
     by = list(by)
     points = df.select(*by, key, as_vector(vector).alias("_x")).filter(F.col("_x").isNotNull())
-    starts = points.withColumn("_restart", F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))))
+    slices = materialize(_slices(points, by, slice_points))
+    sliced = points.join(F.broadcast(slices), by, "left")
+    # every round reads the points again
+    points = materialize(
+        sliced.withColumn("_slice", F.coalesce(F.pmod(F.xxhash64(key), "_slices"), F.lit(0))).drop("_slices")
+    )
+    starts = points.drop("_slice").withColumn("_restart", F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))))
     hashed = F.md5(F.concat_ws("|", F.col(key).cast("string"), (F.col("_restart") + seed).cast("string")))
     starts = starts.withColumn("_priority", hashed)
     starts = top_k_per_group(starts, [*by, "_restart"], [F.col("_priority"), F.col(key)], k, "cluster")
-    centers = _pack(
-        starts.select(*by, "_restart", (F.col("cluster") - 1).alias("cluster"), F.col("_x").alias("_at")), by
-    )
+    starts = starts.withColumn("cluster", F.col("cluster") - 1)
+    centers = _pack(starts.select(*by, "_restart", "cluster", F.posexplode("_x").alias("pos", "value")), by)
     for round_number in range(1, iterations + 1):
-        assigned = _nearest(points, centers, by).withColumn("cluster", F.col("_best.cluster"))
-        centers = _pack(vector_mean(assigned, [*by, "_restart", "cluster"], "_x", "_at"), by)
+        assigned = _nearest(points, centers, by, slices).withColumn("cluster", F.col("_best.cluster"))
+        centers = _pack(element_means(assigned, [*by, "_restart", "cluster"], "_x"), by)
         if checkpoint_every and round_number % checkpoint_every == 0 and round_number < iterations:
             centers = materialize(centers)
     if restarts > 1:
-        inertia = _nearest(points, centers, by).groupBy(*by, "_restart").agg(
+        inertia = _nearest(points, centers, by, slices).groupBy(*by, "_restart").agg(
             F.round(F.sum("_best.gap"), 6).alias("_inertia")
         )
         best = inertia.groupBy(*by).agg(F.min(F.struct("_inertia", "_restart")).alias("_won"))
         best = best.select(*by, F.col("_won._restart").alias("_restart"))
         centers = centers.join(best, [*by, "_restart"])
-    chosen = _nearest(points, centers, by).withColumn("cluster", F.col("_best.cluster"))
+    chosen = _nearest(points, centers, by, slices).withColumn("cluster", F.col("_best.cluster"))
     center = F.filter("_centers", lambda c: c.getField("cluster") == F.col("cluster"))
     return chosen.select(*by, key, "cluster", unit_vector(F.get(center, F.lit(0)).getField("at")).alias("center"))
 

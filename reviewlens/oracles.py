@@ -442,7 +442,7 @@ FROM (SELECT page_id, html || chr(10) || url AS h FROM pages)"""
 SELECT review_id, app_id, CAST(http_status AS BIGINT) AS http_status, fetch_status,
        CAST(achievements_unlocked AS BIGINT) AS achievements_unlocked, CAST(total_achievements AS BIGINT) AS total_achievements
 FROM classified""")
-    out["completion_rows"] = with_views("plays text_reviews completed", """
+    out["completion"] = with_views("plays text_reviews completed", """
 SELECT CAST(review_id AS VARCHAR) AS review_id, app_id, round(pct, 6) AS completion_percentage FROM completed""")
     out["enrich_reviews"] = with_views("plays responses classified", """
 SELECT CAST(p.review_id AS VARCHAR) AS review_id, CAST(p.app_id AS VARCHAR) AS app_id, p.recommended,

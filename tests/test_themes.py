@@ -42,10 +42,12 @@ def cloud(spark):
     return rows, spark.createDataFrame(rows, "g string, id long, embedding array<double>")
 
 
-@pytest.mark.parametrize("restarts,iterations,every", [(1, 3, 0), (4, 6, 2)])
-def test_kmeans_equals_direct_loop(cloud, restarts, iterations, every):
+@pytest.mark.parametrize("restarts,iterations,every,slice_points", [(1, 3, 0, 10**6), (4, 6, 2, 10**6), (2, 3, 0, 7)])
+def test_kmeans_equals_direct_loop(cloud, restarts, iterations, every, slice_points):
     rows, df = cloud
-    found = themes.grouped_kmeans(df, ["g"], "id", restarts=restarts, iterations=iterations, checkpoint_every=every).collect()
+    found = themes.grouped_kmeans(
+        df, ["g"], "id", restarts=restarts, iterations=iterations, checkpoint_every=every, slice_points=slice_points
+    ).collect()
     assert len(found) == len(rows)
     for g in ("big", "small", "one", "same"):
         labels, centers = brute_kmeans({i: v for n, i, v in rows if n == g}, 4, restarts, iterations)
