@@ -615,7 +615,7 @@ def enrichment_study(spark, d):
         A.states(spark, d), A.responses(spark, d).withColumn("attempt", F.lit(1)), ["attempt"], users=20,
     )
     return rows.select(
-        "review_id", "rater_id", "app_id", "fetch_status",
+        "review_id", "app_id", "fetch_status",
         whole(F.col("achievements_unlocked")).alias("achievements_unlocked"),
         whole(F.col("total_achievements")).alias("total_achievements"),
     )

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import html as markup
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reviewlens import constants as K
-from reviewlens.functions.clean import numeric, strip
+from reviewlens.functions.clean import SPACE, numeric, strip
 from reviewlens.functions.titles import title_key
 from reviewlens.operators.sampling import dedupe
 from reviewlens.session import materialize
 
-TAG = r"<[^>]*>"
+# a tag goes together with the space around it, so pieces of text join up
+TAG = rf"{SPACE}*<[^>]*>{SPACE}*"
 # field -> (pattern with one group, type of the field)
 CRITIC_PAGE_FIELDS = {
     "Title": (r'(?s)<div[^>]*class="[^"]*subpage-header__navigation[^"]*"[^>]*>(.*?)</div>', "string"),
@@ -24,6 +27,20 @@ CRITIC_PAGE_FIELDS = {
 }
 
 
+def unescape(column: Column) -> Column:
+    """Character references such as ``&amp;`` as the characters they stand for.
+
+    Spark has no function for the full set of named references, so the short
+    extracted texts, not the pages, pass through Arrow.
+    """
+
+    @F.pandas_udf("string")
+    def decode(texts: pd.Series) -> pd.Series:
+        return texts.map(markup.unescape, na_action="ignore")
+
+    return decode(column)
+
+
 def extract_page_fields(
     pages: DataFrame, fields: Mapping[str, tuple[str, str]] = CRITIC_PAGE_FIELDS, html: str = "html"
 ) -> DataFrame:
@@ -32,7 +49,7 @@ def extract_page_fields(
     def field(pattern, kind):
         found = F.when(F.col(html).rlike(pattern), F.regexp_extract(html, pattern, 1))
         if kind == "string":
-            return strip(F.regexp_replace(found, TAG, ""))
+            return strip(unescape(F.regexp_replace(found, TAG, "")))
         return strip(found).try_cast(kind)
 
     return pages.withColumns({name: field(*spec) for name, spec in fields.items()})

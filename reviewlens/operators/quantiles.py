@@ -94,7 +94,8 @@ def one_quantile(df: DataFrame, value: str, prob: float) -> Column:
 def box_stats(df: DataFrame, group: str, value: str, levels: Sequence[str]) -> DataFrame:
     """Quartiles and whiskers per group level, in display order.
 
-    Whiskers end at the outermost values within 1.5 quartile ranges.
+    Whiskers end at the outermost values within 1.5 quartile ranges, and never
+    inside the box.
     """
     counts = value_counts_numeric(df.filter(F.col(group).isin(list(levels))), value, [group])
     quartiles = (
@@ -113,8 +114,8 @@ def box_stats(df: DataFrame, group: str, value: str, levels: Sequence[str]) -> D
         counts.join(F.broadcast(quartiles), group)
         .groupBy(group, "q1", "median", "q3")
         .agg(
-            F.min(F.when(fenced, F.col("_v"))).alias("whisker_low"),
-            F.max(F.when(fenced, F.col("_v"))).alias("whisker_high"),
+            F.least(F.min(F.when(fenced, F.col("_v"))), F.col("q1")).alias("whisker_low"),
+            F.greatest(F.max(F.when(fenced, F.col("_v"))), F.col("q3")).alias("whisker_high"),
             F.sum("_n").alias("n"),
         )
     )

@@ -140,6 +140,12 @@ def title_key(x: str) -> str:
     return collapse(f"regexp_replace({title}, '[^a-z0-9\\s]', '', 'g')")
 
 
+def unescape(x: str) -> str:
+    for code, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&amp;", "&")):
+        x = f"replace({x}, {_quote(code)}, {_quote(sign)})"
+    return x
+
+
 def names(values) -> str:
     return "[" + ", ".join(_quote(value) for value in values) + "]"
 
@@ -227,8 +233,8 @@ LEVELS = "levels(cohort_order, cohort) AS (VALUES " + ", ".join(
     f"({i}::BIGINT, '{c}')" for i, c in enumerate(K.COHORTS)) + ")"
 
 BOX = """boxed AS (
-SELECT cohort, q1, median, q3, min(v) FILTER (WHERE v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS whisker_low,
-       max(v) FILTER (WHERE v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS whisker_high, count(v) AS n
+SELECT cohort, q1, median, q3, least(min(v) FILTER (WHERE v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), q1) AS whisker_low,
+       greatest(max(v) FILTER (WHERE v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), q3) AS whisker_high, count(v) AS n
 FROM (SELECT cohort, v, quantile_cont(v, 0.25) OVER w AS q1, quantile_cont(v, 0.5) OVER w AS median,
              quantile_cont(v, 0.75) OVER w AS q3
       FROM (SELECT {cohort} AS cohort, CAST(length({strip}) AS DOUBLE) AS v FROM {source}) WINDOW w AS (PARTITION BY cohort))
@@ -433,7 +439,7 @@ FROM (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE) * (la
 SELECT vec_id, round(list_inner_product(CAST(embedding AS DOUBLE[]), {vector_of(0)}), 6) AS score FROM embeddings"""
     out["page_fields"] = rf"""
 SELECT page_id, CASE WHEN regexp_matches(h, '(?s)<title>(.*?)</title>')
-                     THEN {strip("regexp_replace(regexp_extract(h, '(?s)<title>(.*?)</title>', 1), '<[^>]*>', '', 'g')")} END AS Title,
+                     THEN {strip(unescape(r"regexp_replace(regexp_extract(h, '(?s)<title>(.*?)</title>', 1), '\s*<[^>]*>\s*', '', 'g')"))} END AS Title,
        TRY_CAST(nullif(regexp_extract(h, 'track\((\d+)\)', 1), '') AS BIGINT) AS Metascore,
        TRY_CAST(nullif(regexp_extract(h, 'ad (\d+)', 1), '') AS BIGINT) AS NumberOfCriticReviews,
        TRY_CAST(nullif(regexp_extract(h, 'page=(\d+)', 1), '') AS BIGINT) AS page_number
@@ -619,7 +625,7 @@ SELECT cohort_order, cohort, round(q1, 6) AS q1, round(median, 6) AS median, rou
 FROM levels JOIN boxed USING (cohort) JOIN shares USING (cohort) JOIN free USING (cohort) JOIN votes USING (cohort)""",
                                      ", ".join([LEVELS, plays_box, SHARES, FREE, VOTES]))
     out["enrichment_study"] = with_views("plays states responses classified", """
-SELECT CAST(p.review_id AS VARCHAR) AS review_id, CAST(p.rater_id AS VARCHAR) AS rater_id, CAST(p.app_id AS VARCHAR) AS app_id, c.fetch_status,
+SELECT CAST(p.review_id AS VARCHAR) AS review_id, CAST(p.app_id AS VARCHAR) AS app_id, c.fetch_status,
        CAST(c.achievements_unlocked AS BIGINT) AS achievements_unlocked, CAST(c.total_achievements AS BIGINT) AS total_achievements
 FROM plays p JOIN classified c ON c.review_id = p.review_id JOIN chosen ON chosen.rater_id = p.rater_id""", """
 chosen AS (SELECT u.rater_id FROM (SELECT DISTINCT rater_id FROM plays) u JOIN states s ON s.rater_id = u.rater_id

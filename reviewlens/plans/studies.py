@@ -13,6 +13,7 @@ from reviewlens import constants as K
 from reviewlens.functions.clean import clean_id, clean_text, has_words, item_matches, parse_boolean, strip
 from reviewlens.operators import cohorts, completion, consensus, critics, joins, recommend, sampling, text, themes
 from reviewlens.session import materialize
+from reviewlens.sources.tables import require_columns
 
 
 def cohort_study(reviews: DataFrame, playtime: str = "playtime_minutes") -> dict[str, DataFrame]:
@@ -40,14 +41,18 @@ def enrichment(
     reviews: DataFrame, states: DataFrame, responses: DataFrame, order: Sequence[str],
     users: int = K.PUBLIC_USERS, user: str = "rater_id", seed: int = K.SEED,
 ) -> DataFrame:
-    """Reviews of randomly chosen public users with their classified results."""
+    """Reviews of randomly chosen public users with their classified results.
+
+    User ids and leftover index columns do not go into the result.
+    """
+    require_columns(reviews, [user, "review_id", "app_id"], "Reviews")
     typed = reviews.withColumns({name: clean_id(name) for name in (user, "review_id", "app_id")})
     typed = typed.dropna(subset=[user, "review_id", "app_id"])
     known = states.withColumn(user, clean_id(user))
     chosen = sampling.select_users(typed, known, user, users, seed)
     public = joins.rows_of(typed, chosen, user)
     results = joins.classify_responses(responses)
-    return joins.enrich_reviews(public, results, order)
+    return joins.enrich_reviews(public, results, order).drop(user, "Unnamed: 0", "0")
 
 
 def text_sides(rated: DataFrame, rating: float, seed: int, key: str = "review_id",
@@ -109,6 +114,7 @@ def finish_critic_study(matched: DataFrame) -> DataFrame:
 def profile_sample(reviews: DataFrame, k: int = K.SAMPLE_PER_SENTIMENT, key: str | None = "review_id",
                    seed: int = K.SEED) -> DataFrame:
     """Deduplicated sample of stripped texts per (item, rating)."""
+    require_columns(reviews, ["app_id", "app_name", "review", "recommended"], "Reviews")
     typed = reviews.withColumn("recommended", parse_boolean("recommended", "basic")).dropna(
         subset=["app_id", "recommended"]
     )

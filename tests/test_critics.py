@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from reviewlens.operators import critics
 
 PAGE = """<html><div class="x subpage-header__navigation y"> <b>Great
- Game</b> </div><div class="score-card-left__score-number"><p><span title="s"> %s </span></div>
+ Game</b> <i>&amp; Co&#46;</i> </div><div class="score-card-left__score-number"><p><span title="s"> %s </span></div>
 <div class="count">Showing %s Critic Reviews</div></html>"""
 
 
@@ -14,8 +14,8 @@ def test_page_fields(spark):
     df = spark.createDataFrame(pages, "page_id int, html string")
     found = {r["page_id"]: (r["Title"], r["Metascore"], r["NumberOfCriticReviews"])
              for r in critics.extract_page_fields(df).collect()}
-    assert found[1] == ("Great\n Game", 87, 41)
-    assert found[2] == ("Great\n Game", None, None)
+    assert found[1] == ("Great\n Game& Co.", 87, 41)
+    assert found[2] == ("Great\n Game& Co.", None, None)
     assert found[3] == found[4] == (None, None, None)
 
 

@@ -37,12 +37,14 @@ def test_quantiles_per_group_with_one_hot_group(spark):
 
 
 def test_box_stats_keeps_levels_and_fences(spark):
-    rows = [("a", float(v)) for v in [1, 2, 3, 4, 100]] + [("b", 7.0)]
+    rows = [("a", float(v)) for v in [1, 2, 3, 4, 100]] + [("b", float(v)) for v in (-100, 10, 10, 10)]
     df = spark.createDataFrame(rows, "g string, v double")
     found = quantiles.box_stats(df, "g", "v", ["b", "a", "c"]).collect()
     assert [r["g"] for r in found] == ["b", "a", "c"]
     a = found[1]
     assert (a["q1"], a["median"], a["q3"], a["whisker_low"], a["whisker_high"], a["n"]) == (2, 3, 4, 1, 4, 5)
+    # the lower quartile is an interpolated value far below all values in reach
+    assert (found[0]["q1"], found[0]["whisker_low"], found[0]["whisker_high"]) == (-17.5, -17.5, 10)
     assert found[2]["median"] is None
 
 
