@@ -648,7 +648,7 @@ def completion_study(spark, d):
     rows = tall[0]
     for part in tall[1:]:
         rows = rows.unionByName(part)
-    return rounded(rows, "value", digits=4)
+    return rounded(rows, "value")
 
 
 @query

@@ -91,8 +91,12 @@ def with_visibility(users: DataFrame, states: DataFrame, user: str = "rater_id")
 
 
 def rows_of(rows: DataFrame, selected: DataFrame, key: str = "rater_id") -> DataFrame:
-    """Rows whose key was selected. ``selected`` holds each key once."""
-    return skew_join(rows, selected.select(key), key, "left_semi")
+    """Rows whose key was selected.
+
+    A short selection is broadcast by its size; for a long one both sides are
+    shuffled as they are, which lets adaptive execution split hot keys.
+    """
+    return rows.join(selected.select(key), key, "left_semi")
 
 
 def pending(targets: DataFrame, done: DataFrame, key: str = "review_id") -> DataFrame:
@@ -132,22 +136,23 @@ def pivot_counts(
 
 def classify_responses(df: DataFrame, status: str = "http_status", body: str = "body") -> DataFrame:
     """Outcome, unlocked and total achievements of each stored service response."""
-    parsed = F.from_json(
+    # parsed once into a column of its own; three expressions read it
+    entries = F.from_json(
         body, "playerstats struct<achievements: array<struct<achieved: int>>>"
     ).getField("playerstats").getField("achievements")
-    found = F.coalesce(F.size(parsed), F.lit(0)) > 0
+    df = df.withColumn("_entries", entries)
     outcome = (
         F.when(F.col(status) == 403, F.lit("Private_or_NotOwned"))
         .when(F.col(status) != 200, F.concat(F.lit("Error_"), F.col(status).cast("string")))
         .when(F.col(body).isNull() | F.try_parse_json(body).isNull(), F.lit("Invalid_Response"))
-        .when(found, F.lit("Success"))
+        .when(F.coalesce(F.size("_entries"), F.lit(0)) > 0, F.lit("Success"))
         .otherwise(F.lit("No_Stats"))
     )
     ok = F.col("fetch_status") == "Success"
-    unlocked = F.size(F.filter(parsed, lambda entry: entry.getField("achieved") == 1))
+    unlocked = F.size(F.filter("_entries", lambda entry: entry.getField("achieved") == 1))
     return df.withColumn("fetch_status", outcome).withColumns(
         {
             "achievements_unlocked": F.when(ok, unlocked).otherwise(0),
-            "total_achievements": F.when(ok, F.size(parsed)).otherwise(0),
+            "total_achievements": F.when(ok, F.size("_entries")).otherwise(0),
         }
-    )
+    ).drop("_entries")

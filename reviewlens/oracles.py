@@ -141,8 +141,8 @@ def title_key(x: str) -> str:
 
 
 def unescape(x: str) -> str:
-    for code, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&amp;", "&")):
-        x = f"replace({x}, {_quote(code)}, {_quote(sign)})"
+    for code, sign in (("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&#39;?", "'"), ("&#x27;?", "'"), ("&amp;?", "&")):
+        x = f"regexp_replace({x}, {_quote(code)}, {_quote(sign)}, 'g')"
     return x
 
 
@@ -639,5 +639,5 @@ FROM ({theme_balance('completed', 'pct', rating)})""")
         study.append(tfidf(f"{name}_weights", name, "id", "string_split(text, ' ')", carry="side"))
         parts.append(f"SELECT '{name}_' || side, term, score FROM ({top_terms(f'{name}_weights', name)})")
     out["completion_study"] = with_views("plays text_reviews completed", f"""
-SELECT part, item, round(value, 4) AS value FROM ({' UNION ALL '.join(parts)})""", ",\n".join(study))
+SELECT part, item, round(value, 6) AS value FROM ({' UNION ALL '.join(parts)})""", ",\n".join(study))
     return out

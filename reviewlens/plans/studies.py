@@ -50,7 +50,7 @@ def enrichment(
     typed = typed.dropna(subset=[user, "review_id", "app_id"])
     known = states.withColumn(user, clean_id(user))
     chosen = sampling.select_users(typed, known, user, users, seed)
-    public = joins.rows_of(typed, chosen, user)
+    public = materialize(joins.rows_of(typed, chosen, user))
     results = joins.classify_responses(responses)
     return joins.enrich_reviews(public, results, order).drop(user, "Unnamed: 0", "0")
 
