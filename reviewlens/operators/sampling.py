@@ -15,6 +15,8 @@ from reviewlens.session import materialize
 
 SALTS = 32
 PREFIX_CHARS = 4
+# samples up to this size may end in one task
+MERGED_ROWS = 1_000_000
 
 
 def priority(keys: Sequence[str], seed: int = K.SEED) -> Column:
@@ -117,12 +119,22 @@ def sample_n(df: DataFrame, keys: Sequence[str], n: int, seed: int = K.SEED) ->
     """Exactly ``min(n, rows)`` rows with the lowest priorities, as ``_priority``.
 
     A first pass counts rows by the first hash digits and finds the digit
-    prefix that holds the n-th row. Only rows up to that prefix are sorted, so
-    the final merge handles about ``n`` rows however large the table is.
+    prefix that holds the n-th row. Rows with a lower prefix are all in; those
+    with that very prefix are put in order. Small samples leave this to a top-n
+    merge, large ones rank inside each prefix, which spreads over the cluster.
     """
     hashed = df.withColumn("_priority", priority(keys, seed))
-    cutoff = _prefix_counts(hashed).agg(_cutoff(n)).scalar()
-    return hashed.filter(_prefix() <= cutoff).orderBy("_priority", *keys).limit(n)
+    counts = _prefix_counts(hashed)
+    if n <= MERGED_ROWS:
+        cutoff = counts.agg(_cutoff(n)).scalar()
+        return hashed.filter(_prefix() <= cutoff).orderBy("_priority", *keys).limit(n)
+    missing = F.max(F.when(F.col("_seen") >= n, n - F.col("_seen") + F.col("_n")))
+    edge = counts.agg(F.struct(_cutoff(n).alias("prefix"), F.coalesce(missing, F.lit(0)).alias("rows"))).scalar()
+    order = Window.partitionBy("_prefix").orderBy("_priority", *keys)
+    near = hashed.withColumn("_prefix", _prefix()).filter(F.col("_prefix") <= edge.getField("prefix"))
+    ranked = near.withColumn("_rank", F.row_number().over(order))
+    chosen = (F.col("_prefix") < edge.getField("prefix")) | (F.col("_rank") <= edge.getField("rows"))
+    return ranked.filter(chosen).drop("_prefix", "_rank")
 
 
 def select_users(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from reviewlens import constants as K
 from reviewlens.operators.sampling import top_k_per_group
 
+BROADCAST_TERMS = 100_000
 WORD = r"[\p{L}\p{N}_]{2,}"
 
 
@@ -86,8 +87,9 @@ def _vocabulary(docs, counted, by, min_documents, max_share, max_features) -> Da
         kept = kept.orderBy(*order).limit(max_features)
     idf = F.log((1 + F.col("_docs")) / (1 + F.col("_df"))) + 1
     vocabulary = kept.select(*by, "term", idf.alias("_idf"))
-    # a single corpus keeps at most max_features terms, small enough for every task
-    return vocabulary if by else F.broadcast(vocabulary)
+    # a single corpus keeps at most max_features terms
+    small = not by and max_features <= BROADCAST_TERMS
+    return F.broadcast(vocabulary) if small else vocabulary
 
 
 def tfidf_difference(

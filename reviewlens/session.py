@@ -50,8 +50,15 @@ def materialize(df: DataFrame) -> DataFrame:
 
     Later jobs read columns from there instead of replaying the lineage, a lost
     executor costs no recomputation, and joins see the true size of the rows.
+    The table lives as long as the session.
     """
     spark = df.sparkSession
     path = shared_path(spark, "stage")
     df.write.parquet(path)
+    _remove_with_session(spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove_with_session(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)

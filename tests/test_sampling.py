@@ -75,8 +75,10 @@ def test_dedupe_keeps_ends_and_joins_null_keys(spark):
     assert {r["n"] for r in last} == {2, 4, 5}
 
 
+@pytest.mark.parametrize("merged", [10**6, -1])
 @pytest.mark.parametrize("n", [0, 1, 100, 5999, 10000])
-def test_sample_n(skewed, n):
+def test_sample_n(skewed, n, merged, monkeypatch):
+    monkeypatch.setattr(sampling, "MERGED_ROWS", merged)
     found = {r["review_id"] for r in sampling.sample_n(skewed, ["review_id"], n).collect()}
     assert found == {i for _, i in sorted((md5(i, 42), i) for i in range(6000))[:n]}
 
