@@ -24,8 +24,8 @@ def dot(left, right) -> Column:
 
 
 def squared_distance(left, right) -> Column:
-    gaps = F.zip_with(as_vector(left), as_vector(right), lambda x, y: (x - y) * (x - y))
-    return F.aggregate(gaps, F.lit(0.0), lambda total, x: total + x)
+    gaps = F.zip_with(as_vector(left), as_vector(right), lambda x, y: x - y)
+    return F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap * gap)
 
 
 def unit_vector(vector) -> Column:

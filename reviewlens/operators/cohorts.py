@@ -41,9 +41,9 @@ PROCESSED = [
 ]
 
 
-def processed(df: DataFrame, playtime: str = "playtime_minutes") -> DataFrame:
-    """The narrow table all cohort statistics read."""
-    return cohort_flags(df, playtime).select(*PROCESSED)
+def processed(df: DataFrame, playtime: str = "playtime_minutes", key: str | None = None) -> DataFrame:
+    """The narrow table all cohort statistics read, with a key where samples are drawn."""
+    return cohort_flags(df, playtime).select(*([key] if key else []), *PROCESSED)
 
 
 def add_cohort(df: DataFrame) -> DataFrame:

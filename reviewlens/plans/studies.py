@@ -16,11 +16,14 @@ from reviewlens.session import materialize
 from reviewlens.sources.tables import require_columns
 
 
-def cohort_study(reviews: DataFrame, playtime: str = "playtime_minutes") -> dict[str, DataFrame]:
-    """Shares, lengths, free copies and votes of the three cohorts."""
-    narrow = materialize(cohorts.processed(reviews, playtime))
+def cohort_study(
+    reviews: DataFrame, playtime: str = "playtime_minutes", key: str = "review_id"
+) -> dict[str, DataFrame]:
+    """Playtime curve, and shares, lengths, free copies and votes of the three cohorts."""
+    narrow = materialize(cohorts.processed(reviews, playtime, key))
     labelled = cohorts.add_cohort(narrow)
     return {
+        "density": cohorts.density(narrow, "playtime_review_hours", key),
         "shares": cohorts.cohort_shares(narrow),
         "length": cohorts.length_box(labelled),
         "free": cohorts.free_share(labelled),
@@ -101,7 +104,12 @@ def completion_study(
 def critic_study(
     reviews: DataFrame, pages: DataFrame, order: Sequence[str], min_reviews: int = K.MIN_ITEM_REVIEWS
 ) -> DataFrame:
-    """Player consensus against critic score for every matched title."""
+    """Player consensus against critic score for every matched title.
+
+    ``pages`` are critic rows, or raw pages whose fields are extracted first.
+    """
+    if "Title" not in pages.columns:
+        pages = critics.extract_page_fields(pages)
     clean = critics.dedupe_critics(critics.clean_critics(pages), order)
     return finish_critic_study(critics.match_titles(consensus.consensus(reviews, min_reviews), clean))
 
@@ -111,6 +119,12 @@ def finish_critic_study(matched: DataFrame) -> DataFrame:
     return critics.add_delta(matched).dropna(subset=["Metascore"]).drop("merge_name")
 
 
+def critic_report(matched: DataFrame, n: int = K.TAIL_SIZE) -> dict[str, DataFrame]:
+    """Share of outliers, and the titles players and critics disagree on most."""
+    compared = critics.add_delta(matched)
+    return {"outliers": consensus.outlier_share(compared), "tails": critics.both_tails(compared, n=n)}
+
+
 def profile_sample(reviews: DataFrame, k: int = K.SAMPLE_PER_SENTIMENT, key: str | None = "review_id",
                    seed: int = K.SEED) -> DataFrame:
     """Deduplicated sample of stripped texts per (item, rating)."""

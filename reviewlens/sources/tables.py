@@ -66,6 +66,29 @@ def write_json_records(records: DataFrame, path: str) -> None:
     records.select("record").write.mode("overwrite").text(path)
 
 
+PROFILE_PARTS = ("items", "clusters", "manifest")
+
+
+def write_profiles(items: DataFrame, clusters: DataFrame, manifest: DataFrame, path: str) -> None:
+    """Item table, themes with their vectors, and the run summary as JSON."""
+    items.write.mode("overwrite").parquet(f"{path}/items")
+    clusters.write.mode("overwrite").parquet(f"{path}/clusters")
+    stamped = manifest.withColumn("prepared_utc", F.current_timestamp())
+    stamped.write.mode("overwrite").json(f"{path}/manifest")
+
+
+def load_profiles(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Items, clusters and manifest; raises with the parts that are missing."""
+    missing = [name for name in PROFILE_PARTS if newest_change(spark, f"{path}/{name}") is None]
+    if missing:
+        raise FileNotFoundError(f"{path}: missing {', '.join(missing)}")
+    return (
+        spark.read.parquet(f"{path}/items"),
+        spark.read.parquet(f"{path}/clusters"),
+        spark.read.json(f"{path}/manifest"),
+    )
+
+
 def newest_change(spark: SparkSession, path: str):
     """Latest modification time below a path, or null; file contents stay unread."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True)

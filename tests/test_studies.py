@@ -2,14 +2,22 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlens import adapters as A, constants as K
+from reviewlens.operators import consensus
 from reviewlens.plans import studies
 from reviewlens.session import materialize, shared_root
+from reviewlens.sources import tables
 
 
-def test_profiles_then_search(spark, sf):
+def test_profiles_then_search(spark, sf, tmp_path):
     reviews = A.text_reviews(spark, sf)
     items, clusters = studies.item_profiles(reviews, k=8, restarts=2, iterations=2)
-    clusters = materialize(clusters)
+    tables.write_profiles(items, clusters, consensus.run_manifest(items, clusters), str(tmp_path / "p"))
+    items, clusters, manifest = tables.load_profiles(spark, str(tmp_path / "p"))
+    summary = manifest.first()
+    assert (summary["games"], summary["clusters"]) == (items.count(), clusters.count())
+    with pytest.raises(FileNotFoundError, match="clusters, manifest"):
+        items.write.parquet(str(tmp_path / "q" / "items"))
+        tables.load_profiles(spark, str(tmp_path / "q"))
     totals = items.agg(F.sum("review_count"), F.sum(F.col("sampled_negative") + F.col("sampled_positive"))).first()
     assert totals[0] == 200 and totals[1] == clusters.agg(F.sum("sample_count")).first()[0]
     biggest = clusters.groupBy("app_id", "sentiment").count().agg(F.max("count")).first()[0]
@@ -33,6 +41,25 @@ def test_theme_map(spark, sf):
         studies.theme_map(A.text_reviews(spark, sf), "nowhere")
 
 
+def test_cohort_study_has_all_parts(spark, sf):
+    parts = studies.cohort_study(A.plays(spark, sf))
+    sizes = {name: part.count() for name, part in parts.items()}
+    assert sizes == {"density": 200, "shares": 3, "length": 3, "free": 3, "votes": 3}
+
+
+def test_critic_study_from_raw_pages(spark, sf):
+    title = '<div class="subpage-header__navigation">%s</div>'
+    score = '<div class="score-card-left__score-number"><span>%d</span></div>'
+    count = "<div class='count'>Showing %d Critic Reviews</div>"
+    rows = [(f"u/{i}", "PC", title % f"supplier#{i:09d}&trade;" + score % (40 + i) + count % (4 + i)) for i in range(4)]
+    pages = spark.createDataFrame(rows, "url string, Platform string, html string")
+    matched = studies.critic_study(A.ratings(spark, sf), pages, ["url"])
+    # the first page has too few critics
+    assert sorted(r["app_id"] for r in matched.collect()) == [1, 2, 3]
+    report = studies.critic_report(matched, 2)
+    assert report["outliers"].first()["total"] == 3 and report["tails"].count() == 4
+
+
 def test_cut_is_optional(spark, sf):
     rated = A.text_reviews(spark, sf).withColumn("rating", F.lit(1.0))
     cut = studies.text_sides(rated, 1.0, 10, minimum=5, max_chars=50)
