@@ -17,7 +17,8 @@ INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 
 
 def _col(column) -> Column:
-    return F.col(column) if isinstance(column, str) else column
+    """A column from itself or its name; dots belong to the name."""
+    return F.col(f"`{column}`") if isinstance(column, str) else column
 
 
 def strip(column) -> Column:
@@ -61,17 +62,17 @@ def numeric(df: DataFrame, name: str) -> Column:
     """``name`` as double; columns that are numbers already skip the text check."""
     field = df.schema[name].dataType
     if isinstance(field, (T.DoubleType, T.FloatType)):
-        value = F.col(name).cast("double")
+        value = _col(name).cast("double")
         return F.when(~F.isnan(value), value)
     if isinstance(field, T.NumericType):
-        return F.col(name).cast("double")
+        return _col(name).cast("double")
     return coerce_double(name)
 
 
 def boolean(df: DataFrame, name: str, vocab: str = "extended") -> Column:
     """``name`` as boolean; boolean columns pass through untouched."""
     if isinstance(df.schema[name].dataType, T.BooleanType):
-        return F.col(name)
+        return _col(name)
     return parse_boolean(name, vocab)
 
 

@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewlens import constants as K
-from reviewlens.functions.clean import clean_id, clean_text, has_words, item_matches, parse_boolean, strip
+from reviewlens.functions.clean import clean_id, clean_text, has_words, item_matches, numeric, parse_boolean, strip
 from reviewlens.operators import cohorts, completion, consensus, critics, joins, recommend, sampling, text, themes
 from reviewlens.session import materialize
 from reviewlens.sources.tables import require_columns
@@ -81,6 +81,21 @@ def distinctive_terms(rated: DataFrame, rating: float, seed: int, key: str = "re
     return text.top_terms(text.tfidf_difference(sides, key))
 
 
+def completion_report(enriched: DataFrame, order: Sequence[Column]) -> dict[str, DataFrame]:
+    """What the cleaning of a completion study keeps and drops."""
+    typed = enriched.withColumns(
+        {name: clean_id(name) for name in ("review_id", "app_id")}
+        | {name: numeric(enriched, name) for name in ("achievements_unlocked", "total_achievements")}
+    )
+    known = typed.dropna(subset=["review_id", "app_id"])
+    single = sampling.dedupe(known, ["review_id"], order)
+    return {
+        "duplicates": consensus.duplicate_count(known, "review_id"),
+        "statuses": consensus.value_counts(single, "fetch_status"),
+        "stages": consensus.stage_report(single, completion.completion_stages()),
+    }
+
+
 def completion_study(
     enriched: DataFrame, order: Sequence[Column],
     positive: tuple[Sequence[str], Sequence[str]] = (K.POSITIVE_PLAY_SOCIAL, K.POSITIVE_STORY_ART),

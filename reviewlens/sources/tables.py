@@ -43,6 +43,24 @@ def read_reviews(
     return rows
 
 
+# spellings found in exports, and the names the operators expect
+COLUMN_NAMES = {
+    "author.steamid": "rater_id",
+    "author.playtime_at_review": "playtime_minutes",
+    "author_playtime_at_review": "playtime_minutes",
+    "playtime_at_review": "playtime_minutes",
+}
+
+
+def plain_names(df: DataFrame) -> DataFrame:
+    """Known columns under the operators' default names; the first spelling wins."""
+    renames: dict[str, str] = {}
+    for name, plain in COLUMN_NAMES.items():
+        if name in df.columns and plain not in df.columns and plain not in renames.values():
+            renames[name] = plain
+    return df.withColumnsRenamed(renames)
+
+
 def write_processed(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

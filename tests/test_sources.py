@@ -5,7 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from reviewlens.operators import critics
+from reviewlens.operators import cohorts, critics
 from reviewlens.sources import tables
 
 CSV = '''row,review_id,app_id,app_name,review,recommended,author.playtime_at_review,extra
@@ -40,6 +40,16 @@ def test_read_reviews_prunes_and_checks_columns(spark, csv_path):
         tables.read_reviews(spark, csv_path, columns=["review_id", "votes_helpful"])
 
 
+def test_export_to_cohorts(spark, csv_path):
+    raw = tables.read_reviews(spark, csv_path).withColumns({"received_for_free": F.lit("no"), "votes_helpful": F.lit("1")})
+    dotted = cohorts.processed(raw, "author.playtime_at_review")
+    plain = cohorts.processed(tables.plain_names(raw))
+    assert dotted.collect() == plain.collect()
+    assert sorted(r["is_early_positive"] for r in plain.collect()) == [0, 1]
+    both = raw.withColumn("playtime_at_review", F.lit(1))
+    assert "playtime_minutes" in tables.plain_names(both).columns and "playtime_at_review" in tables.plain_names(both).columns
+
+
 def test_processed_table_round_trip(spark, tmp_path):
     path = str(tmp_path / "p")
     tables.write_processed(spark.range(5).withColumn("x", F.lit("y")), path)

@@ -60,6 +60,16 @@ def test_critic_study_from_raw_pages(spark, sf):
     assert report["outliers"].first()["total"] == 3 and report["tails"].count() == 4
 
 
+def test_completion_report(spark):
+    rows = [(1, "1.0", "Success", "x"), (2, "1", "No_Stats", "1"), (3, "2", "Success", "1"), (4, None, "Success", "1"), (5, "3", None, "1")]
+    df = spark.createDataFrame(rows, "at int, review_id string, fetch_status string, total_achievements string").withColumns(
+        {"app_id": F.lit(7), "achievements_unlocked": F.lit("1")})
+    parts = studies.completion_report(df, [F.col("at")])
+    assert tuple(parts["duplicates"].first()) == (4, 3, 1)
+    assert {r["fetch_status"]: r["n"] for r in parts["statuses"].collect()} == {"Success": 2, None: 1}
+    assert [r["rows"] for r in parts["stages"].collect()] == [3, 3, 2, 1, 1]
+
+
 def test_cut_is_optional(spark, sf):
     rated = A.text_reviews(spark, sf).withColumn("rating", F.lit(1.0))
     cut = studies.text_sides(rated, 1.0, 10, minimum=5, max_chars=50)
