@@ -658,11 +658,22 @@ def critic_study(spark, d):
     return rounded(rows, "steam_consensus", "delta")
 
 
+def letter_counts(texts: Column) -> Column:
+    """A plain encoder: how often each letter of a-z occurs."""
+    lowered = F.lower(texts)
+    letters = [chr(code) for code in range(ord("a"), ord("z") + 1)]
+    counts = [F.length(lowered) - F.length(F.replace(lowered, F.lit(x), F.lit(""))) for x in letters]
+    return F.array(*counts).cast("array<double>")
+
+
 @query
 def item_profile_study(spark, d):
-    items, clusters = studies.item_profiles(A.text_reviews(spark, d), k=10, restarts=2, iterations=3)
-    sizes = clusters.groupBy("app_id").agg(F.count(F.lit(1)).alias("clusters"), F.sum("sample_count").alias("members"))
-    return rounded(items.join(sizes, "app_id"), "recommendation_rate")
+    items, clusters = studies.item_profiles(
+        A.text_reviews(spark, d), k=10, encoder=letter_counts, restarts=2, iterations=3
+    )
+    sized = items.select("app_id", "review_count", whole(F.col("sampled_positive")).alias("sampled_positive"))
+    themes_only = clusters.drop("embedding").withColumn("cluster", whole(F.col("cluster")))
+    return themes_only.join(sized, "app_id")
 
 
 @query

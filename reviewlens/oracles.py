@@ -334,7 +334,7 @@ FROM (SELECT CASE WHEN difference > 0 THEN 'high' ELSE 'low' END AS side, term,
 QUALIFY rank <= 16"""
 
 
-def kmeans(restarts: int, iterations: int, k: int = 4) -> str:
+def kmeans(restarts: int, iterations: int, k: int = 4, size: int = 64) -> str:
     gap = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))"
     views = [
         f"""c0 AS MATERIALIZED (SELECT app_id, sentiment, r, rank - 1 AS cluster, embedding AS c FROM (
@@ -350,7 +350,7 @@ def kmeans(restarts: int, iterations: int, k: int = 4) -> str:
     for i in range(1, iterations + 1):
         views.append(f"""a{i} AS MATERIALIZED ({assign(f'c{i - 1}')}),
 c{i} AS MATERIALIZED (SELECT app_id, sentiment, r, cluster, list(v ORDER BY pos) AS c FROM (
-  SELECT app_id, sentiment, r, cluster, pos, avg(x[pos]) AS v FROM a{i}, range(1, 65) t(pos) GROUP BY ALL) GROUP BY ALL)""")
+  SELECT app_id, sentiment, r, cluster, pos, avg(x[pos]) AS v FROM a{i}, range(1, {size + 1}) t(pos) GROUP BY ALL) GROUP BY ALL)""")
     views.append(f"""last AS MATERIALIZED ({assign(f'c{iterations}')}),
 won AS (SELECT app_id, sentiment, arg_min(r, (inertia, r)) AS r FROM (
   SELECT app_id, sentiment, r, round(sum(gap), 6) AS inertia FROM last GROUP BY ALL) GROUP BY ALL)""")
@@ -618,6 +618,25 @@ SELECT review_id, app_id, recommended FROM plays WHERE length(review) >= 20
 QUALIFY row_number() OVER (PARTITION BY app_id, recommended ORDER BY md5(review_id || '|42'), review) <= 10""")
     out["stream_resume"] = with_views("plays responses classified", """
 SELECT review_id, fetch_status, CAST(achievements_unlocked AS BIGINT) AS achievements_unlocked FROM classified""")
+    letters = ", ".join(f"length(t) - length(replace(t, '{chr(c)}', ''))" for c in range(97, 123))
+    profile = f"""member_vectors AS MATERIALIZED (
+SELECT review_id AS vec_id, app_id, sentiment, review,
+       CAST(CAST(CASE WHEN length > 0 THEN list_transform(v, lambda x: x / length) ELSE v END AS FLOAT[]) AS DOUBLE[]) AS embedding
+FROM (SELECT *, sqrt(list_inner_product(v, v)) AS length FROM (
+  SELECT *, CAST([{letters}] AS DOUBLE[]) AS v FROM (
+    SELECT s.review_id, s.app_id, CASE WHEN s.recommended THEN 'positive' ELSE 'negative' END AS sentiment,
+           {strip("coalesce(r.review, '')")} AS review, lower({strip("coalesce(r.review, '')")}) AS t
+    FROM sampled s JOIN text_reviews r ON r.review_id = s.review_id)))),
+""" + kmeans(2, 3, size=26) + f""",
+centers AS (SELECT app_id, sentiment, cluster, c AS at, sqrt(list_inner_product(c, c)) AS length FROM c3 JOIN won USING (app_id, sentiment, r)),
+themed AS (SELECT m.*, l.cluster, round(list_inner_product(m.embedding, list_transform(n.at, lambda x: CASE WHEN n.length > 0 THEN x / n.length ELSE x END)), 9) AS score
+  FROM last l JOIN won USING (app_id, sentiment, r) JOIN member_vectors m ON m.vec_id = l.vec_id
+  JOIN centers n ON n.app_id = l.app_id AND n.sentiment = l.sentiment AND n.cluster = l.cluster)"""
+    out["item_profile_study"] = with_views("plays text_reviews sampled profiles", f"""
+SELECT t.app_id, t.app_id AS app_name, t.sentiment, CAST(t.cluster AS BIGINT) AS cluster, count(*) AS sample_count,
+       arg_min({strip("replace(t.review, chr(10), ' ')")}, (-t.score, t.vec_id)) AS representative_review,
+       any_value(p.review_count) AS review_count, any_value(p.sampled_positive) AS sampled_positive
+FROM themed t JOIN profiles p ON p.app_id = t.app_id GROUP BY t.app_id, t.sentiment, t.cluster""", profile)
     plays_box = BOX.format(cohort=COHORT, strip=strip("coalesce(review, '')"), source="plays")
     out["cohort_study"] = with_views("plays", """
 SELECT cohort_order, cohort, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, n, round(share, 6) AS share,

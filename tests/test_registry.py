@@ -10,7 +10,7 @@ import __spark_entry__ as entry_point
 QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
 TABLES = ("customer", "supplier", "part", "lineitem", "events", "documents", "embeddings", "pages")
 # without SQL: hashed text vectors and principal axes; checked in the unit tests
-ROWS_ONLY = {"encode_text", "pca_2d", "item_profile_study", "theme_map"}
+ROWS_ONLY = {"encode_text", "pca_2d", "theme_map"}
 
 
 @pytest.fixture(scope="module")
