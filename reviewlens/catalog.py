@@ -687,3 +687,10 @@ def item_search(spark, d):
 def theme_map(spark, d):
     rows = studies.theme_map(A.text_reviews(spark, d), "src1", restarts=2, iterations=3)
     return rounded(rows, "share", "pc1", "pc2", digits=3)
+
+
+@query
+def theme_map_labels(spark, d):
+    rows = studies.theme_map(A.text_reviews(spark, d), "src1", encoder=letter_counts, restarts=2, iterations=3)
+    rows = rounded(rows.drop("pc1", "pc2"), "share")
+    return rows.withColumn("cluster", whole(F.col("cluster")))

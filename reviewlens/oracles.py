@@ -572,11 +572,9 @@ terms AS MATERIALIZED (SELECT app_id, sentiment, k AS cluster, term, round(insid
         GROUP BY v.app_id, v.sentiment, v.term, s.k))"""
     out["cluster_terms"] = with_views("member_vectors clustered", """
 SELECT app_id, sentiment, CAST(cluster AS BIGINT) AS cluster, term, score FROM terms""", label_views)
-    banned = names(K.LABEL_STOP_WORDS)
-    out["describe_clusters"] = with_views("member_vectors clustered", """
-SELECT app_id, sentiment, CAST(cluster AS BIGINT) AS cluster,
-       CASE WHEN len(chosen) = 0 THEN 'mixed reviews' ELSE array_to_string(chosen, ', ') END AS description
-FROM walk QUALIFY row_number() OVER (PARTITION BY app_id, sentiment, cluster ORDER BY i DESC) = 1""", label_views + rf""",
+    def label_walk(banned: str) -> str:
+        """Ranked usable terms per cluster, and the greedy walk over them."""
+        return rf"""
 ranked AS MATERIALIZED (SELECT app_id, sentiment, cluster, term, row_number() OVER (PARTITION BY app_id, sentiment, cluster ORDER BY score DESC, term) AS i
   FROM terms WHERE NOT list_has_any(string_split(term, ' '), {banned}) AND NOT regexp_matches(term, '\p{{Nd}}')),
 walk AS (SELECT DISTINCT app_id, sentiment, cluster, 0::BIGINT AS i, []::VARCHAR[] AS chosen FROM terms
@@ -584,7 +582,13 @@ walk AS (SELECT DISTINCT app_id, sentiment, cluster, 0::BIGINT AS i, []::VARCHAR
   SELECT w.app_id, w.sentiment, w.cluster, r.i, CASE WHEN len(list_filter(w.chosen, lambda c: contains(c, r.term) OR contains(r.term, c))) > 0
          THEN w.chosen ELSE list_append(w.chosen, r.term) END
   FROM walk w JOIN ranked r ON r.app_id = w.app_id AND r.sentiment = w.sentiment AND r.cluster = w.cluster AND r.i = w.i + 1
-  WHERE len(w.chosen) < 3)""")
+  WHERE len(w.chosen) < 3),
+labels AS (SELECT app_id, sentiment, CAST(cluster AS BIGINT) AS cluster,
+       CASE WHEN len(chosen) = 0 THEN 'mixed reviews' ELSE array_to_string(chosen, ', ') END AS description
+  FROM walk QUALIFY row_number() OVER (PARTITION BY app_id, sentiment, cluster ORDER BY i DESC) = 1)"""
+
+    banned = names(K.LABEL_STOP_WORDS)
+    out["describe_clusters"] = with_views("member_vectors clustered", "SELECT * FROM labels", label_views + "," + label_walk(banned))
     out["item_profiles"] = with_views("plays text_reviews sampled profiles", """
 SELECT * REPLACE (round(recommendation_rate, 6) AS recommendation_rate) FROM profiles""")
     out["run_manifest"] = with_views("plays text_reviews sampled profiles member_vectors clustered clusters", """
@@ -619,24 +623,46 @@ QUALIFY row_number() OVER (PARTITION BY app_id, recommended ORDER BY md5(review_
     out["stream_resume"] = with_views("plays responses classified", """
 SELECT review_id, fetch_status, CAST(achievements_unlocked AS BIGINT) AS achievements_unlocked FROM classified""")
     letters = ", ".join(f"length(t) - length(replace(t, '{chr(c)}', ''))" for c in range(97, 123))
-    profile = f"""member_vectors AS MATERIALIZED (
+
+    def letter_themes(rows: str) -> str:
+        """Members of (review_id, app_id, recommended, review) rows with their theme and its closeness."""
+        return f"""member_vectors AS MATERIALIZED (
 SELECT review_id AS vec_id, app_id, sentiment, review,
        CAST(CAST(CASE WHEN length > 0 THEN list_transform(v, lambda x: x / length) ELSE v END AS FLOAT[]) AS DOUBLE[]) AS embedding
 FROM (SELECT *, sqrt(list_inner_product(v, v)) AS length FROM (
   SELECT *, CAST([{letters}] AS DOUBLE[]) AS v FROM (
-    SELECT s.review_id, s.app_id, CASE WHEN s.recommended THEN 'positive' ELSE 'negative' END AS sentiment,
-           {strip("coalesce(r.review, '')")} AS review, lower({strip("coalesce(r.review, '')")}) AS t
-    FROM sampled s JOIN text_reviews r ON r.review_id = s.review_id)))),
-""" + kmeans(2, 3, size=26) + f""",
+    SELECT review_id, app_id, CASE WHEN recommended THEN 'positive' ELSE 'negative' END AS sentiment, review, lower(review) AS t
+    FROM ({rows}))))),
+""" + kmeans(2, 3, size=26) + """,
 centers AS (SELECT app_id, sentiment, cluster, c AS at, sqrt(list_inner_product(c, c)) AS length FROM c3 JOIN won USING (app_id, sentiment, r)),
-themed AS (SELECT m.*, l.cluster, round(list_inner_product(m.embedding, list_transform(n.at, lambda x: CASE WHEN n.length > 0 THEN x / n.length ELSE x END)), 9) AS score
+themed AS MATERIALIZED (SELECT m.*, l.cluster,
+       round(list_inner_product(m.embedding, list_transform(n.at, lambda x: CASE WHEN n.length > 0 THEN x / n.length ELSE x END)), 9) AS score
   FROM last l JOIN won USING (app_id, sentiment, r) JOIN member_vectors m ON m.vec_id = l.vec_id
   JOIN centers n ON n.app_id = l.app_id AND n.sentiment = l.sentiment AND n.cluster = l.cluster)"""
+
+    profile = letter_themes(f"""SELECT s.review_id, s.app_id, s.recommended, {strip("coalesce(r.review, '')")} AS review
+FROM sampled s JOIN text_reviews r ON r.review_id = s.review_id""")
+    closest = f"""arg_min({strip("replace(t.review, chr(10), ' ')")}, (-t.score, t.vec_id)) AS representative_review"""
     out["item_profile_study"] = with_views("plays text_reviews sampled profiles", f"""
 SELECT t.app_id, t.app_id AS app_name, t.sentiment, CAST(t.cluster AS BIGINT) AS cluster, count(*) AS sample_count,
-       arg_min({strip("replace(t.review, chr(10), ' ')")}, (-t.score, t.vec_id)) AS representative_review,
-       any_value(p.review_count) AS review_count, any_value(p.sampled_positive) AS sampled_positive
+       {closest}, any_value(p.review_count) AS review_count, any_value(p.sampled_positive) AS sampled_positive
 FROM themed t JOIN profiles p ON p.app_id = t.app_id GROUP BY t.app_id, t.sentiment, t.cluster""", profile)
+    one_item = f"""picked AS MATERIALIZED (SELECT review_id, 'src1' AS app_id, app_name, recommended, review FROM (
+  SELECT * REPLACE ({strip("coalesce(review, '')")} AS review) FROM text_reviews WHERE contains(lower(app_name), 'src1'))
+  WHERE length(review) >= 20
+  QUALIFY row_number() OVER (PARTITION BY recommended ORDER BY md5(review_id || '|42'), review) <= 150),
+title AS (SELECT app_name FROM picked GROUP BY app_name ORDER BY count(*) DESC, app_name LIMIT 1),
+"""
+    own_words = f"list_concat({banned}, [(SELECT app_name FROM title)])"
+    out["theme_map_labels"] = with_views("plays text_reviews", f"""
+SELECT (SELECT app_name FROM title) AS app_name, t.sentiment, CAST(t.cluster AS BIGINT) AS cluster,
+       coalesce(any_value(l.description), 'mixed reviews') AS description, count(*) AS sample_count,
+       round(count(*) / any_value(t.n) * 100, 6) AS share, {closest}
+FROM (SELECT *, count(*) OVER (PARTITION BY sentiment) AS n FROM themed) t
+LEFT JOIN labels l ON l.sentiment = t.sentiment AND l.cluster = t.cluster GROUP BY t.sentiment, t.cluster""",
+                                         one_item + letter_themes("SELECT * FROM picked") + """,
+clustered AS MATERIALIZED (SELECT * FROM themed),
+""" + label_views + "," + label_walk(own_words))
     plays_box = BOX.format(cohort=COHORT, strip=strip("coalesce(review, '')"), source="plays")
     out["cohort_study"] = with_views("plays", """
 SELECT cohort_order, cohort, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, n, round(share, 6) AS share,

@@ -225,7 +225,7 @@ def theme_map(
         .join(labels, keys, "left")
         .join(shares.select(*keys, "share"), keys)
         .join(places, keys)
-        .select("app_name", *keys, F.coalesce("description", F.lit(K.LABEL_FALLBACK)).alias("description"),
+        .select(title.alias("app_name"), *keys, F.coalesce("description", F.lit(K.LABEL_FALLBACK)).alias("description"),
                 "sample_count", "share", "pc1", "pc2", "representative_review")
         .orderBy(F.desc("sentiment"), "cluster")
     )
