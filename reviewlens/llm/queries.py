@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlens.llm import exact_dedup, minhash
+from reviewlens.llm import exact_dedup, minhash, quality, toxicity
 from reviewlens.llm.common import table
 
 
@@ -17,12 +17,22 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op4_toxicity": op4_toxicity,
+    "op8_quality_classifier": op8_quality_classifier,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
