@@ -8,11 +8,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reviewlens.llm import exact_dedup, minhash, quality, toxicity
+from reviewlens.llm import decontaminate, exact_dedup, minhash, pii, quality, sentencepieces, toxicity
 from reviewlens.llm.common import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -21,6 +26,27 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", *(
+        s[part].cast("string") for part in ("kind", "start", "end")))), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    return found.select("doc_id", *(count(k) for k in pii.BASE_KINDS), F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    read = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"), "text")
+    coded = sentencepieces.decode(sentencepieces.encode(read).drop("text"))
+    decoded = F.sha2("decoded", 256)
+    return coded.select(
+        "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("token_ids", " "), 256).alias("ids_sha256"), decoded.alias("decoded_sha256"),
+        (decoded == F.col("text_sha256")).alias("round_trip"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -30,8 +56,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op4_toxicity": op4_toxicity,
+    "op6_personal_data": op6_personal_data,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_exact_dedup": op10_exact_dedup,
 }
