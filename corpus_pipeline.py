@@ -1,28 +1,57 @@
-"""Corpus pipeline: five operators in a row over ``documents``."""
+"""Corpus pipeline: five operators in a row over ``documents``.
+
+run() applies the stages in order. Every stage takes (spark, docs, sf_dir),
+and its result is written as Parquet and reread as the next stage's docs.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlens.llm import exact_dedup
+from reviewlens.llm import decontaminate, exact_dedup, minhash, quality, sentencepieces
 from reviewlens.llm.common import stage, table
 
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.keep_good(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return exact_dedup.drop_copies(docs)
 
 
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return minhash.drop_near_duplicates(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with the ids of their SentencePiece encoding and the number of ids."""
+    coded = sentencepieces.encode(docs)
+    return coded.selectExpr("*", "size(token_ids) AS n_tokens")
+
+
 STAGES = [
-    ("exact dedup", exact),
+    ("quality classifier", good_quality),
+    ("exact dedup", one_of_copies),
+    ("near dedup", one_of_near_copies),
+    ("decontamination", without_benchmark),
+    ("sentencepiece", tokenised),
 ]
 
-#: Learned scores and edit distances are not SQL, so the pipeline is tested against plain Python instead.
+#: Learned scores, edit distances and tokens are not SQL; tests/llm compares run() with plain Python instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply STAGES to documents; each stage reads what the one before it wrote."""
+    """All stages over ``documents``; the last one's rows."""
     docs = table(spark, sf_dir, "documents")
     for place, (name, work) in enumerate(STAGES):
         docs = work(spark, docs, sf_dir)
