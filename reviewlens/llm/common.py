@@ -19,9 +19,21 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
 
     Later jobs start from the table, so a lost executor costs no replay.
     """
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    before = {k: spark.conf.get(k, None) for k in _CLEANUP}
+    for k in _CLEANUP:
+        spark.conf.set(k, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        for k, value in before.items():
+            spark.conf.unset(k) if value is None else spark.conf.set(k, value)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+#: Once a stage is written nothing reads its shuffle files again; with these settings they go when the write ends.
+_CLEANUP = ("spark.sql.shuffleDependency.fileCleanup.enabled", "spark.sql.classic.shuffleDependency.fileCleanup.enabled")
 
 
 def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
