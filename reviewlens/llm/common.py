@@ -48,7 +48,7 @@ def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[pa.Record
 
 
 #: Arrow bytes handed to one call of an operator's work; a single longer row is a slice of its own.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 
 
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import decontaminate, exact_dedup, minhash, pii, quality, sentencepieces, toxicity
+from reviewlens.llm import decontaminate, exact_dedup, minhash, pii, quality, sentencepieces, substring_dedup, suffix_dedup, toxicity
 from reviewlens.llm.common import table
 
 
@@ -22,10 +22,18 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(substring_dedup.substring_dedup(table(spark, sf_dir, "documents")))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -58,7 +66,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_toxicity": op4_toxicity,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_personal_data": op6_personal_data,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_quality_classifier": op8_quality_classifier,
