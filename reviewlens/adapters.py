@@ -51,7 +51,7 @@ def text_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     joined = docs.join(rated, docs["doc_id"] == rated["review_id"])
     return joined.selectExpr(
-        "review_id", "source AS app_id", "source AS app_name", "rater_id", "text AS review", "lang",
+        "review_id", "source AS app_id", "source AS app_name", "rater_id", "ts", "text AS review", "lang",
         "recommended", "playtime_minutes", "received_for_free", "votes_helpful", "fetch_status",
         "achievements_unlocked", "total_achievements",
         "achievements_unlocked / total_achievements * 100 AS completion_percentage",
@@ -77,6 +77,21 @@ def critics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def critic_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages in the default markup: scores that are numbers, missing, ``tbd`` or outside their block, tagged counts."""
+    title = "concat('<div class=\"c subpage-header__navigation d\"> <b>Page &amp; ', page_id, '</b> &#46;</div>')"
+    score = (
+        "CASE page_id % 4 WHEN 0 THEN '' WHEN 1 THEN '<div class=\"score-card-left__score-number\"><p><span>tbd</span></p></div>' "
+        "ELSE concat('<div class=\"x score-card-left__score-number\"><p><span title=\"s\"> ', page_id % 101, ' </span></p></div>') END"
+    )
+    count = (
+        "CASE page_id % 3 WHEN 0 THEN '' WHEN 1 THEN concat('<div class=\"count\">Showing <b>', page_id % 57, "
+        "'</b> Critic Reviews</div>') ELSE concat('<div class=\"count\">Showing ', page_id % 57, ' Critic Reviews</div>') END"
+    )
+    return table(spark, sf_dir, "pages").selectExpr(
+        "page_id", f"concat({title}, {score}, '<div><span>77</span></div>', {count}, coalesce(html, '')) AS html")
+
+
 def critics_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(
         "p_partkey", "p_name AS Title", "p_type AS Platform", "p_retailprice / 25 AS Metascore",

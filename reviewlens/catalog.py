@@ -203,7 +203,7 @@ def classify_responses(spark, d):
 
 @query
 def completion_share(spark, d):
-    rows = completion.completion_rows(A.text_reviews(spark, d), [F.col("review_id")])
+    rows = completion.completion_rows(A.text_reviews(spark, d), [F.col("ts")])
     rows = rounded(rows, "completion_percentage")
     return rows.select("review_id", "app_id", "completion_percentage")
 
@@ -237,8 +237,11 @@ def public_user_reviews(spark, d):
 
 @query
 def pending_targets(spark, d):
-    done = A.plays(spark, d).filter(F.col("fetch_status") == "Success")
-    return joins.pending(A.plays(spark, d), done).select("review_id", "app_id")
+    rated = A.plays(spark, d)
+    done = rated.filter(F.col("fetch_status") == "Success")
+    # some targets are listed twice
+    targets = rated.unionByName(rated.filter("review_id % 10 = 0"))
+    return joins.pending(targets, done, order=["ts"], ids=["app_id", "rater_id"]).select("review_id", "app_id")
 
 
 @query
@@ -412,6 +415,19 @@ def consensus_delta(spark, d):
     return matched.select("app_id", "app_name", "Title", "steam_consensus", "Metascore_Normalized", "delta")
 
 
+@query
+def sorted_baseline(spark, d):
+    rows = critics.with_row_position(consensus.sorted_baseline(A.ratings(spark, d)), ["app_name", "app_id"])
+    return rounded(rows, "steam_consensus").withColumn("position", whole(F.col("position")))
+
+
+@query
+def critic_page_fields(spark, d):
+    return critics.extract_page_fields(A.critic_pages(spark, d)).select(
+        "page_id", "Title", whole(F.col("Metascore")).alias("Metascore"),
+        whole(F.col("NumberOfCriticReviews")).alias("NumberOfCriticReviews"))
+
+
 @query
 def outlier_share(spark, d):
     items = consensus.consensus(A.ratings(spark, d))
@@ -434,11 +450,6 @@ def title_preview(spark, d):
 # --- text and themes ------------------------------------------------------------------
 
 
-def _side_docs(spark, d, rating, seed):
-    rated = completion.rated_rows(A.text_reviews(spark, d))
-    return studies.text_sides(rated, rating, seed, minimum=10)
-
-
 @query
 def tfidf(spark, d):
     return rounded(text.tfidf(_clean_docs(spark, d), "doc_id", text.clean_tokens("text")), "weight")
@@ -473,9 +484,7 @@ def centroids(spark, d):
 
 @query
 def grouped_kmeans(spark, d):
-    found = themes.grouped_kmeans(
-        A.member_vectors(spark, d), ["app_id", "sentiment"], "vec_id", restarts=3, iterations=4
-    )
+    found, _ = themes.fit_kmeans(A.member_vectors(spark, d), ["app_id", "sentiment"], "vec_id")
     return found.select("app_id", "sentiment", "vec_id", whole(F.col("cluster")).alias("cluster"))
 
 
@@ -531,7 +540,7 @@ def item_profiles(spark, d):
 @query
 def run_manifest(spark, d):
     rows = consensus.item_profiles(consensus.item_counts(A.text_reviews(spark, d)), _text_sample(spark, d))
-    summary = consensus.run_manifest(rows, A.clusters(spark, d))
+    summary = consensus.run_manifest(rows, A.clusters(spark, d), source="documents")
     return summary.withColumn("random_seed", whole(F.col("random_seed")))
 
 
@@ -603,16 +612,25 @@ def stream_resume(spark, d):
 @query
 def cohort_study(spark, d):
     rows = rounded(studies.cohort_summary(A.plays(spark, d)), "share", "free_share", "raw_mean", "trimmed_mean",
-                   "q1", "median", "q3")
-    return rows.withColumns({"cohort_order": whole(F.col("cohort_order")), "n": whole(F.col("n"))}).drop(
-        "whisker_low", "whisker_high")
+                   "q1", "median", "q3", "whisker_low", "whisker_high")
+    return rows.withColumns({"cohort_order": whole(F.col("cohort_order")), "n": whole(F.col("n"))})
+
+
+@query
+def cohort_study_curve(spark, d):
+    curve = studies.cohort_study(A.plays(spark, d))["density"]
+    return rounded(curve, "at", "density").withColumn("step", whole(F.col("step")))
 
 
 @query
 def enrichment_study(spark, d):
+    answers = A.responses(spark, d).withColumn("attempt", F.lit(1))
+    # a third of the answers was classified by an earlier run, and some users are listed twice
+    finished = joins.classify_responses(answers.filter("review_id % 3 = 0"))
+    states = A.states(spark, d)
     rows = studies.enrichment(
         A.plays(spark, d).drop("fetch_status", "achievements_unlocked", "total_achievements"),
-        A.states(spark, d), A.responses(spark, d).withColumn("attempt", F.lit(1)), ["attempt"], users=20,
+        states.unionByName(states.filter("rater_id % 2 = 0")), answers, ["attempt"], users=20, finished=finished,
     )
     return rows.select(
         "review_id", "app_id", "fetch_status",
@@ -625,7 +643,7 @@ def enrichment_study(spark, d):
 def completion_study(spark, d):
     lists = (A.THEME_ONE, A.THEME_TWO)
     parts = studies.completion_study(
-        A.text_reviews(spark, d), [F.col("review_id")], lists, lists, minimum=10
+        A.text_reviews(spark, d), [F.col("ts")], lists, lists, minimum=10
     )
     tall = [
         parts["rate"].select(F.lit("rate").alias("part"), F.col("label").alias("item"), F.col("rate").alias("value")),
@@ -669,7 +687,7 @@ def letter_counts(texts: Column) -> Column:
 @query
 def item_profile_study(spark, d):
     items, clusters = studies.item_profiles(
-        A.text_reviews(spark, d), k=10, encoder=letter_counts, restarts=2, iterations=3
+        A.text_reviews(spark, d), k=10, encoder=letter_counts
     )
     sized = items.select("app_id", "review_count", whole(F.col("sampled_positive")).alias("sampled_positive"))
     themes_only = clusters.drop("embedding").withColumn("cluster", whole(F.col("cluster")))
@@ -685,12 +703,12 @@ def item_search(spark, d):
 
 @query
 def theme_map(spark, d):
-    rows = studies.theme_map(A.text_reviews(spark, d), "src1", restarts=2, iterations=3)
+    rows = studies.theme_map(A.text_reviews(spark, d), "src1")
     return rounded(rows, "share", "pc1", "pc2", digits=3)
 
 
 @query
 def theme_map_labels(spark, d):
-    rows = studies.theme_map(A.text_reviews(spark, d), "src1", encoder=letter_counts, restarts=2, iterations=3)
+    rows = studies.theme_map(A.text_reviews(spark, d), "src1", encoder=letter_counts)
     rows = rounded(rows.drop("pc1", "pc2"), "share")
     return rows.withColumn("cluster", whole(F.col("cluster")))

@@ -17,6 +17,7 @@ MAX_HELPFUL_VOTES = 50000.0
 MIN_PLOTTED_HOURS = 0.01
 DENSITY_SAMPLE = 100000
 DENSITY_GRID = 200
+DENSITY_BIN = 0.001
 
 # --- boolean vocabularies --------------------------------------------------
 BOOLEAN_WORDS = {
@@ -151,6 +152,7 @@ SAMPLE_PER_SENTIMENT = 150
 MIN_SAMPLE_CHARS = 20
 CLUSTERS_PER_SENTIMENT = 4
 KMEANS_RESTARTS = 10
+KMEANS_ROUNDS = 100
 PUBLIC_USERS = 50000
 PUBLIC_STATE = 3
 CANDIDATE_POOL = 20
@@ -160,3 +162,6 @@ EXCERPT_CHARS = 420
 MIN_RATE = 70.0
 RESULTS = 5
 SENTIMENTS = ["positive", "negative"]
+
+# name of the default text encoder, for the manifest
+MODEL_NAME = "hashed-tfidf"

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reviewlens.functions.clean import _col
-
 
 def as_vector(value) -> Column:
     """Column of doubles from a column, a name or a plain list of numbers."""
@@ -35,17 +35,7 @@ def unit_vector(vector) -> Column:
     return F.when(length > 0, F.transform(values, lambda x: x / length)).otherwise(values)
 
 
-def element_means(df: DataFrame, by: Sequence[str], vector: str) -> DataFrame:
-    """Mean of every vector element per group, as rows (``by``…, ``pos``, ``value``).
-
-    Elements are averaged by hashing and summed up before the shuffle, so large
-    groups cost no more than small ones.
-    """
-    elements = df.select(*by, F.posexplode(as_vector(vector)).alias("pos", "value"))
-    return elements.groupBy(*by, "pos").agg(F.avg("value").alias("value"))
-
-
 def vector_mean(df: DataFrame, by: Sequence[str], vector: str, name: str = "mean") -> DataFrame:
-    """Element-wise mean per group; one entry per vector element is collected."""
-    entries = F.array_sort(F.collect_list(F.struct("pos", "value")))
-    return element_means(df, by, vector).groupBy(*by).agg(entries.getField("value").alias(name))
+    """Element-wise mean per group, summed up in the JVM before the shuffle."""
+    mean = Summarizer.mean(array_to_vector(as_vector(vector)))
+    return df.groupBy(*by).agg(vector_to_array(mean).alias(name))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewlens import constants as K
 from reviewlens.functions.clean import boolean, minutes_to_hours, numeric, text_length
@@ -100,32 +100,41 @@ def length_box(df: DataFrame) -> DataFrame:
 
 
 def density(
-    df: DataFrame, value: str, key: str, log: bool = True, grid: int = K.DENSITY_GRID,
-    sample: int = K.DENSITY_SAMPLE, floor: float = K.MIN_PLOTTED_HOURS,
+    df: DataFrame, value: str, key: str | None = None, log: bool = True, grid: int = K.DENSITY_GRID,
+    sample: int | None = None, floor: float = K.MIN_PLOTTED_HOURS, bin_width: float = K.DENSITY_BIN,
     cut: float = 3.0, seed: int = K.SEED,
 ) -> DataFrame:
-    """Gaussian density curve of a seeded sample on an even grid.
+    """Gaussian density curve of all rows, or of a seeded ``sample`` of them, on an even grid.
 
-    The bandwidth follows Scott's rule and the grid reaches ``cut`` bandwidths
-    beyond the data. With ``log`` the curve is drawn over log10 of the value.
+    Values are first counted in bins of ``bin_width``, far below the bandwidth,
+    so the curve costs bins times grid whatever the number of rows. The
+    bandwidth follows Scott's rule and the grid reaches ``cut`` bandwidths
+    beyond the data. With ``log`` bins and curve are over log10 of the value.
     """
-    picked = sample_n(df.filter(F.col(value) > floor).select(key, value), [key], sample, seed)
-    points = picked.select((F.log10(value) if log else F.col(value)).alias("x"))
-    shape = points.agg(
-        F.struct(
-            F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"),
-            (F.stddev_samp("x") * F.pow(F.count("x"), F.lit(-0.2))).alias("width"),
-        )
-    ).scalar()
-    low = shape.getField("low") - shape.getField("width") * cut
-    high = shape.getField("high") + shape.getField("width") * cut
-    at = low + (high - low) * (F.col("step") / F.lit(float(grid - 1)))
-    kernel = F.exp(F.lit(-0.5) * F.pow((at - F.col("x")) / shape.getField("width"), F.lit(2.0)))
-    # every point adds to each of the ``grid`` steps; sums are formed before the shuffle
-    sums = points.select("x", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("step"))
-    sums = sums.groupBy("step").agg(F.sum(kernel).alias("total"))
-    scale = shape.getField("n") * shape.getField("width") * math.sqrt(2 * math.pi)
-    return sums.select(
-        "step", (F.pow(F.lit(10.0), at) if log else at).alias("at"),
-        (F.col("total") / scale).alias("density"),
-    )
+    rows = df.filter(F.col(value) > floor)
+    if sample is not None:
+        rows = sample_n(rows.select(key, value), [key], sample, seed)
+    number = F.log10(value) if log else F.col(value)
+    counts = rows.groupBy(F.round(number / bin_width).alias("_bin")).agg(F.count(F.lit(1)).alias("n"))
+    points = counts.select((F.col("_bin") * bin_width).alias("x"), "n")
+    # the bins, whose number the width bounds, become one row: nothing reads the table twice
+    total = F.col("_n")
+    one = points.agg(
+        F.array_sort(F.collect_list(F.struct("x", "n"))).alias("_points"), F.sum("n").alias("_n"),
+        (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("_mean"),
+        F.min("x").alias("_min"), F.max("x").alias("_max"),
+    ).filter(total > 1)
+
+    def summed(term) -> Column:
+        return F.aggregate("_points", F.lit(0.0), lambda s, p: s + p.getField("n") * term(p.getField("x")))
+
+    spread = F.sqrt(summed(lambda x: (x - F.col("_mean")) * (x - F.col("_mean"))) / (total - 1))
+    shape = one.withColumn("_width", spread * F.pow(total, F.lit(-0.2)))
+    reach = F.col("_width") * cut
+    shape = shape.withColumns({"_low": F.col("_min") - reach, "_high": F.col("_max") + reach})
+    steps = shape.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
+    steps = steps.withColumn("_at", F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("step") / float(grid - 1)))
+    kernels = summed(lambda x: F.exp(F.lit(-0.5) * F.pow((F.col("_at") - x) / F.col("_width"), F.lit(2.0))))
+    scale = total * F.col("_width") * math.sqrt(2 * math.pi)
+    at = F.pow(F.lit(10.0), "_at") if log else F.col("_at")
+    return steps.repartition("step").select("step", at.alias("at"), (kernels / scale).alias("density"))

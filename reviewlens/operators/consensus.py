@@ -17,13 +17,18 @@ def consensus(df: DataFrame, min_reviews: int = K.MIN_ITEM_REVIEWS) -> DataFrame
     return (
         df.dropna(subset=["app_id", "app_name"])
         .groupBy("app_id", "app_name")
-        .agg(F.count("review_id").alias("total_reviews"), F.sum(liked).alias("total_positive"))
+        .agg(F.count("review_id").alias("total_reviews"), F.coalesce(F.sum(liked), F.lit(0)).alias("total_positive"))
         .filter(F.col("total_reviews") >= min_reviews)
         .withColumn("steam_consensus", F.col("total_positive") / F.col("total_reviews"))
         .orderBy(F.desc("steam_consensus"), "app_id")
     )
 
 
+def sorted_baseline(df: DataFrame, min_reviews: int = K.MIN_ITEM_REVIEWS) -> DataFrame:
+    """The consensus table in the order of the item names, unnamed ones last."""
+    return consensus(df, min_reviews).orderBy(F.col("app_name").asc_nulls_last(), "app_id")
+
+
 def name_counts(df: DataFrame, order: str = "review_id") -> DataFrame:
     """Ratings per item and name. Plain counters, so Spark can aggregate by hashing."""
     return (
@@ -64,13 +69,18 @@ def item_profiles(counts: DataFrame, sample: DataFrame) -> DataFrame:
     return sized.orderBy(F.desc("review_count"), "app_name", "app_id")
 
 
-def run_manifest(items: DataFrame, clusters: DataFrame, seed: int = K.SEED) -> DataFrame:
-    """One-row summary of a profile build."""
+def run_manifest(
+    items: DataFrame, clusters: DataFrame, seed: int = K.SEED, model: str = K.MODEL_NAME, source: str | None = None
+) -> DataFrame:
+    """One-row summary of a profile build, with the names of the text model and of the source."""
     themes = clusters.agg(F.count(F.lit(1)).alias("n")).scalar()
     return items.agg(
         F.count(F.lit(1)).alias("games"),
         F.sum(F.col("sampled_positive") + F.col("sampled_negative")).alias("review_sample_size"),
-    ).select("games", themes.alias("clusters"), "review_sample_size", F.lit(seed).alias("random_seed"))
+    ).select(
+        F.lit(source).cast("string").alias("source"), F.lit(model).alias("model"), "games",
+        themes.alias("clusters"), "review_sample_size", F.lit(seed).alias("random_seed"),
+    )
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

@@ -14,40 +14,62 @@ from reviewlens.functions.titles import title_key
 from reviewlens.operators.sampling import dedupe
 from reviewlens.session import materialize
 
+# "&amp;" comes last, so that no reference is read twice
+COMMON_REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&#x27;": "'", "&amp;": "&"}
 # a tag goes together with the space around it, so pieces of text join up
 TAG = rf"{SPACE}*<[^>]*>{SPACE}*"
-# field -> (pattern with one group, type of the field)
+# field -> (patterns, type of the field): each pattern has one group and is applied to what the one before it left
 CRITIC_PAGE_FIELDS = {
-    "Title": (r'(?s)<div[^>]*class="[^"]*subpage-header__navigation[^"]*"[^>]*>(.*?)</div>', "string"),
+    "Title": ([r'(?s)<div[^>]*class="[^"]*subpage-header__navigation[^"]*"[^>]*>(.*?)</div>'], "string"),
     "Metascore": (
-        r'(?s)<div[^>]*class="[^"]*score-card-left__score-number[^"]*"[^>]*>.*?<span[^>]*>\s*(\d+)\s*</span>',
+        [r'(?s)<div[^>]*class="[^"]*score-card-left__score-number[^"]*"[^>]*>(.*?)</div>',
+         r"(?s)<span[^>]*>(.*?)</span>", r"^\s*(\d+)\s*$"],
         "int",
     ),
-    "NumberOfCriticReviews": (K.CRITIC_COUNT_PATTERN, "int"),
+    "NumberOfCriticReviews": (
+        [r"""(?s)<(?:div|span|p)[^>]*class=["'][^"']*count[^"']*["'][^>]*>(.*?)</(?:div|span|p)>""", K.CRITIC_COUNT_PATTERN], "int",
+    ),
 }
 
 
 def unescape(column: Column) -> Column:
     """Character references such as ``&amp;`` as the characters they stand for.
 
-    Spark has no function for the full set of named references, so the short
-    extracted texts, not the pages, pass through Arrow.
+    The common ones are replaced in the JVM. Spark has no function for the full
+    set of named references, so texts in which others are left pass through Arrow.
     """
 
     @F.pandas_udf("string")
     def decode(texts: pd.Series) -> pd.Series:
         return texts.map(markup.unescape, na_action="ignore")
 
-    return decode(column)
+    plain = column
+    for code, sign in COMMON_REFERENCES.items():
+        plain = F.regexp_replace(plain, code, sign)
+    # a text whose references are all common ones never leaves the JVM's fast path: it holds no other "&"
+    others = F.regexp_replace(column, "|".join(COMMON_REFERENCES), "")
+    return F.when(F.contains(others, F.lit("&")), decode(F.when(F.contains(others, F.lit("&")), column))).otherwise(plain)
 
 
 def extract_page_fields(
-    pages: DataFrame, fields: Mapping[str, tuple[str, str]] = CRITIC_PAGE_FIELDS, html: str = "html"
+    pages: DataFrame, fields: Mapping[str, tuple[str | Sequence[str], str]] = CRITIC_PAGE_FIELDS, html: str = "html"
 ) -> DataFrame:
-    """Add one column per pattern; a page without the field gets null."""
+    """Add one column per field; a page without it gets null.
+
+    A field's first pattern cuts out its block, the next ones look inside it;
+    before the last of several patterns tags are taken out. Each pattern reads
+    its text once.
+    """
+
+    def first(text, pattern):
+        return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.lit(0))
 
-    def field(pattern, kind):
-        found = F.when(F.col(html).rlike(pattern), F.regexp_extract(html, pattern, 1))
+    def field(patterns, kind):
+        patterns = [patterns] if isinstance(patterns, str) else list(patterns)
+        found = first(F.col(html), patterns[0])
+        for i, pattern in enumerate(patterns[1:], start=1):
+            # digits of a tagged number stay apart from their neighbours, so single tags just go
+            found = first(F.regexp_replace(found, "<[^>]*>", "") if i == len(patterns) - 1 else found, pattern)
         if kind == "string":
             return strip(unescape(F.regexp_replace(found, TAG, "")))
         return strip(found).try_cast(kind)
@@ -128,12 +150,24 @@ def preview_sorted(df: DataFrame, order: Sequence[str], n: int = K.PREVIEW_ROWS)
 
 
 def match_titles(items: DataFrame, critics: DataFrame) -> DataFrame:
-    """Items and critic pages with the same title key; equal keys fan out."""
-    keyed = items.withColumn("merge_name", title_key("app_name"))
-    pages = critics.withColumn("merge_name", title_key("Title"))
+    """Items and critic pages with the same title key; equal keys fan out.
+
+    Titles without Latin letters or digits have an empty key, which says
+    nothing, and match nothing; ``empty_titles`` counts them.
+    """
+    keyed = items.withColumn("merge_name", title_key("app_name")).filter("merge_name <> ''")
+    pages = critics.withColumn("merge_name", title_key("Title")).filter("merge_name <> ''")
     return keyed.join(pages, "merge_name")
 
 
+def empty_titles(items: DataFrame, critics: DataFrame) -> DataFrame:
+    """How many titles of either side have an empty key and so cannot match."""
+    sides = [(items, "app_name", "items"), (critics, "Title", "critics")]
+    counts = [df.agg(F.lit(side).alias("side"), F.count_if(title_key(title) == "").alias("empty_titles"))
+              for df, title, side in sides]
+    return counts[0].unionByName(counts[1])
+
+
 def add_delta(df: DataFrame) -> DataFrame:
     """Normalised score and its distance to the player consensus, where absent."""
     if "Metascore_Normalized" not in df.columns:

@@ -1,4 +1,8 @@
-"""Checked joins, lookups with defaults, and response classification."""
+"""Checked joins, lookups with defaults, and response classification.
+
+Joins are plain ones: adaptive execution splits the partitions of hot keys on
+the side that repeats them, see ``session.get_session``.
+"""
 
 from __future__ import annotations
 
@@ -19,37 +23,6 @@ def require(df: DataFrame, condition, message: str) -> DataFrame:
     return df.filter(F.assert_true(F.coalesce(condition, F.lit(False)), F.lit(message)).isNull())
 
 
-HOT_SHARE = 0.01
-
-
-def hot_keys(df: DataFrame, key: str) -> list:
-    """Keys that may hold more than ``HOT_SHARE`` of the rows, at most one per share.
-
-    One pass over the key column with a frequent-items sketch. The sketch may
-    name a key too many, which changes how rows travel but not the result.
-    """
-    most = int(1 / HOT_SHARE)
-    found = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {most}, 8192)").alias("top"), F.count(F.lit(1)).alias("n")
-    ).first()
-    return [row[0] for row in found["top"] or [] if row[0] is not None and row[1] > HOT_SHARE * found["n"]]
-
-
-def skew_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
-    """Left, left_semi or left_anti join with a right side that has unique keys.
-
-    Rows of hot keys stay where they are and meet a broadcast of their at most
-    ``1 / HOT_SHARE`` partners; all other rows are shuffled as usual.
-    """
-    hot = hot_keys(left, key)
-    if not hot:
-        return left.join(right, key, how)
-    is_hot = F.col(key).isin(hot)
-    usual = left.filter(~F.coalesce(is_hot, F.lit(False))).join(right, key, how)
-    crowded = left.filter(is_hot).join(F.broadcast(right.filter(is_hot)), key, how)
-    return usual.unionByName(crowded)
-
-
 def many_to_one_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left join that fails when the right side repeats a key."""
     others = [name for name in right.columns if name != key]
@@ -57,7 +30,7 @@ def many_to_one_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
         F.count(F.lit(1)).alias("_rows"), F.any_value(F.struct(*others)).alias("_row")
     )
     unique = require(unique, F.col("_rows") == 1, f"{key} repeats on the right side")
-    return skew_join(left, unique.select(key, "_row.*"), key, "left")
+    return left.join(unique.select(key, "_row.*"), key, "left")
 
 
 def enrich_reviews(
@@ -76,7 +49,7 @@ def enrich_reviews(
     if order:
         results = dedupe(results, [key], [F.col(c) if isinstance(c, str) else c for c in order], "last")
     results = results.select(key, F.col(item).alias("_result_item"), *columns)
-    joined = skew_join(reviews, results, key, "left") if order else many_to_one_join(reviews, results, key)
+    joined = reviews.join(results, key, "left") if order else many_to_one_join(reviews, results, key)
     joined = require(joined, F.col("fetch_status").isNotNull(), "A review has no result")
     joined = require(
         joined, F.col("_result_item") == F.col(item), "A review and its result name different items"
@@ -85,8 +58,8 @@ def enrich_reviews(
 
 
 def with_visibility(users: DataFrame, states: DataFrame, user: str = "rater_id") -> DataFrame:
-    """Profile state per user; users missing in the answer get 0."""
-    known = states.select(user, "state")
+    """Profile state per user, the highest where the answer repeats one; users missing in it get 0."""
+    known = states.groupBy(user).agg(F.max("state").alias("state"))
     return users.join(known, user, "left").withColumn("state", F.coalesce("state", F.lit(0)))
 
 
@@ -99,9 +72,18 @@ def rows_of(rows: DataFrame, selected: DataFrame, key: str = "rater_id") -> Data
     return rows.join(selected.select(key), key, "left_semi")
 
 
-def pending(targets: DataFrame, done: DataFrame, key: str = "review_id") -> DataFrame:
-    """Targets that no finished row covers yet."""
-    return skew_join(targets.dropna(subset=[key]), done.select(key).distinct(), key, "left_anti")
+def pending(
+    targets: DataFrame, done: DataFrame, key: str = "review_id", order: Sequence = (), ids: Sequence[str] = ()
+) -> DataFrame:
+    """Targets that no finished row covers yet, the first one of each key by ``order``.
+
+    Targets without the key, or without one of ``ids``, drop out. Without
+    ``order`` the smallest row of the other columns is the first.
+    """
+    known = targets.dropna(subset=[key, *ids])
+    others = [F.col(name) for name in targets.columns if name != key]
+    single = dedupe(known, [key], [F.col(c) if isinstance(c, str) else c for c in order] or others or [F.col(key)])
+    return single.join(done.select(key), key, "left_anti")
 
 
 def pending_pages(

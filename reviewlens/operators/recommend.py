@@ -36,7 +36,7 @@ def score_items(
     eligible = items.filter(F.col("recommendation_rate") >= min_rate)
     eligible = dedupe(
         eligible.select("app_id", "app_name", "recommendation_rate", "review_count"),
-        ["app_id"], [F.col("app_name")],
+        ["app_id"], [F.col("app_name"), F.col("review_count").desc(), F.col("recommendation_rate").desc()],
     )
     liked = F.col("sentiment") == "positive"
     disliked = F.col("sentiment") == "negative"
@@ -58,12 +58,12 @@ def score_items(
     return eligible.join(per_item.filter(F.col("wanted_similarity").isNotNull()), "app_id")
 
 
-def rerank(scored: DataFrame, with_avoid: bool, pool: int = K.CANDIDATE_POOL,
+def rerank(scored: DataFrame, with_avoid: bool, pool: int | None = K.CANDIDATE_POOL,
            penalty: float = K.AVOID_PENALTY) -> DataFrame:
     """Rank score per item: plain similarity, or a penalised score inside the pool."""
     if not with_avoid:
         return scored.withColumns({"avoid_penalty": F.lit(0.0), "rank_score": F.col("wanted_similarity")})
-    shortlist = scored.orderBy(F.desc("wanted_similarity"), "app_id").limit(pool)
+    shortlist = scored if pool is None else scored.orderBy(F.desc("wanted_similarity"), "app_id").limit(pool)
     shortlist = relative_scale(shortlist, "wanted_similarity", "wanted_score")
     shortlist = relative_scale(shortlist, "avoid_similarity", "avoid_penalty")
     return shortlist.withColumn("rank_score", F.col("wanted_score") - penalty * F.col("avoid_penalty"))
@@ -106,8 +106,9 @@ def moved_down(
 def random_pick(
     items: DataFrame, clusters: DataFrame, seed: int = K.SEED, min_rate: float = K.MIN_RATE
 ) -> DataFrame:
-    """One random well-rated item with a random readable positive theme and its largest negative one."""
+    """One random well-rated item that has positive themes: a random readable one, and its largest negative one."""
     rated = items.filter(F.col("recommendation_rate") >= min_rate)
+    rated = rated.join(clusters.filter(F.col("sentiment") == "positive").select("app_id"), "app_id", "left_semi")
     choice = rated.withColumn("_priority", priority(["app_id"], seed)).orderBy("_priority", "app_id").limit(1)
     drawn = F.struct(
         (-F.col("_readable")).alias("unreadable"),

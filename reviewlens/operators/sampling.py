@@ -11,12 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reviewlens import constants as K
+from reviewlens.functions.clean import parse_boolean, strip
 from reviewlens.session import materialize
 
 SALTS = 32
 PREFIX_CHARS = 4
-# samples up to this size may end in one task
-MERGED_ROWS = 1_000_000
 
 
 def priority(keys: Sequence[str], seed: int = K.SEED) -> Column:
@@ -25,10 +24,10 @@ def priority(keys: Sequence[str], seed: int = K.SEED) -> Column:
 
 
 def top_k_per_group(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, rank: str | None = None,
+    df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int | None, rank: str | None = None,
     salt: Column | None = None,
 ) -> DataFrame:
-    """First ``k`` rows of each group in the given total order.
+    """First ``k`` rows of each group in the given total order; all rows without ``k``.
 
     Runs in two rounds so that one huge group is never sorted by one task: the
     first round ranks inside (group, salt), and Spark's group limit trims each
@@ -36,6 +35,8 @@ def top_k_per_group(
     salt. The salt is the input partition; give another one where the input is
     already partitioned by group.
     """
+    if k is None:
+        return df.withColumn(rank, F.row_number().over(Window.partitionBy(*by).orderBy(*order))) if rank else df
     first = Window.partitionBy(*by, "_salt").orderBy(*order)
     last = Window.partitionBy(*by).orderBy(*order)
     trimmed = (
@@ -50,20 +51,26 @@ def top_k_per_group(
 
 
 def cap_per_group(
-    df: DataFrame, by: Sequence[str], key: str, n: int = K.REVIEWS_PER_ITEM, seed: int = K.SEED
+    df: DataFrame, by: Sequence[str], key: str, n: int | None = K.REVIEWS_PER_ITEM, seed: int = K.SEED
 ) -> DataFrame:
-    """At most ``n`` random rows of each group."""
+    """At most ``n`` random rows of each group; all of them without ``n``."""
     ranked = df.withColumn("_priority", priority([key], seed))
     return top_k_per_group(ranked, by, [F.col("_priority"), F.col(key)], n).drop("_priority")
 
 
+def sample_rows(df: DataFrame, rating: str = "recommended", text: str = "review") -> DataFrame:
+    """What samples are drawn from: readable ratings and stripped texts; row-wise, so it also takes a stream."""
+    typed = df.withColumn(rating, parse_boolean(rating, "basic")).dropna(subset=["app_id", rating])
+    return typed.withColumn(text, strip(F.coalesce(text, F.lit(""))))
+
+
 def hash_sample(
     df: DataFrame,
     item: str = "app_id",
     rating: str = "recommended",
     text: str = "review",
     key: str | None = "review_id",
-    k: int = K.SAMPLE_PER_SENTIMENT,
+    k: int | None = K.SAMPLE_PER_SENTIMENT,
     min_chars: int = K.MIN_SAMPLE_CHARS,
     seed: int = K.SEED,
 ) -> DataFrame:
@@ -120,14 +127,11 @@ def sample_n(df: DataFrame, keys: Sequence[str], n: int, seed: int = K.SEED) ->
 
     A first pass counts rows by the first hash digits and finds the digit
     prefix that holds the n-th row. Rows with a lower prefix are all in; those
-    with that very prefix are put in order. Small samples leave this to a top-n
-    merge, large ones rank inside each prefix, which spreads over the cluster.
+    with that very prefix are put in order, which is one part in 65,536 of the
+    table, whatever the sample's size.
     """
     hashed = df.withColumn("_priority", priority(keys, seed))
     counts = _prefix_counts(hashed)
-    if n <= MERGED_ROWS:
-        cutoff = counts.agg(_cutoff(n)).scalar()
-        return hashed.filter(_prefix() <= cutoff).orderBy("_priority", *keys).limit(n)
     missing = F.max(F.when(F.col("_seen") >= n, n - F.col("_seen") + F.col("_n")))
     edge = counts.agg(F.struct(_cutoff(n).alias("prefix"), F.coalesce(missing, F.lit(0)).alias("rows"))).scalar()
     order = Window.partitionBy("_prefix").orderBy("_priority", *keys)
@@ -149,7 +153,7 @@ def select_users(
     chosen = materialize(sample_n(visible, [user], n, seed).select(user))
     found = chosen.count()
     if found < n:
-        raise RuntimeError(f"Only {found:,} public users were found")
+        raise RuntimeError(f"{n:,} public users are wanted, {found:,} exist")
     return chosen
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from reviewlens import constants as K
 from reviewlens.operators.sampling import top_k_per_group
 
-BROADCAST_TERMS = 100_000
 WORD = r"[\p{L}\p{N}_]{2,}"
 
 
@@ -30,14 +29,15 @@ def raw_tokens(text: str) -> Column:
 def tfidf(
     docs: DataFrame, key: str, tokens: Column, by: Sequence[str] = (), carry: Sequence[str] = (),
     stop_words: Sequence[str] | None = None, min_documents: int | None = None,
-    max_share: float = K.TFIDF_MAX_SHARE, max_features: int = K.TFIDF_MAX_FEATURES,
+    max_share: float = K.TFIDF_MAX_SHARE, max_features: int | None = K.TFIDF_MAX_FEATURES,
     sublinear: bool = True,
 ) -> DataFrame:
     """Unit-length TF-IDF weights as rows (``by``…, ``carry``…, key, term, weight).
 
     ``key`` is unique per row; ``by`` splits the rows into separate corpora and
     ``carry`` names further columns to keep. Without ``min_documents`` a term
-    needs one document in a hundred, at least 2 and at most 10.
+    needs one document in a hundred, at least 2 and at most 10. Without
+    ``max_features`` every such term stays.
     """
     by, carry = list(by), list(carry)
     stop_words = default_stop_words() if stop_words is None else stop_words
@@ -83,13 +83,10 @@ def _vocabulary(docs, counted, by, min_documents, max_share, max_features) -> Da
     order = [F.desc("_corpus"), F.col("term")]
     if by:
         kept = top_k_per_group(kept, by, order, max_features, salt=F.xxhash64("term"))
-    else:
+    elif max_features is not None:
         kept = kept.orderBy(*order).limit(max_features)
     idf = F.log((1 + F.col("_docs")) / (1 + F.col("_df"))) + 1
-    vocabulary = kept.select(*by, "term", idf.alias("_idf"))
-    # a single corpus keeps at most max_features terms
-    small = not by and max_features <= BROADCAST_TERMS
-    return F.broadcast(vocabulary) if small else vocabulary
+    return kept.select(*by, "term", idf.alias("_idf"))
 
 
 def tfidf_difference(

@@ -7,13 +7,14 @@ from collections.abc import Callable, Sequence
 import numpy as np
 from pyspark.ml.feature import HashingTF, IDF, Normalizer, PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewlens import constants as K
 from reviewlens.functions.clean import flatten_text
-from reviewlens.functions.vectors import as_vector, dot, element_means, squared_distance, unit_vector, vector_mean
+from reviewlens.functions.vectors import as_vector, dot, squared_distance, unit_vector, vector_mean
 from reviewlens.operators.sampling import top_k_per_group
-from reviewlens.operators.text import default_stop_words, raw_tokens, tfidf
+from reviewlens.operators.text import raw_tokens, tfidf
 from reviewlens.session import materialize
 
 
@@ -39,104 +40,80 @@ def encode_text(
     )
 
 
-# a group may put this share of all points, but no fewer than SLICE_POINTS, on one task
-SLICE_SHARE = 0.001
-SLICE_POINTS = 100_000
+def _nearest(points: DataFrame, centers: DataFrame, by: Sequence[str], restarts: int) -> DataFrame:
+    """Row per point and restart with the closest center's ``cluster`` and its ``gap``; low numbers win ties.
 
-
-def _slices(points: DataFrame, by: Sequence[str], least: int) -> DataFrame:
-    """Groups too large for one task and the number of slices they need.
-
-    Fewer than ``1 / SLICE_SHARE`` groups can hold that share of the points.
+    Centers of a group travel as one array of at most ``restarts`` times k
+    entries; a group with very many points is split by adaptive execution.
     """
-    sizes = points.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    total = points.agg(F.count(F.lit(1))).scalar()
-    room = F.greatest(total * SLICE_SHARE, F.lit(float(least)))
-    large = sizes.withColumn("_room", room).filter(F.col("_n") > F.col("_room"))
-    return large.select(*by, F.ceil(F.col("_n") / F.col("_room")).alias("_slices"))
-
-
-def _nearest(points: DataFrame, centers: DataFrame, by: Sequence[str], slices: DataFrame) -> DataFrame:
-    """Closest center per point and restart; the lowest cluster number wins ties.
-
-    Centers of a sliced group are copied to each of its slices.
-    """
-    last = F.coalesce(F.col("_slices"), F.lit(1)) - 1
-    centers = centers.join(F.broadcast(slices), list(by), "left").withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0).cast("long"), last))
-    )
+    packed = centers.groupBy(*by).agg(F.collect_list(F.struct("_restart", "cluster", "at")).alias("_centers"))
     gaps = F.transform(
         "_centers",
         lambda c: F.struct(
             squared_distance(c.getField("at"), F.col("_x")).alias("gap"),
-            c.getField("cluster").alias("cluster"),
+            c.getField("cluster").alias("cluster"), c.getField("_restart").alias("_restart"),
         ),
     )
-    return points.join(centers.drop("_slices"), [*by, "_slice"]).withColumn("_best", F.array_min(gaps))
-
-
-def _pack(elements: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Centers of each group and restart in one array, from rows per vector element.
-
-    An array holds at most k times the vector length entries.
-    """
-    entries = F.array_sort(F.collect_list(F.struct("cluster", "pos", "value")))
-    packed = elements.groupBy(*by, "_restart").agg(entries.alias("_entries"))
-    clusters = F.array_distinct(F.col("_entries").getField("cluster"))
-    return packed.select(
-        *by, "_restart",
-        F.transform(
-            clusters,
-            lambda c: F.struct(
-                c.alias("cluster"),
-                F.filter("_entries", lambda e: e.getField("cluster") == c).getField("value").alias("at"),
-            ),
-        ).alias("_centers"),
-    )
+    near = points.join(packed, list(by)).withColumn("_gaps", gaps).drop("_centers")
+    best = F.array(*[
+        F.array_min(F.filter("_gaps", lambda g: g.getField("_restart") == r)) for r in range(restarts)
+    ])
+    return near.withColumn("_best", F.explode(best)).drop("_gaps").select("*", "_best.*").drop("_best")
 
 
-def grouped_kmeans(
+def fit_kmeans(
     df: DataFrame, by: Sequence[str], key: str, vector: str = "embedding",
-    k: int = K.CLUSTERS_PER_SENTIMENT, restarts: int = K.KMEANS_RESTARTS, iterations: int = 10,
-    seed: int = K.SEED, checkpoint_every: int = 5, slice_points: int = SLICE_POINTS,
-) -> DataFrame:
-    """K-means inside every group at once: (``by``…, key, ``cluster``, ``center``).
+    k: int = K.CLUSTERS_PER_SENTIMENT, restarts: int = K.KMEANS_RESTARTS, iterations: int = K.KMEANS_ROUNDS,
+    seed: int = K.SEED,
+) -> tuple[DataFrame, DataFrame]:
+    """K-means inside every group at once: members (``by``…, key, cluster) and centers (``by``…, cluster, center).
 
     All groups and restarts advance together, one join and one aggregation per
-    round. Start points are the rows of lowest hash priority; groups smaller
+    round, until no point changes its cluster, for ``iterations`` rounds at the
+    most. Start points are the rows of lowest hash priority; groups smaller
     than k get one cluster per row. The restart with the least inertia wins.
     Centers come back with length one, clusters without members are left out.
-    Very large groups are worked on in slices of ``slice_points`` or more.
     """
     by = list(by)
     points = df.select(*by, key, as_vector(vector).alias("_x")).filter(F.col("_x").isNotNull())
-    slices = materialize(_slices(points, by, slice_points))
-    sliced = points.join(F.broadcast(slices), by, "left")
     # every round reads the points again
-    points = materialize(
-        sliced.withColumn("_slice", F.coalesce(F.pmod(F.xxhash64(key), "_slices"), F.lit(0))).drop("_slices")
-    )
-    starts = points.drop("_slice").withColumn("_restart", F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))))
+    points = materialize(points)
+    # keys alone are ranked; the vectors of the few chosen ones follow
+    keys = points.select(*by, key).withColumn("_restart", F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))))
     hashed = F.md5(F.concat_ws("|", F.col(key).cast("string"), (F.col("_restart") + seed).cast("string")))
-    starts = starts.withColumn("_priority", hashed)
-    starts = top_k_per_group(starts, [*by, "_restart"], [F.col("_priority"), F.col(key)], k, "cluster")
-    starts = starts.withColumn("cluster", F.col("cluster") - 1)
-    centers = _pack(starts.select(*by, "_restart", "cluster", F.posexplode("_x").alias("pos", "value")), by)
-    for round_number in range(1, iterations + 1):
-        assigned = _nearest(points, centers, by, slices).withColumn("cluster", F.col("_best.cluster"))
-        centers = _pack(element_means(assigned, [*by, "_restart", "cluster"], "_x"), by)
-        if checkpoint_every and round_number % checkpoint_every == 0 and round_number < iterations:
-            centers = materialize(centers)
-    if restarts > 1:
-        inertia = _nearest(points, centers, by, slices).groupBy(*by, "_restart").agg(
-            F.round(F.sum("_best.gap"), 6).alias("_inertia")
+    starts = top_k_per_group(
+        keys.withColumn("_priority", hashed), [*by, "_restart"], [F.col("_priority"), F.col(key)], k, "cluster"
+    )
+    starts = starts.drop("_priority").withColumn("cluster", F.col("cluster") - 1)
+    centers = materialize(starts.join(points, [*by, key]).select(*by, "_restart", "cluster", F.col("_x").alias("at")))
+    seen = None
+    for _ in range(iterations):
+        assigned = _nearest(points, centers, by, restarts)
+        # summed up by the JVM before the shuffle, so large groups cost no more than small ones
+        mean = Summarizer.mean(array_to_vector("_x"))
+        mark = F.sum(F.pmod(F.xxhash64(key, "_restart", "cluster"), F.lit(1 << 31)))
+        centers = materialize(
+            assigned.groupBy(*by, "_restart", "cluster").agg(vector_to_array(mean).alias("at"), mark.alias("_mark"))
         )
-        best = inertia.groupBy(*by).agg(F.min(F.struct("_inertia", "_restart")).alias("_won"))
-        best = best.select(*by, F.col("_won._restart").alias("_restart"))
-        centers = centers.join(best, [*by, "_restart"])
-    chosen = _nearest(points, centers, by, slices).withColumn("cluster", F.col("_best.cluster"))
-    center = F.filter("_centers", lambda c: c.getField("cluster") == F.col("cluster"))
-    return chosen.select(*by, key, "cluster", unit_vector(F.get(center, F.lit(0)).getField("at")).alias("center"))
+        mark = centers.agg(F.sum("_mark")).first()[0]
+        if mark == seen:
+            break
+        seen = mark
+    final = materialize(_nearest(points, centers, by, restarts).drop("_x"))
+    inertia = final.groupBy(*by, "_restart").agg(F.round(F.sum("gap"), 6).alias("_inertia"))
+    best = inertia.groupBy(*by).agg(F.min(F.struct("_inertia", "_restart")).alias("_won"))
+    best = best.select(*by, F.col("_won._restart").alias("_restart"))
+    won = [*by, "_restart"]
+    return (
+        final.join(best, won, "left_semi").select(*by, key, "cluster"),
+        centers.join(best, won, "left_semi").select(*by, "cluster", unit_vector("at").alias("center")),
+    )
+
+
+def grouped_kmeans(df: DataFrame, by: Sequence[str], key: str, vector: str = "embedding", **options) -> DataFrame:
+    """Members of ``fit_kmeans`` with their center beside them: (``by``…, key, ``cluster``, ``center``)."""
+    members, centers = fit_kmeans(df, by, key, vector, **options)
+    return members.join(centers, [*by, "cluster"])
 
 
 def representatives(
@@ -178,13 +155,14 @@ def cluster_terms(
 ) -> DataFrame:
     """Every term's mean weight inside a cluster minus its mean outside.
 
-    Each group is a corpus of its own. With a single cluster nothing is
-    outside, which counts as zero.
+    Each group is a corpus of its own, without English stop words; words of the
+    domain stay, so that no pair of words skips one. With a single cluster
+    nothing is outside, which counts as zero.
     """
     by = list(by)
     weights = tfidf(
         members, key, raw_tokens(text), by=by, carry=["cluster"],
-        stop_words=default_stop_words() if stop_words is None else stop_words,
+        stop_words=K.ENGLISH_STOP_WORDS if stop_words is None else stop_words,
         min_documents=K.LABEL_MIN_DOCUMENTS, max_share=K.LABEL_MAX_SHARE,
         max_features=max_features, sublinear=False,
     )

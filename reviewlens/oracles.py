@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from reviewlens import constants as K
 from reviewlens.adapters import THEME_ONE, THEME_TWO
-from reviewlens.functions.clean import SPACE, keyword_pattern
+from reviewlens.functions.clean import SPACE
 from reviewlens.functions.titles import UNSTABLE
-from reviewlens.operators.text import default_stop_words
 
 VIEWS = {
     "plays": """
@@ -146,6 +145,11 @@ def unescape(x: str) -> str:
     return x
 
 
+def keyword_pattern(words) -> str:
+    """Any of the words, between word bounds."""
+    return r"\b(?:" + "|".join(words) + r")\b"
+
+
 def names(values) -> str:
     return "[" + ", ".join(_quote(value) for value in values) + "]"
 
@@ -297,9 +301,10 @@ def sides(name: str, source: str, pct: str, rating: str, seed: int, key: str = "
 
 
 def tfidf(name: str, source: str, key: str, tokens: str, by: str = "", carry: str = "", least_docs: str | None = None,
-          share: float = K.TFIDF_MAX_SHARE, features: int = K.TFIDF_MAX_FEATURES, sublinear: bool = True) -> str:
+          share: float = K.TFIDF_MAX_SHARE, features: int = K.TFIDF_MAX_FEATURES, sublinear: bool = True,
+          stop_words: tuple[str, ...] = (*K.ENGLISH_STOP_WORDS, *K.CUSTOM_STOP_WORDS)) -> str:
     """TF-IDF weights as views; the last one is ``name``."""
-    stop = ", ".join(_quote(word) for word in default_stop_words())
+    stop = ", ".join(_quote(word) for word in stop_words)
     b = f"{by}, " if by else ""
     c = f"{carry}, " if carry else ""
     part = f"PARTITION BY {by}" if by else ""
@@ -334,6 +339,10 @@ FROM (SELECT CASE WHEN difference > 0 THEN 'high' ELSE 'low' END AS side, term,
 QUALIFY rank <= 16"""
 
 
+# rounds written out in the SQL; once nothing moves further rounds change nothing, so more than needed is still exact
+TWIN_ROUNDS = 24
+
+
 def kmeans(restarts: int, iterations: int, k: int = 4, size: int = 64) -> str:
     gap = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))"
     views = [
@@ -497,9 +506,14 @@ SELECT CAST(step AS BIGINT) AS step, round(pow(10, low + (high - low) * step / 1
        round(sum(exp(-0.5 * pow((low + (high - low) * step / 199.0 - x) / width, 2))) / (any_value(n) * any_value(width) * sqrt(2 * pi())), 6) AS density
 FROM points, (SELECT *, lo - 3 * width AS low, hi + 3 * width AS high FROM (
        SELECT count(*) AS n, min(x) AS lo, max(x) AS hi, stddev_samp(x) * pow(count(*), -0.2) AS width FROM points)), range(200) t(step)
-GROUP BY step, low, high""", """points AS MATERIALIZED (SELECT log10(playtime_minutes / 60) AS x FROM plays WHERE playtime_minutes / 60 > 0.01
-  ORDER BY md5(review_id || '|42'), review_id LIMIT 100000)""")
+GROUP BY step, low, high""", """points AS MATERIALIZED (SELECT round(log10(playtime_minutes / 60) / 0.001) * 0.001 AS x FROM plays WHERE playtime_minutes / 60 > 0.01)""")
+    out["cohort_study_curve"] = out["playtime_density"]
     out["consensus"] = with_views("ratings consensus", "SELECT * REPLACE (round(steam_consensus, 6) AS steam_consensus) FROM consensus")
+    out["sorted_baseline"] = with_views("ratings consensus", """
+SELECT * REPLACE (round(steam_consensus, 6) AS steam_consensus), row_number() OVER (ORDER BY app_name, app_id) AS position FROM consensus""")
+    out["critic_page_fields"] = """
+SELECT page_id, 'Page & ' || page_id || '.' AS Title, CASE WHEN page_id % 4 > 1 THEN page_id % 101 END AS Metascore,
+       CASE WHEN page_id % 3 > 0 THEN page_id % 57 END AS NumberOfCriticReviews FROM pages"""
     out["status_counts"] = with_views("plays", "SELECT fetch_status, count(*) AS n FROM plays GROUP BY fetch_status")
     out["stage_report"] = with_views("plays", """
 SELECT step, stage, rows, dropped, round(rows / (SELECT count(*) FROM plays) * 100, 6) AS pct_kept FROM (
@@ -552,7 +566,7 @@ UNION ALL (SELECT 'after', p_partkey, Title, Platform FROM deduped_critics ORDER
 SELECT app_id, sentiment, CAST(pos - 1 AS BIGINT) AS pos, round(avg(embedding[pos]), 6) AS value
 FROM member_vectors, range(1, 65) t(pos) GROUP BY app_id, sentiment, pos""")
     out["grouped_kmeans"] = with_views("member_vectors", """
-SELECT app_id, sentiment, vec_id, CAST(cluster AS BIGINT) AS cluster FROM last JOIN won USING (app_id, sentiment, r)""", kmeans(3, 4))
+SELECT app_id, sentiment, vec_id, CAST(cluster AS BIGINT) AS cluster FROM last JOIN won USING (app_id, sentiment, r)""", kmeans(K.KMEANS_RESTARTS, TWIN_ROUNDS))
     out["representatives"] = with_views("member_vectors clustered clusters", """
 SELECT app_id, sentiment, cluster, sample_count, representative_review FROM clusters""")
     out["cluster_shares"] = with_views("member_vectors clustered", """
@@ -561,7 +575,7 @@ FROM (SELECT app_id, sentiment, count(*) AS n FROM clustered GROUP BY ALL) g CRO
 LEFT JOIN clustered c ON c.app_id = g.app_id AND c.sentiment = g.sentiment AND c.cluster = k GROUP BY g.app_id, g.sentiment, k""")
     label_views = tfidf("weights", "clustered", "vec_id", r"regexp_extract_all(lower(review), '[\p{L}\p{N}_]{2,}')",
                         by="app_id, sentiment", carry="cluster", least_docs="2", share=K.LABEL_MAX_SHARE,
-                        features=K.LABEL_MAX_FEATURES, sublinear=False).strip() + """,
+                        features=K.LABEL_MAX_FEATURES, sublinear=False, stop_words=tuple(K.ENGLISH_STOP_WORDS)).strip() + """,
 terms AS MATERIALIZED (SELECT app_id, sentiment, k AS cluster, term, round(inside / ns - coalesce((total - inside) / nullif(docs - ns, 0), 0), 9) AS score
   FROM (SELECT v.app_id, v.sentiment, v.term, s.k, any_value(s.n) AS ns, any_value(s.docs) AS docs, sum(w.weight) AS total,
                coalesce(sum(w.weight) FILTER (WHERE w.cluster = s.k), 0) AS inside
@@ -592,7 +606,7 @@ labels AS (SELECT app_id, sentiment, CAST(cluster AS BIGINT) AS cluster,
     out["item_profiles"] = with_views("plays text_reviews sampled profiles", """
 SELECT * REPLACE (round(recommendation_rate, 6) AS recommendation_rate) FROM profiles""")
     out["run_manifest"] = with_views("plays text_reviews sampled profiles member_vectors clustered clusters", """
-SELECT count(*) AS games, (SELECT count(*) FROM clusters) AS clusters,
+SELECT 'documents' AS source, 'hashed-tfidf' AS model, count(*) AS games, (SELECT count(*) FROM clusters) AS clusters,
        CAST(sum(sampled_positive + sampled_negative) AS BIGINT) AS review_sample_size, 42::BIGINT AS random_seed FROM profiles""")
     out["rank_items"] = with_views(SEARCH, f"""
 SELECT row_number() OVER (ORDER BY wanted_similarity DESC, recommendation_rate DESC, app_id) AS rank, app_id, app_name,
@@ -612,13 +626,14 @@ UNION ALL SELECT app_id, app_name, NULL, NULL, NULL FROM placed WHERE plain <= 3
 SELECT c.app_id, c.app_name, round(c.recommendation_rate, 6) AS recommendation_rate,
        arg_min(t.representative_review, (-readable, md5(t.app_id || '|' || t.cluster || '|43'), t.cluster)) FILTER (WHERE sentiment = 'positive') AS positive_review,
        coalesce(arg_max(t.representative_review, (readable, sample_count, -t.cluster)) FILTER (WHERE sentiment = 'negative'), '') AS negative_review
-FROM (SELECT * FROM items WHERE recommendation_rate >= 60 ORDER BY md5(app_id || '|42'), app_id LIMIT 1) c
+FROM (SELECT * FROM items WHERE recommendation_rate >= 60 AND app_id IN (SELECT app_id FROM clusters WHERE sentiment = 'positive')
+      ORDER BY md5(app_id || '|42'), app_id LIMIT 1) c
 JOIN (SELECT *, CASE WHEN length(coalesce(representative_review, '')) >= 90 THEN 1 ELSE 0 END AS readable FROM clusters) t ON t.app_id = c.app_id
 GROUP BY c.app_id, c.app_name, c.recommendation_rate""")
     out["stream_item_counts"] = with_views("plays", f"""
 SELECT * REPLACE (round(recommendation_rate, 6) AS recommendation_rate) FROM ({COUNTS.format(source='plays')})""")
     out["stream_hash_sample"] = with_views("plays", """
-SELECT review_id, app_id, recommended FROM plays WHERE length(review) >= 20
+SELECT review_id, app_id, recommended FROM plays WHERE length(trim(review)) >= 20 AND recommended IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY app_id, recommended ORDER BY md5(review_id || '|42'), review) <= 10""")
     out["stream_resume"] = with_views("plays responses classified", """
 SELECT review_id, fetch_status, CAST(achievements_unlocked AS BIGINT) AS achievements_unlocked FROM classified""")
@@ -633,8 +648,8 @@ FROM (SELECT *, sqrt(list_inner_product(v, v)) AS length FROM (
   SELECT *, CAST([{letters}] AS DOUBLE[]) AS v FROM (
     SELECT review_id, app_id, CASE WHEN recommended THEN 'positive' ELSE 'negative' END AS sentiment, review, lower(review) AS t
     FROM ({rows}))))),
-""" + kmeans(2, 3, size=26) + """,
-centers AS (SELECT app_id, sentiment, cluster, c AS at, sqrt(list_inner_product(c, c)) AS length FROM c3 JOIN won USING (app_id, sentiment, r)),
+""" + kmeans(K.KMEANS_RESTARTS, TWIN_ROUNDS, size=26) + f""",
+centers AS (SELECT app_id, sentiment, cluster, c AS at, sqrt(list_inner_product(c, c)) AS length FROM c{TWIN_ROUNDS} JOIN won USING (app_id, sentiment, r)),
 themed AS MATERIALIZED (SELECT m.*, l.cluster,
        round(list_inner_product(m.embedding, list_transform(n.at, lambda x: CASE WHEN n.length > 0 THEN x / n.length ELSE x END)), 9) AS score
   FROM last l JOIN won USING (app_id, sentiment, r) JOIN member_vectors m ON m.vec_id = l.vec_id
@@ -665,7 +680,8 @@ clustered AS MATERIALIZED (SELECT * FROM themed),
 """ + label_views + "," + label_walk(own_words))
     plays_box = BOX.format(cohort=COHORT, strip=strip("coalesce(review, '')"), source="plays")
     out["cohort_study"] = with_views("plays", """
-SELECT cohort_order, cohort, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, n, round(share, 6) AS share,
+SELECT cohort_order, cohort, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+       round(whisker_low, 6) AS whisker_low, round(whisker_high, 6) AS whisker_high, n, round(share, 6) AS share,
        round(free_share, 6) AS free_share, round(raw_mean, 6) AS raw_mean, round(trimmed_mean, 6) AS trimmed_mean
 FROM levels JOIN boxed USING (cohort) JOIN shares USING (cohort) JOIN free USING (cohort) JOIN votes USING (cohort)""",
                                      ", ".join([LEVELS, plays_box, SHARES, FREE, VOTES]))

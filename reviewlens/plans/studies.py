@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewlens import constants as K
-from reviewlens.functions.clean import clean_id, clean_text, has_words, item_matches, numeric, parse_boolean, strip
+from reviewlens.functions.clean import clean_id, clean_text, has_words, item_matches, numeric
 from reviewlens.operators import cohorts, completion, consensus, critics, joins, recommend, sampling, text, themes
 from reviewlens.session import materialize
 from reviewlens.sources.tables import require_columns
@@ -23,7 +23,7 @@ def cohort_study(
     narrow = materialize(cohorts.processed(reviews, playtime, key))
     labelled = cohorts.add_cohort(narrow)
     return {
-        "density": cohorts.density(narrow, "playtime_review_hours", key),
+        "density": cohorts.density(narrow, "playtime_review_hours"),
         "shares": cohorts.cohort_shares(narrow),
         "length": cohorts.length_box(labelled),
         "free": cohorts.free_share(labelled),
@@ -42,11 +42,13 @@ def cohort_summary(reviews: DataFrame, playtime: str = "playtime_minutes") -> Da
 
 def enrichment(
     reviews: DataFrame, states: DataFrame, responses: DataFrame, order: Sequence[str],
-    users: int = K.PUBLIC_USERS, user: str = "rater_id", seed: int = K.SEED,
+    users: int = K.PUBLIC_USERS, user: str = "rater_id", seed: int = K.SEED, finished: DataFrame | None = None,
 ) -> DataFrame:
     """Reviews of randomly chosen public users with their classified results.
 
-    User ids and leftover index columns do not go into the result.
+    ``finished`` holds results of an earlier run, with the columns of the new
+    ones; only responses for reviews it does not cover are classified. User ids
+    and leftover index columns do not go into the result.
     """
     require_columns(reviews, [user, "review_id", "app_id"], "Reviews")
     typed = reviews.withColumns({name: clean_id(name) for name in (user, "review_id", "app_id")})
@@ -54,7 +56,14 @@ def enrichment(
     known = states.withColumn(user, clean_id(user))
     chosen = sampling.select_users(typed, known, user, users, seed)
     public = materialize(joins.rows_of(typed, chosen, user))
-    results = joins.classify_responses(responses)
+    results = responses.withColumn("review_id", clean_id("review_id"))
+    if finished is not None:
+        finished = finished.withColumn("review_id", clean_id("review_id"))
+        open_ids = joins.pending(public.select("review_id", "app_id", user), finished, ids=["app_id", user])
+        results = results.join(open_ids.select("review_id"), "review_id", "left_semi")
+    results = joins.classify_responses(results)
+    if finished is not None:
+        results = results.unionByName(finished, allowMissingColumns=True)
     return joins.enrich_reviews(public, results, order).drop(user, "Unnamed: 0", "0")
 
 
@@ -144,10 +153,7 @@ def profile_sample(reviews: DataFrame, k: int = K.SAMPLE_PER_SENTIMENT, key: str
                    seed: int = K.SEED) -> DataFrame:
     """Deduplicated sample of stripped texts per (item, rating)."""
     require_columns(reviews, ["app_id", "app_name", "review", "recommended"], "Reviews")
-    typed = reviews.withColumn("recommended", parse_boolean("recommended", "basic")).dropna(
-        subset=["app_id", "recommended"]
-    )
-    typed = typed.withColumn("review", strip(F.coalesce("review", F.lit(""))))
+    typed = sampling.sample_rows(reviews)
     return sampling.dedupe_sample(sampling.hash_sample(typed, key=key, k=k, seed=seed), key=key)
 
 
@@ -157,7 +163,7 @@ def sentiment() -> Column:
 
 def item_profiles(
     reviews: DataFrame, k: int = K.SAMPLE_PER_SENTIMENT, encoder: Callable[[Column], Column] | None = None,
-    restarts: int = K.KMEANS_RESTARTS, iterations: int = 10, seed: int = K.SEED,
+    restarts: int = K.KMEANS_RESTARTS, iterations: int = K.KMEANS_ROUNDS, seed: int = K.SEED,
 ) -> tuple[DataFrame, DataFrame]:
     """Item table and opinion themes of all items: (items, clusters)."""
     sample = materialize(profile_sample(reviews, k, seed=seed))
@@ -189,7 +195,7 @@ def item_search(
 def theme_map(
     reviews: DataFrame, needle: str, item_id=None, k: int = K.SAMPLE_PER_SENTIMENT,
     encoder: Callable[[Column], Column] | None = None, restarts: int = K.KMEANS_RESTARTS,
-    iterations: int = 10, seed: int = K.SEED,
+    iterations: int = K.KMEANS_ROUNDS, seed: int = K.SEED,
 ) -> DataFrame:
     """Themes of one item: label, share, size, representative text and place on the map."""
     rows = reviews.filter(item_matches("app_name", "app_id", needle, item_id))

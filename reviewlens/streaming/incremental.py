@@ -1,7 +1,9 @@
 """Running counts, mergeable samples and resumable collection as streams.
 
-Results are versioned by batch id. A batch that is retried after a failure
-overwrites its own version, so nothing is counted or stored twice.
+Results are kept by batch id. A batch that is retried after a failure
+overwrites its own result, so nothing is counted or stored twice. Running
+states keep the last two batches only; resumed collection keeps every batch's
+results, each row once, and reads only the ids of earlier ones.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from reviewlens import constants as K
 from reviewlens.operators.consensus import merge_names, name_counts
 from reviewlens.operators.joins import classify_responses, pending
-from reviewlens.operators.sampling import dedupe, dedupe_sample, hash_sample, top_k_per_group
+from reviewlens.operators.sampling import dedupe, dedupe_sample, hash_sample, sample_rows, top_k_per_group
 
 
 def open_stream(
@@ -43,43 +45,51 @@ def _version(target: str, number: int) -> str:
     return f"{target}/version={number}"
 
 
-def latest_version(spark: SparkSession, target: str) -> DataFrame:
-    """Rows of the newest version below a target."""
-    versions = spark.read.parquet(target)
-    newest = versions.agg(F.max("version")).scalar()
-    return versions.filter(F.col("version") == newest).drop("version")
+def _write_state(rows: DataFrame, target: str, number: int) -> None:
+    """State after a batch. Two slots take turns, so a retried batch still finds the state before it."""
+    rows.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{target}/slot={number % 2}")
+
+
+def _read_state(spark: SparkSession, target: str, number: int) -> DataFrame:
+    return spark.read.parquet(f"{target}/slot={number % 2}").drop("_batch")
+
+
+def latest_state(spark: SparkSession, target: str) -> DataFrame:
+    """Rows of the newest state below a target; an empty state cannot hide an older one, as states only grow."""
+    states = spark.read.parquet(target)
+    newest = states.agg(F.max("_batch")).scalar()
+    return states.filter(F.col("_batch") == newest).drop("_batch", "slot")
 
 
 def stream_item_counts(reviews: DataFrame, target: str, order: str = "review_id") -> DataFrame:
     """Counts per item; the streaming state holds one row per item and name."""
 
     def handle(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(_version(target, number))
+        _write_state(batch, target, number)
 
     _run(name_counts(reviews, order), handle, target, "complete")
-    return merge_names(latest_version(reviews.sparkSession, target))
+    return merge_names(latest_state(reviews.sparkSession, target))
 
 
 def stream_hash_sample(
     reviews: DataFrame, target: str, k: int = K.SAMPLE_PER_SENTIMENT, dedupe_rows: bool = True, **options
 ) -> DataFrame:
-    """The same sample as ``hash_sample``, kept up to date batch by batch.
+    """The same sample as ``profile_sample`` of all rows, kept up to date batch by batch.
 
     The lowest priorities of old sample and new batch together are the lowest
     overall, so any split into batches gives the same rows.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
-        fresh = hash_sample(batch, k=k, **options)
+        fresh = hash_sample(sample_rows(batch), k=k, **options)
         if number > 0:
-            kept = batch.sparkSession.read.parquet(_version(target, number - 1))
-            both = kept.unionByName(fresh)
+            both = _read_state(batch.sparkSession, target, number - 1).unionByName(fresh)
             order = [F.col("_priority"), F.col("review")]
             fresh = top_k_per_group(both, ["app_id", "recommended"], order, k)
-        fresh.write.mode("overwrite").parquet(_version(target, number))
+        _write_state(fresh, target, number)
 
     _run(reviews, handle, target)
-    sample = latest_version(reviews.sparkSession, target)
+    sample = latest_state(reviews.sparkSession, target)
     return dedupe_sample(sample) if dedupe_rows else sample
 
 
@@ -91,7 +101,7 @@ def stream_resume(
     def handle(batch: DataFrame, number: int) -> None:
         fresh = dedupe(batch, [key], order, "last")
         if number > 0:
-            done = batch.sparkSession.read.parquet(target).filter(F.col("version") < number)
+            done = batch.sparkSession.read.parquet(target).filter(F.col("version") < number).select(key)
             fresh = pending(fresh, done, key)
         classify_responses(fresh).write.mode("overwrite").parquet(_version(target, number))
 

@@ -19,6 +19,31 @@ def test_page_fields(spark):
     assert found[3] == found[4] == (None, None, None)
 
 
+def test_page_fields_stay_in_their_block(spark):
+    score = '<div class="score-card-left__score-number"><p>%s</p></div>'
+    pages = [
+        (1, score % "<span>tbd</span>" + "<span>77</span>"), (2, "<span>77</span>"), (3, score % "<span> <b>9</b>1 </span><span>5</span>"),
+        (4, '<div class="count">Showing <b>12</b> Critic Reviews</div>'), (5, "Showing 12 Critic Reviews"),
+    ]
+    df = spark.createDataFrame(pages, "page_id int, html string")
+    found = {r["page_id"]: (r["Metascore"], r["NumberOfCriticReviews"]) for r in critics.extract_page_fields(df).collect()}
+    assert found == {1: (None, None), 2: (None, None), 3: (91, None), 4: (None, 12), 5: (None, None)}
+
+
+def test_references(spark):
+    texts = ["a &amp;lt; b", "&eacute;&amp;", "x & y", "&lt;i&gt;", None, "plain"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = [r["u"] for r in df.select("i", critics.unescape(F.col("t")).alias("u")).orderBy("i").collect()]
+    assert found == ["a &lt; b", "é&", "x & y", "<i>", None, "plain"]
+
+
+def test_empty_title_keys_match_nothing(spark):
+    items = spark.createDataFrame([(1, "東京"), (2, "物語"), (3, "A")], "app_id int, app_name string")
+    scores = spark.createDataFrame([("京都", 60.0), ("大阪", 70.0), ("a", 10.0)], "Title string, Metascore double")
+    assert [r["app_id"] for r in critics.match_titles(items, scores).collect()] == [3]
+    assert {r["side"]: r["empty_titles"] for r in critics.empty_titles(items, scores).collect()} == {"items": 2, "critics": 2}
+
+
 def pages(spark):
     rows = [
         (1, "A", "PC", "80", "9", "u/1"), (2, "B", "PC", "None", "9", "u/2"), (3, "C", "PC", "70", "4", "u/3"),

@@ -58,6 +58,14 @@ def brute(items, clusters, avoid=None, min_rate=70, pool=20):
     return sorted(out, key=lambda r: (-round(r["score"], 9), -r["rate"], r["app_id"]))
 
 
+def test_random_pick_has_a_theme(spark):
+    items = spark.createDataFrame([(i, f"i{i}", 90.0, 5) for i in range(9)], "app_id int, app_name string, recommendation_rate double, review_count int")
+    rows = [(4, "i4", "positive", 0, 3, "fine"), (5, "i5", "negative", 0, 3, "bad")]
+    clusters = spark.createDataFrame(rows, "app_id int, app_name string, sentiment string, cluster int, sample_count int, representative_review string")
+    for seed in range(3):
+        assert [r["app_id"] for r in recommend.random_pick(items, clusters, seed=seed).collect()] == [4]
+
+
 def test_rank_items(shelf):
     items, clusters, item_df, cluster_df = shelf
     found = recommend.rank_items(item_df, cluster_df, WANTED, n=8).orderBy("rank").collect()

@@ -75,10 +75,12 @@ def test_dedupe_keeps_ends_and_joins_null_keys(spark):
     assert {r["n"] for r in last} == {2, 4, 5}
 
 
-@pytest.mark.parametrize("merged", [10**6, -1])
+def test_no_cap_keeps_all_rows(skewed):
+    assert sampling.cap_per_group(skewed, ["app_id"], "review_id", None).count() == skewed.count()
+
+
 @pytest.mark.parametrize("n", [0, 1, 100, 5999, 10000])
-def test_sample_n(skewed, n, merged, monkeypatch):
-    monkeypatch.setattr(sampling, "MERGED_ROWS", merged)
+def test_sample_n(skewed, n):
     found = {r["review_id"] for r in sampling.sample_n(skewed, ["review_id"], n).collect()}
     assert found == {i for _, i in sorted((md5(i, 42), i) for i in range(6000))[:n]}
 
@@ -104,5 +106,5 @@ def test_select_users(spark):
     states = spark.createDataFrame([(i, 3 if i % 2 else 1) for i in range(40)], "rater_id long, state int")
     chosen = [r["rater_id"] for r in sampling.select_users(users, states, n=5).collect()]
     assert sorted(chosen) == sorted(i for _, i in sorted((md5(i, 42), i) for i in range(1, 40, 2))[:5])
-    with pytest.raises(RuntimeError, match="Only 20 public users"):
+    with pytest.raises(RuntimeError, match="20 exist"):
         sampling.select_users(users, states, n=21)

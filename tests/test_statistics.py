@@ -87,8 +87,8 @@ def test_cohort_statistics(rated):
 def test_density_equals_direct_sum(spark):
     values = np.random.default_rng(5).lognormal(1, 1, 300)
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)] + [(999, 0.001)], "k long, h double")
-    found = cohorts.density(df, "h", "k", grid=50).orderBy("step").collect()
-    x = np.log10(values)
+    found = cohorts.density(df, "h", grid=50).orderBy("step").collect()
+    x = np.round(np.log10(values) / 0.001) * 0.001
     width = x.std(ddof=1) * len(x) ** -0.2
     grid = np.linspace(x.min() - 3 * width, x.max() + 3 * width, 50)
     direct = np.exp(-0.5 * ((grid[:, None] - x) / width) ** 2).sum(axis=1) / (len(x) * width * np.sqrt(2 * np.pi))
@@ -98,6 +98,26 @@ def test_density_equals_direct_sum(spark):
     assert area == pytest.approx(1, abs=0.01)
 
 
+def test_density_of_a_sample(spark):
+    df = spark.range(1, 400).selectExpr("id AS k", "CAST(id AS DOUBLE) AS h")
+    curve = cohorts.density(df, "h", "k", grid=80, sample=50).collect()
+    large = cohorts.density(df, "h", "k", grid=80, sample=10_000).orderBy("step").collect()
+    whole = cohorts.density(df, "h", grid=80).orderBy("step").collect()
+    assert len(curve) == 80 and [r["density"] for r in large] == pytest.approx([r["density"] for r in whole])
+    assert cohorts.density(df.limit(1), "h").count() == 0
+
+
+def test_unreadable_ratings_count_as_none_positive(spark):
+    df = spark.createDataFrame([(i, "a", "A", "?") for i in range(30)], "review_id long, app_id string, app_name string, recommended string")
+    assert [tuple(r) for r in consensus.consensus(df).collect()] == [("a", "A", 30, 0, 0.0)]
+
+
+def test_sorted_baseline(spark):
+    rows = [(i, n, n, i % 2 == 0) for n in ("b", "a") for i in range(30)]
+    df = spark.createDataFrame(rows, "review_id long, app_id string, app_name string, recommended boolean")
+    assert [r["app_name"] for r in consensus.sorted_baseline(df).collect()] == ["a", "b"]
+
+
 def test_consensus_needs_support(spark):
     rows = [(i, "a", "A", i % 3 > 0) for i in range(30)] + [(i, "b", "B", True) for i in range(29)]
     rows += [(i, None, "C", True) for i in range(40)] + [(i, "d", "D", True) for i in range(31)]

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.adapters import as_plays, as_responses
 from reviewlens.operators import consensus, joins, sampling
+from reviewlens.plans import studies
 from reviewlens.streaming import incremental
 
 
@@ -31,6 +32,30 @@ def test_sample_does_not_depend_on_batches(spark, split, tmp_path):
     assert rows(found.select("review_id", "app_id")) == rows(batch.select("review_id", "app_id"))
 
 
+def test_sample_prepares_rows_like_the_batch_form(spark, tmp_path):
+    rows = [
+        (1, "a", "A", "  ten letters  " + " " * 20, "true"), (2, "a", "A", "long enough for a sample", None),
+        (3, "a", "A", "long enough for a sample too", "yes"), (4, "a", "A", " another text of some length ", "0"),
+    ]
+    df = spark.createDataFrame(rows, "review_id long, app_id string, app_name string, review string, recommended string")
+    path = str(tmp_path / "in")
+    df.repartition(3, "review_id").write.parquet(path)
+    found = incremental.stream_hash_sample(incremental.open_stream(spark, path, 1), str(tmp_path / "out"), k=6)
+    batch = studies.profile_sample(df, k=6)
+    assert rows_of(found, batch.columns) == rows_of(batch, batch.columns)
+    assert {r["review_id"] for r in batch.collect()} == {3, 4}
+
+
+def rows_of(df, columns):
+    return sorted(map(str, df.select(sorted(columns)).collect()))
+
+
+def test_old_states_go(spark, split, tmp_path):
+    target = tmp_path / "out"
+    incremental.stream_item_counts(as_plays(incremental.open_stream(spark, split, 1)), str(target)).collect()
+    assert len([p for p in target.iterdir() if p.name.startswith("slot=")]) <= 2
+
+
 def test_resume_skips_finished_ids(spark, split, tmp_path):
     target = str(tmp_path / "out")
     answers = as_responses(as_plays(incremental.open_stream(spark, split, 1)))

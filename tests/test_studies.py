@@ -1,10 +1,12 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from reviewlens import adapters as A, constants as K
 from reviewlens.operators import consensus
 from reviewlens.plans import studies
-from reviewlens.session import materialize, shared_root
+from reviewlens.session import materialize, release_stages, shared_root
 from reviewlens.sources import tables
 
 
@@ -93,17 +95,23 @@ class Stub:
     """Just enough of a session to ask where the shared folder is."""
 
     def __init__(self, configured, master):
-        self.conf = self.sparkContext = self
-        self.configured, self.master, self.set = configured, master, None
+        self.conf = self
+        self.settings = {"spark.master": master} | ({"spark.checkpoint.dir": configured} if configured else {})
 
     def get(self, name, default=None):
-        return self.configured or default
+        return self.settings.get(name, default)
+
+    def set(self, name, value):
+        self.settings[name] = value
 
-    def getCheckpointDir(self):
-        return self.set
 
-    def setCheckpointDir(self, path):
-        self.set = path
+def test_stages_are_released(spark):
+    session = spark.newSession()
+    kept = materialize(session.range(5))
+    folder = kept.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    assert kept.count() == 5 and os.path.isdir(folder)
+    release_stages(session)
+    assert not os.path.isdir(folder)
 
 
 def test_shared_folder_comes_from_the_session(spark):
@@ -111,5 +119,5 @@ def test_shared_folder_comes_from_the_session(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_root(Stub(None, "yarn"))
     local = Stub(None, "local[2]")
-    assert shared_root(local) == shared_root(local) == local.set
+    assert shared_root(local) == shared_root(local) == local.settings["reviewlens.checkpoint.dir"]
     assert shared_root(spark)
