@@ -121,6 +121,10 @@ def learn_terms(rows: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]
         # at most TERM_LIMIT rows reach the driver
         .orderBy(F.desc(F.col("weight") * F.sqrt("toxic")), "stem").limit(TERM_LIMIT).collect()
     )
+    # of word starts that mark the same documents the longest one says most exactly what was found
+    toxic = {row["stem"]: row["toxic"] for row in found}
+    extended = {row["stem"][:-1] for row in found if row["toxic"] == toxic.get(row["stem"][:-1])}
+    found = [row for row in found if row["stem"] not in extended]
     terms: dict[str, float] = {}
     for row in sorted(found, key=lambda r: (len(r["stem"]), r["stem"])):
         stem, weight = row["stem"], row["weight"]
