@@ -1,8 +1,10 @@
 """Exact quantiles of columns that no single task could hold.
 
-Values are first counted, so repeats cost nothing. Counts are then summed into
-buckets by a rising function of the value. The bucket totals show which buckets
-hold the wanted ranks, and only the values of those buckets are put in order.
+Values are first counted and written once, so repeats cost nothing and the
+table is read once. Counts are then summed into buckets by a rising function of
+the value; the totals show which buckets hold the wanted ranks, those are cut
+into finer parts the same way, and only the values of the parts that hold a
+rank are put in order.
 """
 
 from __future__ import annotations
@@ -11,9 +13,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from reviewlens.session import materialize
+
 # buckets per doubling of the value; doubles span fewer than 2 * SPAN doublings
 BUCKETS = 1024
 SPAN = 1100
+# parts of a bucket's range of values
+PARTS = 4096
 
 
 def value_counts_numeric(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -39,12 +45,11 @@ def exact_quantiles(
     df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Linear-interpolated quantiles as rows (``by``…, ``prob``, ``quantile``)."""
-    return quantiles_of_counts(value_counts_numeric(df, value, by), probs, by)
+    return quantiles_of_counts(materialize(value_counts_numeric(df, value, by)), probs, by)
 
 
-def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    by = list(by)
-    counts = counts.withColumn("_b", _bucket(F.col("_v")))
+def _holding(counts: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Buckets that hold a wanted rank: (``by``…, _b, prob, at, _before)."""
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     running = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranks = F.array(
@@ -53,23 +58,52 @@ def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[
             for p in probs
         ]
     )
-    holding = (
+    return (
         counts.groupBy(*by, "_b")
         .agg(F.sum("_n").alias("_in"))
         .withColumn("_total", F.sum("_in").over(group))
         .withColumn("_upto", F.sum("_in").over(running))
         .withColumn("_want", F.explode(ranks))
-        .select(
-            *by, "_b", "_want.prob", "_want.at",
-            (F.col("_upto") - F.col("_in")).alias("_before"), "_upto",
-        )
+        .select(*by, "_b", "_want.prob", "_want.at", (F.col("_upto") - F.col("_in")).alias("_before"), "_upto")
         .filter((F.ceil("at") >= F.col("_before")) & (F.floor("at") < F.col("_upto")))
+        .drop("_upto")
+    )
+
+
+def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """Quantiles from (``by``…, _v, _n): the bucket of each rank, then its finer part, then the values in order.
+
+    Both narrowings look at bucket sums alone. The second one cuts the range of
+    values that a bucket really holds into ``PARTS``, so values that all lie
+    close together are spread as well as any others.
+    """
+    by = list(by)
+    counts = counts.withColumn("_b", _bucket(F.col("_v")))
+    coarse = _holding(counts, by, probs)
+    if not by:
+        # at most two buckets for each probability
+        coarse = F.broadcast(coarse)
+    near = counts.join(coarse, [*by, "_b"])
+    # a rank between two values may want two buckets; each is cut on its own
+    range_ = near.groupBy(*by, "prob", "_b").agg(F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+    part = F.floor((F.col("_v") / 2 - F.col("_min") / 2) / (F.col("_max") / 2 - F.col("_min") / 2) * PARTS)
+    spread = (F.col("_max") > F.col("_min")) & (F.col("_max") < float("inf")) & (F.col("_min") > float("-inf"))
+    fine = near.join(range_, [*by, "prob", "_b"]).withColumn(
+        "_b", F.struct(F.col("_b").alias("b"), F.when(spread, part).otherwise(0).alias("part"))
+    )
+    # ranks of a bucket start where the first narrowing said
+    fine = fine.withColumn("_from", F.col("_before"))
+    sums = fine.groupBy(*by, "prob", "_from", "_b").agg(F.sum("_n").alias("_in"), F.max("at").alias("at"))
+    running = Window.partitionBy(*by, "prob", "_from").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = sums.withColumn("_upto", F.col("_from") + F.sum("_in").over(running)).withColumn("_start", F.col("_upto") - F.col("_in"))
+    holding = sums.filter((F.ceil("at") >= F.col("_start")) & (F.floor("at") < F.col("_upto"))).select(
+        *by, "prob", "_from", "_b", F.col("_start").alias("_before")
     )
-    inside = Window.partitionBy(*by, "prob", "_b").orderBy("_v").rowsBetween(
+    inside = Window.partitionBy(*by, "prob", "_from", "_b").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     placed = (
-        counts.join(holding, [*by, "_b"])
+        fine.drop("_before").join(holding, [*by, "prob", "_from", "_b"])
         .withColumn("_end", F.col("_before") + F.sum("_n").over(inside))
         .withColumn("_start", F.col("_end") - F.col("_n"))
     )
@@ -97,7 +131,7 @@ def box_stats(df: DataFrame, group: str, value: str, levels: Sequence[str]) -> D
     Whiskers end at the outermost values within 1.5 quartile ranges, and never
     inside the box.
     """
-    counts = value_counts_numeric(df.filter(F.col(group).isin(list(levels))), value, [group])
+    counts = materialize(value_counts_numeric(df.filter(F.col(group).isin(list(levels))), value, [group]))
     quartiles = (
         quantiles_of_counts(counts, [0.25, 0.5, 0.75], [group])
         .groupBy(group)

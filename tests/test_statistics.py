@@ -84,6 +84,21 @@ def test_cohort_statistics(rated):
     assert votes[2]["raw_mean"] is None
 
 
+@pytest.mark.parametrize("values", [
+    [1000 + i * 1e-4 for i in range(3000)], [-5.0, 5.0, float("inf"), float("-inf"), 0.0, 0.0], [7.0] * 50, [2.0**i for i in range(-40, 40)],
+])
+def test_quantiles_of_close_and_far_values(spark, values):
+    probs = [0.0, 0.1, 0.25, 0.5, 0.77, 0.99, 1.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    found = {r["prob"]: r["quantile"] for r in quantiles.exact_quantiles(df, "v", probs).collect()}
+    for p in probs:
+        low = sorted(values)[int(np.floor(p * (len(values) - 1)))]
+        if np.isfinite(low):
+            with np.errstate(invalid="ignore"):
+                expected = np.quantile(values, p)
+            assert found[p] == pytest.approx(expected) or np.isnan(expected)
+
+
 def test_density_equals_direct_sum(spark):
     values = np.random.default_rng(5).lognormal(1, 1, 300)
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)] + [(999, 0.001)], "k long, h double")
