@@ -115,11 +115,9 @@ def _prefix_counts(hashed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return counts.withColumn("_seen", F.sum("_n").over(running))
 
 
-def _cutoff(n: int, condition: Column | None = None) -> Column:
+def _cutoff(n: int) -> Column:
     """First prefix that covers n rows; one past all prefixes when there are fewer."""
-    enough = F.col("_seen") >= n
-    covered = F.when(enough if condition is None else enough & condition, F.col("_prefix"))
-    return F.coalesce(F.min(covered), F.lit("g"))
+    return F.coalesce(F.min(F.when(F.col("_seen") >= n, F.col("_prefix"))), F.lit("g"))
 
 
 def sample_n(df: DataFrame, keys: Sequence[str], n: int, seed: int = K.SEED) -> DataFrame:
@@ -158,30 +156,34 @@ def select_users(
 
 
 def balanced_sample(
-    df: DataFrame, key: str, side: str = "side",
-    limit: int = K.TEXT_SAMPLE_LIMIT, minimum: int = K.MIN_TEXTS_PER_SIDE, seed: int = K.SEED,
+    df: DataFrame, key: str, side: str = "side", limit: int | None = K.TEXT_SAMPLE_LIMIT,
+    minimum: int = K.MIN_TEXTS_PER_SIDE, seed: int = K.SEED,
 ) -> DataFrame:
-    """Equally large random samples of the rows marked ``low`` and ``high``.
+    """Equally large random samples of the rows marked ``low`` and ``high``, of ``limit`` rows each at the most.
 
-    One pass over the keys yields the size of both sides and the hash prefixes
-    to look below; only about ``limit`` rows per side are then ranked.
+    One pass over the keys counts rows by side and hash prefix; as in
+    ``sample_n`` only rows with the prefix that holds a side's last row are
+    ranked, so no task orders a whole side.
     """
     low = F.col(side) == "low"
     side_seed = F.when(low, str(seed)).otherwise(str(seed + 1))
     hashed = df.withColumn("_priority", F.md5(F.concat_ws("|", F.col(key).cast("string"), side_seed)))
-    rows = F.coalesce(F.max(F.when(low, F.col("_seen"))), F.lit(0)), F.coalesce(
-        F.max(F.when(~low, F.col("_seen"))), F.lit(0)
-    )
-    size = F.least(*rows, F.lit(limit))
-    too_few = F.raise_error(F.lit(f"Both sides need at least {minimum} usable reviews")).cast("long")
-    plan = _prefix_counts(hashed, [side]).agg(
-        F.struct(
-            F.when(size >= minimum, size).otherwise(too_few).alias("size"),
-            _cutoff(limit, low).alias("low"), _cutoff(limit, ~low).alias("high"),
-        )
-    ).scalar()
-    near = hashed.filter(_prefix() <= F.when(low, plan.getField("low")).otherwise(plan.getField("high")))
-    ranked = near.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(side).orderBy("_priority", key))
-    )
-    return ranked.filter(F.col("_rank") <= plan.getField("size")).drop("_rank", "_priority")
+    counts = materialize(_prefix_counts(hashed, [side]))
+    rows = [F.coalesce(F.max(F.when(low if is_low else ~low, F.col("_seen"))), F.lit(0)) for is_low in (True, False)]
+    size = F.least(*rows, *([] if limit is None else [F.lit(limit)]))
+    too_few = F.raise_error(F.lit(f"Each side has to hold {minimum} usable reviews or more")).cast("long")
+    sized = counts.withColumn("_size", counts.agg(F.when(size >= minimum, size).otherwise(too_few).alias("n")).scalar())
+    reached = F.col("_seen") >= F.col("_size")
+
+    def edge(condition: Column) -> Column:
+        missing = F.max(F.when(reached & condition, F.col("_size") - F.col("_seen") + F.col("_n")))
+        prefix = F.coalesce(F.min(F.when(reached & condition, F.col("_prefix"))), F.lit("g"))
+        return F.struct(prefix.alias("prefix"), F.coalesce(missing, F.lit(0)).alias("rows"))
+
+    plan = sized.agg(F.struct(edge(low).alias("low"), edge(~low).alias("high"))).scalar()
+    last = F.when(low, plan.getField("low")).otherwise(plan.getField("high"))
+    near = hashed.withColumns({"_prefix": _prefix(), "_last": last}).filter(F.col("_prefix") <= F.col("_last.prefix"))
+    order = Window.partitionBy(side, "_prefix").orderBy("_priority", key)
+    ranked = near.withColumn("_rank", F.row_number().over(order))
+    chosen = (F.col("_prefix") < F.col("_last.prefix")) | (F.col("_rank") <= F.col("_last.rows"))
+    return ranked.filter(chosen).drop("_rank", "_priority", "_prefix", "_last")

@@ -95,9 +95,10 @@ def test_balanced_sample(spark):
     assert high == {i for _, i in sorted((md5(i, 8), i) for i in range(30, 100))[:30]}
     capped = sampling.balanced_sample(df, "k", limit=12, minimum=10, seed=7)
     assert {r["side"]: r["count"] for r in capped.groupBy("side").count().collect()} == {"low": 12, "high": 12}
-    with pytest.raises(Exception, match="at least 31 usable"):
+    assert sampling.balanced_sample(df, "k", limit=None, minimum=10, seed=7).count() == 60
+    with pytest.raises(Exception, match="31 usable"):
         sampling.balanced_sample(df, "k", minimum=31).collect()
-    with pytest.raises(Exception, match="at least 1 usable"):
+    with pytest.raises(Exception, match="1 usable"):
         sampling.balanced_sample(df.filter("side = 'low'"), "k", minimum=1).collect()
 
 
