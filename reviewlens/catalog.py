@@ -473,7 +473,7 @@ def tfidf_diff_neg(spark, d):
 def encode_text(spark, d):
     docs = A.table(spark, d, "documents").select("doc_id", F.col("text").alias("review"))
     coded = themes.encode_text(docs)
-    return coded.select("doc_id", F.round(vectors.dot("embedding", "embedding"), 3).alias("length"))
+    return elements(coded, ["doc_id"], "embedding", 4).filter("value <> 0")
 
 
 @query

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reviewlens import constants as K
 from reviewlens.operators.sampling import top_k_per_group
+from reviewlens.session import materialize
 
 WORD = r"[\p{L}\p{N}_]{2,}"
 
@@ -57,9 +58,12 @@ def tfidf(
         .groupBy(*by, *carry, key, "term")
         .agg(F.count(F.lit(1)).alias("_tf"))
     )
+    # vocabulary and weights both read the counts
+    counted = materialize(counted)
     vocabulary = _vocabulary(docs, counted, by, min_documents, max_share, max_features)
     joined = counted.join(vocabulary, [*by, "term"])
     frequency = 1 + F.log("_tf") if sublinear else F.col("_tf").cast("double")
+    # rows of one document lie together again after the join with the vocabulary
     length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
     return joined.withColumn("_w", frequency * F.col("_idf")).select(
         *by, *carry, key, "term", (F.col("_w") / length).alias("weight")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
-from pyspark.ml.feature import HashingTF, IDF, Normalizer, PCA
+from pyspark.ml.feature import CountVectorizerModel, IDF, Normalizer, PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
@@ -31,8 +31,12 @@ def encode_text(
     if encoder is not None:
         coded = df.withColumn(name, encoder(F.col(text)))
         return coded.withColumn(name, unit_vector(name).cast("array<float>"))
-    words = df.withColumn("_words", raw_tokens(text))
-    counts = HashingTF(numFeatures=size, inputCol="_words", outputCol="_counts").transform(words)
+    # a word's place follows from its md5, so any other tool can compute the same vectors
+    place = lambda word: F.conv(F.substring(F.md5(word), 1, 7), 16, 10).cast("int") % size
+    words = df.withColumn("_words", F.transform(raw_tokens(text), lambda word: place(word).cast("string")))
+    words = words.withColumn("_words", F.coalesce("_words", F.array().cast("array<string>")))
+    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(size)], "_words", "_counts")
+    counts = counter.transform(words)
     weighted = IDF(inputCol="_counts", outputCol="_weights").fit(counts).transform(counts)
     scaled = Normalizer(inputCol="_weights", outputCol="_unit").transform(weighted)
     return scaled.withColumn(name, vector_to_array("_unit", "float32")).drop(

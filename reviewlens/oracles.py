@@ -562,6 +562,13 @@ UNION ALL (SELECT 'after', p_partkey, Title, Platform FROM deduped_critics ORDER
             "plays text_reviews", f"SELECT * FROM ({top_terms('weights', 'picked')})",
             sides("picked", "text_reviews", "completion_percentage", rating, seed) + ","
             + tfidf("weights", "picked", "id", "string_split(text, ' ')", carry="side"))
+    out["encode_text"] = r"""
+WITH words AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS word FROM documents),
+counts AS (SELECT doc_id, CAST('0x' || substr(md5(word), 1, 7) AS INT) % 384 AS pos, count(*) AS n FROM words GROUP BY ALL),
+weights AS (SELECT doc_id, pos, n * ln(((SELECT count(*) FROM documents) + 1.0) / (df + 1.0)) AS w
+            FROM counts JOIN (SELECT pos, count(*) AS df FROM counts GROUP BY pos) USING (pos)),
+scaled AS (SELECT doc_id, CAST(pos AS BIGINT) AS pos, round(CAST(CAST(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS FLOAT) AS DOUBLE), 4) AS value FROM weights)
+SELECT * FROM scaled WHERE value <> 0"""
     out["centroids"] = with_views("member_vectors", """
 SELECT app_id, sentiment, CAST(pos - 1 AS BIGINT) AS pos, round(avg(embedding[pos]), 6) AS value
 FROM member_vectors, range(1, 65) t(pos) GROUP BY app_id, sentiment, pos""")
