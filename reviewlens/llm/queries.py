@@ -81,7 +81,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
 }
 
+#: Learned scores, edit distances of characters, tokens and scans for spans are not SQL, and every 100-byte string is too
+#: much of it; tests/llm checks those queries against plain Python.
 ORACLES: dict[str, str] = {
+    "op2_minhash_near_dedup": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, CASE WHEN len(words) < 5 THEN array_to_string(words, ' ') ELSE array_to_string(words[p : p + 4], ' ') END AS shingle
+  FROM w, unnest(range(1, greatest(2, len(words) - 3))) t(p) WHERE len(words) > 0),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON y.shingle = x.shingle AND x.doc_id < y.doc_id
+                    GROUP BY x.doc_id, y.doc_id) JOIN n m ON m.doc_id = a JOIN n o ON o.doc_id = b
+  WHERE 100 * common >= 75 * (m.n + o.n - common)),
+both_ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON e.a = r.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(min(r.b), d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(min(r.b), d.doc_id)) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id, n.n
+""",
+    "op5_substring_dedup": r"""
+WITH w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+later AS MATERIALIZED (
+  SELECT doc_id, p FROM (SELECT doc_id, p, md5(array_to_string(words[p : p + 19], ' ')) AS k FROM w, unnest(range(1, len(words) - 18)) t(p))
+  QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, p) > 1),
+placed AS (SELECT doc_id, q, words[q] AS word FROM w, unnest(range(1, len(words) + 1)) t(q)),
+marked AS (SELECT y.doc_id, y.q, y.word, coalesce(l.p > y.q - 20, FALSE) AS gone
+           FROM placed y ASOF LEFT JOIN later l ON l.doc_id = y.doc_id AND l.p <= y.q)
+SELECT w.doc_id, len(w.words) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY q) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM w LEFT JOIN marked m ON m.doc_id = w.doc_id GROUP BY w.doc_id, w.words
+""",
     "op10_exact_dedup": r"""
 WITH x AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM x GROUP BY norm)
