@@ -27,8 +27,9 @@ def read_reviews(
 ) -> DataFrame:
     """Review rows from CSV with a header; columns are matched by name.
 
-    Quoted line breaks need ``multiline``, which reads a file in one task:
-    keep such files small or give ``multiline=False`` where texts hold none.
+    Quoted line breaks need ``multiline``, which reads a file in one task. Pass
+    large exports through ``store_reviews`` once and read its Parquet parts
+    from then on, or give ``multiline=False`` where texts hold no line breaks.
     The header decides the column order; ``schema`` sets the types by name.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
@@ -43,6 +44,12 @@ def read_reviews(
     return rows
 
 
+def store_reviews(spark: SparkSession, path: str, target: str, parts: int = 200, **options) -> DataFrame:
+    """The CSV export as a Parquet table of ``parts`` files, written once; options as for ``read_reviews``."""
+    read_reviews(spark, path, **options).repartition(parts).write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target)
+
+
 # spellings found in exports, and the names the operators expect
 COLUMN_NAMES = {
     "author.steamid": "rater_id",

@@ -96,3 +96,10 @@ def test_refresh_only_when_stale(spark, tmp_path):
     assert len(built) == 3
     with pytest.raises(FileNotFoundError):
         tables.refresh_if_stale(spark, str(tmp_path / "none"), target, build)
+
+
+def test_stored_reviews_are_split(spark, csv_path, tmp_path):
+    target = str(tmp_path / "stored")
+    rows = tables.store_reviews(spark, csv_path, target, 2, columns=["review_id", "review"])
+    assert sorted(r["review_id"] for r in rows.collect()) == ["1", "2"] and rows.columns == ["review_id", "review"]
+    assert len([f for f in os.listdir(target) if f.endswith(".parquet")]) == 2
