@@ -1,11 +1,12 @@
 """Benchmark decontamination by CGK embedding and bit-sampling LSH.
 
 Windows of a benchmark item's size that can hold the item are cut from the
-documents: by the pigeonhole rule an occurrence with few edits keeps some of
-the item's fixed 8-byte segments near their places. The CGK random walk maps
-windows and items to strings whose Hamming distance follows the edit distance;
-sampled places of several walks are LSH keys. Windows and items that share a
-key are aligned, and the exact edit distance decides.
+documents: an occurrence with few edits keeps some of the item's fixed 8-byte
+segments near their places (pigeonhole rule) and most of its 4-byte grams, so
+windows that hold too few of either are passed over without loss. The CGK
+random walk maps windows and items to strings whose Hamming distance follows
+the edit distance; sampled places of several walks are LSH keys. Windows and
+items that share a key are aligned, and the exact edit distance decides.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ MAX_EDITS = 0.1
 WALKS, SAMPLES, PLACES = 8, 8, 4
 #: Bytes of items that are sent to all tasks at once; a larger benchmark is searched in lots of this size.
 LOT_BYTES = 16_000_000
-_SEGMENT = 8
+_SEGMENT, _GRAM = 8, 4
 _TABLE_BITS = 20
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -62,6 +63,7 @@ class Items:
         self.offset = np.array([r[2] for r in rows], dtype=np.int64)[order]
         self.table = np.zeros(1 << _TABLE_BITS, dtype=bool)
         self.table[(self.value * _SPREAD) >> np.uint64(64 - _TABLE_BITS)] = True
+        self.grams = [_grams(t) for t in self.texts]
         # segments that must survive the allowed edits
         self.least = np.maximum(1, self.sizes // _SEGMENT - edits_allowed(self.sizes))
 
@@ -69,6 +71,10 @@ class Items:
         return Items, (self.ids, self.texts)
 
 
+def _grams(text: bytes) -> set[bytes]:
+    return {text[i : i + _GRAM] for i in range(len(text) - _GRAM + 1)}
+
+
 def segment_hits(buffer: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray]:
     """(item, place where the item would begin) for each segment of an item found in the buffer."""
     places = []
@@ -200,14 +206,23 @@ def _search(docs: DataFrame, items: Items) -> DataFrame:
         size = items.sizes[item]
         slack, top = edits_allowed(size), bounds[text + 1] - 1
         raw = buffer.tobytes()
-        # the same place and size is one window, whatever item led to it
-        _, first = np.unique(begin * (int(items.sizes.max()) + 1) + size, return_index=True)
-        windows, around, shift = [], [], []
-        for i in first.tolist():
-            low, high = max(begin[i] - slack[i], bounds[text[i]]), min(begin[i] + size[i] + slack[i], top[i])
-            windows.append(raw[begin[i] : min(begin[i] + size[i], top[i])].ljust(int(size[i]), b"\0"))
+        windows, around, shift, first, seen = [], [], [], [], set()
+        rows = zip(range(len(text)), item.tolist(), begin.tolist(), size.tolist(), slack.tolist(), bounds[text].tolist(), top.tolist())
+        for i, number, at, n, edits, bottom, end in rows:
+            # the same place and size is one window, whatever item led to it
+            if (at, n) in seen:
+                continue
+            low, high = max(at - edits, bottom), min(at + n + edits, end)
+            # an edit takes at most _GRAM of an item's grams away
+            wanted = items.grams[number]
+            if len(wanted & _grams(raw[low:high])) < len(wanted) - _GRAM * edits:
+                continue
+            seen.add((at, n))
+            first.append(i)
+            windows.append(raw[at : min(at + n, end)].ljust(n, b"\0"))
             around.append(raw[low:high])
-            shift.append(int(low - bounds[text[i]]))
+            shift.append(low - bottom)
+        first = np.array(first, dtype=np.int64)
         for a in range(0, len(windows), 1000):
             part = slice(a, a + 1000)
             keys = lsh_keys(windows[part]).view(np.int64)
@@ -218,7 +233,10 @@ def _search(docs: DataFrame, items: Items) -> DataFrame:
 
     windows = arrow_map(docs, cut, "doc_id long, size long, shift long, around binary, keys array<long>")
     keyed = windows.select("doc_id", "size", "shift", "around", F.explode("keys").alias("key"))
-    rows = [(int(i), n, int(k)) for i, n in enumerate(items.ids) for k in lsh_keys([items.texts[i]]).view(np.int64)[0]]
+    rows = []
+    for a in range(0, len(items.ids), 1000):
+        for i, keys in enumerate(lsh_keys(items.texts[a : a + 1000]).view(np.int64).tolist(), start=a):
+            rows += [(i, items.ids[i], key) for key in keys]
     wanted = spark.createDataFrame(rows, "item int, item_id long, key long")
     pairs = keyed.join(wanted, "key").groupBy("doc_id", "item", "item_id", "shift", "size").agg(F.first("around").alias("around"))
 
