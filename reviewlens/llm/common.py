@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reviewlens.session import shared_path
 
@@ -36,6 +37,25 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
 _CLEANUP = ("spark.sql.shuffleDependency.fileCleanup.enabled", "spark.sql.classic.shuffleDependency.fileCleanup.enabled")
 
 
+#: Bits of the filter in ``thinned``; its table has at most a 64th as many rows, two megabytes.
+FILTER_BITS = 1 << 23
+
+
+def thinned(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The rows whose ``key`` may be in the column ``key`` of ``ids``: all that are, and few others.
+
+    A bit filter of fixed size is broadcast, so long texts that an exact join
+    would leave out need not be shuffled. With very many ids it lets more rows
+    through, never fewer.
+    """
+    bit = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    words = ids.select(bit.alias("_bit")).selectExpr("_bit div 64 AS _word", "shiftleft(1L, CAST(_bit % 64 AS INT)) AS _mask")
+    words = words.groupBy("_word").agg(F.bit_or("_mask").alias("_mask"))
+    placed = rows.withColumn("_bit", bit).withColumn("_word", F.expr("_bit div 64"))
+    found = placed.join(F.broadcast(words), "_word").where("shiftright(_mask, CAST(_bit % 64 AS INT)) & 1 = 1")
+    return found.select(*rows.columns)
+
+
 def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
     """``work`` on slices of at most ``SLICE_BYTES`` of Arrow data, so that long texts never pile up in one call."""
 

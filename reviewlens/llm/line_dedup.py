@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.llm.common import stage
+from reviewlens.llm.common import stage, thinned
 from reviewlens.llm.components import components
 
 #: Lines within so many insertions, deletions and changes of characters are linked.
@@ -57,9 +57,14 @@ def _segment(size: Column, i: int) -> tuple[Column, Column]:
     return start, base + (longer > 0).cast("int")
 
 
+def _key(line: Column, other: Column, i: int, start: Column, length: Column) -> Column:
+    """Hash of one substring with the length and segment it stands for. ``line`` is in four bytes per character,
+    so that substrings are cut without counting characters from the start."""
+    return F.xxhash64(other, F.lit(i), F.substring(line, start * 4 + 1, length * 4))
+
+
 def index_keys(line: Column, size: Column) -> list[Column]:
-    return [F.xxhash64(size, F.lit(i), F.substring(line, start + 1, length))
-            for i in range(EDITS + 1) for start, length in [_segment(size, i)]]
+    return [_key(line, size, i, *_segment(size, i)) for i in range(EDITS + 1)]
 
 
 def probe_keys(line: Column, size: Column) -> list[Column]:
@@ -75,10 +80,31 @@ def probe_keys(line: Column, size: Column) -> list[Column]:
         for i in range(EDITS + 1):
             start, length = _segment(other, i)
             low, high = max(-i, gap - (EDITS - i)), min(i, gap + (EDITS - i))
-            keys += [F.xxhash64(other, F.lit(i), F.substring(line, start + 1 + shift, length)) for shift in range(low, high + 1)]
+            keys += [_key(line, other, i, start + shift, length) for shift in range(low, high + 1)]
     return keys
 
 
+def enough_pieces(a: Column, b: Column, size_a: Column, limit: int = EDITS, pieces: int = 8) -> Column:
+    """Whether all but ``limit`` pieces of a stand in b, ``limit`` characters from their place at the most.
+
+    An edit breaks one piece, so two strings within ``limit`` edits always pass.
+    """
+    length = F.floor(size_a / pieces).cast("int")
+    intact = F.lit(0)
+    for i in range(pieces):
+        piece = F.substring(a, length * i + 1, length)
+        found = F.lit(False)
+        for shift in range(-limit, limit + 1):
+            found = found | (F.substring(b, F.greatest(length * i + 1 + shift, F.lit(1)), length) == piece)
+        intact = intact + found.cast("int")
+    return intact >= pieces - limit
+
+
+def within_edits(a: Column, b: Column, size_a: Column, size_b: Column) -> Column:
+    """Whether two strings are within EDITS edits; the distance is computed only where enough pieces agree."""
+    return F.when(enough_pieces(a, b, size_a), edit_distance(a, b, size_a, size_b) <= EDITS).otherwise(False)
+
+
 def _let(value: Column, use) -> Column:
     """``use`` of a value that is computed once."""
     return F.transform(F.array(value), use)[0]
@@ -95,9 +121,8 @@ def edit_distance(a: Column, b: Column, size_a: Column, size_b: Column, limit: i
     width = 2 * limit + 2
     full, top = (1 << width) - 1, 1 << (width - 1)
     word = lambda x: F.lit(x).cast("long")
-    chars_a, chars_b = F.split(a, ""), F.split(b, "")
 
-    def matches(char: Column, j: Column) -> Column:
+    def matches(chars_a: Column, char: Column, j: Column) -> Column:
         bits = [F.when(F.get(chars_a, j + (limit - d)) == char, word(1 << (width - 1 - d))).otherwise(word(0)) for d in range(width)]
         mask = bits[0]
         for bit in bits[1:]:
@@ -127,17 +152,19 @@ def edit_distance(a: Column, b: Column, size_a: Column, size_b: Column, limit: i
     start = F.struct(word(full ^ ((1 << (width - limit - 1)) - 1)).alias("plus"), word(0).alias("minus"),
                      F.lit(limit).cast("int").alias("distance"), word(top >> 1).alias("row"))
     # split() by nothing may leave an empty last part, so the length decides
-    masks = F.transform(F.slice(chars_b, F.lit(1), size_b), matches)
+    # a's characters are a value of their own, or every step would split them anew
+    masks = _let(F.split(a, ""), lambda chars: F.transform(
+        F.slice(F.split(b, ""), F.lit(1), size_b), lambda char, j: matches(chars, char, j)))
     return F.aggregate(masks, start, step, lambda s: s["distance"])
 
 
 def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """The pairs (u, v) of line numbers whose lines are within EDITS edits."""
     ids = pairs.select(F.col("u").alias("nr")).unionByName(pairs.select(F.col("v").alias("nr"))).distinct()
-    texts = lines.join(ids, "nr", "left_semi").select("nr", "line", "size")
+    texts = stage(thinned(lines.select("nr", "line", "size"), "nr", ids).join(ids, "nr", "left_semi"), "texts")
     side = lambda n: texts.select(F.col("nr").alias(n), F.col("line").alias(f"line_{n}"), F.col("size").alias(f"size_{n}"))
     both = pairs.join(side("u"), "u").join(side("v"), "v")
-    return both.where(edit_distance(F.col("line_u"), F.col("line_v"), F.col("size_u"), F.col("size_v")) <= EDITS).select("u", "v")
+    return both.where(within_edits(F.col("line_u"), F.col("line_v"), F.col("size_u"), F.col("size_v"))).select("u", "v")
 
 
 def _pair(a: str, b: str) -> list[Column]:
@@ -164,16 +191,17 @@ def _hot_links(index: DataFrame, probes: DataFrame, hot: DataFrame, lines: DataF
     a, b = left.alias("a"), right.alias("b")
     near = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.salt") == F.col("b.salt")) & (F.col("a.nr") < F.col("b.nr"))
                   & (F.col("a.component") != F.col("b.component")) & (F.abs(F.col("a.size") - F.col("b.size")) <= EDITS)
-                  & (edit_distance(F.col("a.line"), F.col("b.line"), F.col("a.size"), F.col("b.size")) <= EDITS))
+                  & within_edits(F.col("a.line"), F.col("b.line"), F.col("a.size"), F.col("b.size")))
     return links.unionByName(near.select(F.col("a.nr").alias("u"), F.col("b.nr").alias("v")).distinct())
 
 
 def line_links(lines: DataFrame, group: int = GROUP) -> DataFrame:
     """(u, v): links enough to tell which of the distinct lines belong to one class."""
     long_lines = lines.where(F.col("size") >= MIN_CHARS)
-    line, size = F.col("line"), F.col("size")
-    index = long_lines.select("nr", F.explode(F.array(*index_keys(line, size))).alias("key"))
-    probes = long_lines.select("nr", F.explode(F.array_distinct(F.array(*probe_keys(line, size)))).alias("key"))
+    wide = long_lines.select("nr", "size", F.encode("line", "UTF-32").alias("wide"))
+    line, size = F.col("wide"), F.col("size")
+    index = wide.select("nr", F.explode(F.array(*index_keys(line, size))).alias("key"))
+    probes = wide.select("nr", F.explode(F.array(*probe_keys(line, size))).alias("key"))
     counts = index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("nr").alias("hub"))
     hot = stage(counts.where(F.col("n") > group).select("key", "hub"), "hot")
     none_hot = hot.isEmpty()

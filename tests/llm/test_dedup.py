@@ -257,7 +257,9 @@ def test_banded_edit_distance(spark):
         if len(b) > 2 and abs(len(a) - len(b)) <= 2:
             rows.append(("".join(a), "".join(b), edit_distance(a, b)))
     df = spark.createDataFrame(rows, "a string, b string, d int")
-    got = df.withColumn("e", line_dedup.edit_distance(F.col("a"), F.col("b"), F.length("a"), F.length("b")))
+    sides = (F.col("a"), F.col("b"), F.length("a"), F.length("b"))
+    got = df.withColumn("e", line_dedup.edit_distance(*sides)).withColumn("pass", line_dedup.enough_pieces(*sides[:3]))
+    assert all(r["pass"] for r in got.filter("d <= 2 AND length(a) >= 8").collect())
     assert [r for r in got.collect() if min(r["d"], r["e"]) <= 2 and r["d"] != r["e"]] == []
 
 
