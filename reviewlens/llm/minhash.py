@@ -1,10 +1,10 @@
 """MinHash near-duplicates: universal hash minima, banding, verification, components.
 
-Candidates share a band of their signatures. In every bucket all members are
-compared with one hub, the smallest; members of a bucket that are still in
-different components are then compared with each other in blocks. A candidate
-must pass the signature estimate, then the exact shingle sets of both texts.
-Equal word sequences are one node, so copies never fill a bucket.
+Candidates share a band of their signatures. Documents are first compared with
+a hub, the smallest member of one of their buckets; members of a bucket that
+are still in different components are then compared with each other in blocks.
+A candidate must pass the signature estimate, then the exact shingle sets of
+both texts. Equal word sequences are one node, so copies never fill a bucket.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.llm.anchors import SpanHash, mixed
-from reviewlens.llm.common import arrow_map, stage, texts_of
+from reviewlens.llm.common import arrow_map, stage, texts_of, thinned
 from reviewlens.llm.components import components
 from reviewlens.llm.words import shingle_sets, words_of
 
@@ -27,10 +27,12 @@ SHINGLE_WORDS = 5
 THRESHOLD = 75
 #: 32 bands of 4 minima: a pair at similarity 0.75 shares no band with probability (1 - 0.75^4)^32, about 5e-6.
 BANDS, BAND_ROWS = 32, 4
-#: Signature agreement, in hundredths, below which a pair is not compared in full: over 5 standard deviations under 75.
-ESTIMATE = 55
-#: Members of a bucket in one block of the second round.
-BLOCK = 1024
+#: Hundredths by which the agreement of two signatures may lie under the threshold: over 5 standard deviations.
+MARGIN = 20
+#: Rounds in which each document is compared with one hub, and members of a bucket in one block after that.
+HUB_ROUNDS, BLOCK = 1, 1024
+#: Words of text in one block; a longer text is a block of its own.
+BLOCK_WORDS = 1_000_000
 
 _MINIMA = BANDS * BAND_ROWS
 _FACTORS = mixed(np.arange(1, _MINIMA + 1, dtype=np.uint64)) | np.uint64(1)
@@ -38,12 +40,13 @@ _OFFSETS = mixed(np.arange(_MINIMA + 1, 2 * _MINIMA + 1, dtype=np.uint64))
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """Row per set: the minimum of each universal hash ``(a * x + b mod 2^64) >> 32``. No set may be empty."""
+    """Row per set: of the minimum of each universal hash ``(a * x + b mod 2^64) >> 32`` the last 16 bits. No set may be empty."""
     flat = np.concatenate(sets)
     starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
-    out = np.empty((len(sets), _MINIMA), dtype=np.uint32)
+    out = np.empty((len(sets), _MINIMA), dtype=np.uint16)
     for i in range(_MINIMA):
-        out[:, i] = np.minimum.reduceat((flat * _FACTORS[i] + _OFFSETS[i]) >> np.uint64(32), starts)
+        least = np.minimum.reduceat((flat * _FACTORS[i] + _OFFSETS[i]) >> np.uint64(32), starts)
+        out[:, i] = least & np.uint64(0xFFFF)
     return out
 
 
@@ -61,27 +64,27 @@ def _signed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     second = SpanHash(mixed(words.codes))(words.bounds[:-1], words.bounds[1:])
     yield pa.RecordBatch.from_arrays(
         [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(first.view(np.int64)),
-         pa.array(second.view(np.int64)), pa.array(signs, pa.binary())],
-        names=["doc_id", "n_shingles", "s1", "s2", "signature"])
+         pa.array(second.view(np.int64)), pa.array(np.diff(words.bounds), pa.int64()), pa.array(signs, pa.binary())],
+        names=["doc_id", "n_shingles", "s1", "s2", "n_words", "signature"])
 
 
 def signed_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, word-sequence hash (s1, s2) and signature of each document."""
+    """doc_id, n_shingles, word-sequence hash (s1, s2), n_words and signature of each document."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return arrow_map(plain, _signed, "doc_id long, n_shingles long, s1 long, s2 long, signature binary")
+    return arrow_map(plain, _signed, "doc_id long, n_shingles long, s1 long, s2 long, n_words long, signature binary")
 
 
 def _agreeing(a: pa.Array, b: pa.Array) -> np.ndarray:
-    left = np.frombuffer(b"".join(a.to_pylist()), dtype=np.uint32).reshape(-1, _MINIMA)
-    right = np.frombuffer(b"".join(b.to_pylist()), dtype=np.uint32).reshape(-1, _MINIMA)
+    left = np.frombuffer(b"".join(a.to_pylist()), dtype=np.uint16).reshape(-1, _MINIMA)
+    right = np.frombuffer(b"".join(b.to_pylist()), dtype=np.uint16).reshape(-1, _MINIMA)
     return (left == right).sum(axis=1)
 
 
-def by_estimate(pairs: DataFrame, signs: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose signatures agree in at least ESTIMATE hundredths of their places."""
+def by_estimate(pairs: DataFrame, signs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """The pairs (u, v) whose signatures agree in all but MARGIN hundredths of what the threshold asks."""
 
     def near(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        keep = _agreeing(batch.column("a"), batch.column("b")) * 100 >= ESTIMATE * _MINIMA
+        keep = _agreeing(batch.column("a"), batch.column("b")) * 100 >= (threshold - MARGIN) * _MINIMA
         yield batch.filter(pa.array(keep)).select(["u", "v"])
 
     side = lambda node, name: signs.select(F.col("doc_id").alias(node), F.col("signature").alias(name))
@@ -92,9 +95,12 @@ def similar(left: list[bytes], right: list[bytes], threshold: int = THRESHOLD) -
     """Whether 100 * intersection >= threshold * union holds for the shingle sets of each pair of texts."""
     a = shingle_sets(words_of(left, lower=True), SHINGLE_WORDS)
     b = shingle_sets(words_of(right, lower=True), SHINGLE_WORDS)
-    common = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(a, b)])
-    union = np.array([len(x) + len(y) for x, y in zip(a, b)]) - common
-    return (100 * common >= threshold * union) & (union > 0)
+    return np.array([_similar(x, y, threshold) for x, y in zip(a, b)], dtype=bool)
+
+
+def _similar(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common > 0 and 100 * common >= threshold * (len(a) + len(b) - common)
 
 
 def verified(pairs: DataFrame, docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -104,45 +110,118 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: int = THRESHOLD) -> D
         keep = similar(texts_of(batch.column("a")), texts_of(batch.column("b")), threshold)
         yield batch.filter(pa.array(keep)).select(["u", "v"])
 
-    side = lambda node, name: docs.select(F.col("doc_id").cast("long").alias(node), F.col("text").alias(name))
+    pairs = stage(pairs, "pairs")
+    texts = texts_for(docs, pairs.select(F.explode(F.array("u", "v")).alias("doc_id")))
+    side = lambda node, name: texts.select(F.col("doc_id").alias(node), F.col("text").alias(name))
     return arrow_map(pairs.join(side("v", "b"), "v").join(side("u", "a"), "u"), check, "u long, v long")
 
 
-def _block_pairs(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of different components that agree well enough, of one pair of blocks."""
+def texts_for(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents in ``ids``, one row each, as a staged table."""
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = thinned(plain, "doc_id", ids).join(ids.distinct(), "doc_id", "left_semi")
+    return stage(found.groupBy("doc_id").agg(F.max("text").alias("text")), "texts")
+
+
+def _block_members(rows: pd.DataFrame, threshold: int) -> pd.DataFrame:
+    """The rows of one pair of blocks whose signature agrees well enough with one of another component.
+
+    A pair is looked at in the bucket of the first band its signatures share.
+    """
     rows = rows.sort_values(["chunk", "doc_id"])
-    ids, owner = rows["doc_id"].to_numpy(), rows["component"].to_numpy()
-    signs = np.frombuffer(b"".join(rows["signature"]), dtype=np.uint32).reshape(-1, _MINIMA)
-    here = rows["chunk"].to_numpy() == rows["low"].iloc[0]
-    u, v = [], []
+    band, here = int(rows["band"].iloc[0]), rows["chunk"].to_numpy() == rows["low"].iloc[0]
+    component, size = rows["component"].to_numpy(), rows["n_shingles"].to_numpy()
+    signs = np.frombuffer(b"".join(rows["signature"]), dtype=np.uint16).reshape(-1, _MINIMA)
+    wanted = np.zeros(len(rows), dtype=bool)
     for i in np.flatnonzero(here).tolist():
         # within one block each pair once, across two blocks every pair
-        rest = np.arange(i + 1, len(ids)) if here.all() else np.flatnonzero(~here)
-        rest = rest[owner[rest] != owner[i]]
-        rest = rest[(signs[rest] == signs[i]).sum(axis=1) * 100 >= ESTIMATE * _MINIMA]
-        u += [ids[i]] * len(rest)
-        v += ids[rest].tolist()
-    return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)}, dtype="int64")
+        rest = np.arange(i + 1, len(rows)) if here.all() else np.flatnonzero(~here)
+        fits = 100 * np.minimum(size[rest], size[i]) >= threshold * np.maximum(size[rest], size[i])
+        rest = rest[(component[rest] != component[i]) & fits]
+        same = signs[rest] == signs[i]
+        rest = rest[same.sum(axis=1) * 100 >= (threshold - MARGIN) * _MINIMA]
+        first = (signs[rest] == signs[i]).reshape(len(rest), BANDS, BAND_ROWS).all(axis=2).argmax(axis=1)
+        rest = rest[first == band]
+        wanted[i] |= len(rest) > 0
+        wanted[rest] = True
+    return rows[wanted][["key", "low", "high", "band", "chunk", "doc_id"]]
+
+
+def _common(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of all intersections: products of 0/1 matrices over the shingles that two sets or more hold."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[column] > 1
+    row, column = row[shared], (np.cumsum(count > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        part = slice(*np.searchsorted(column, [start, start + width]))
+        holds = np.zeros((len(sets), width), dtype=np.float32)
+        holds[row[part], column[part] - start] = 1
+        common += holds @ holds.T
+    return common.astype(np.int64)
+
+
+def _block_links(rows: pd.DataFrame, threshold: int) -> pd.DataFrame:
+    """Links enough to join the similar texts of one pair of blocks."""
+    rows = rows.sort_values(["chunk", "doc_id"])
+    ids = rows["doc_id"].to_numpy()
+    sets = shingle_sets(words_of([(t or "").encode() for t in rows["text"]], lower=True), SHINGLE_WORDS)
+    common, size = _common(sets), np.array([len(s) for s in sets])
+    linked = (common > 0) & (100 * common >= threshold * (size[:, None] + size[None, :] - common))
+    # the smallest row that each row reaches
+    least = np.arange(len(ids))
+    while True:
+        moved = np.minimum(least, np.where(linked, least[None, :], len(ids)).min(axis=1))
+        if (moved == least).all():
+            break
+        least = moved
+    away = least != np.arange(len(ids))
+    return pd.DataFrame({"u": ids[least[away]], "v": ids[away]}, dtype="int64")
+
+
+def _owned(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """Bucket rows with the component of their document."""
+    return buckets.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
+        "component", F.coalesce("component", "doc_id"))
 
 
-def remaining_pairs(buckets: DataFrame, found: DataFrame, signs: DataFrame) -> DataFrame:
-    """Candidate pairs that the comparison with the hubs left open.
+def hub_pairs(owned: DataFrame) -> DataFrame:
+    """(u, v): each document with the smallest hub, of its buckets, that lies in another component."""
+    hubs = owned.groupBy("key").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.min("doc_id").alias("u"),
+        F.min(F.struct("doc_id", "component"))["component"].alias("other")).where("least != most")
+    rows, hubs = owned.alias("r"), hubs.select("key", "u", "other").alias("h")
+    apart = rows.join(hubs, (F.col("r.key") == F.col("h.key")) & (F.col("r.component") != F.col("h.other")))
+    return apart.groupBy(F.col("r.doc_id").alias("v")).agg(F.min("h.u").alias("u")).select("u", "v")
 
-    Open is a bucket whose members other than the hub lie in two components or
-    more. Its members are cut into blocks, and every two blocks meet in a task.
+
+def remaining_links(owned: DataFrame, signs: DataFrame, docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Links in the buckets whose members still lie in two components or more.
+
+    The members of such a bucket are cut into blocks of bounded size, and every
+    two blocks meet in a task: first with signatures, which leaves the members
+    that have a partner, then with texts. Tasks give members and links, never
+    pairs, so a group of documents that are a little too different costs
+    comparisons but no rows.
     """
-    owned = buckets.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id"))
-    rest = owned.where("doc_id != hub")
-    is_open = rest.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a != b")
-    rest = rest.join(is_open.select("key"), "key", "left_semi").select("key", "doc_id", "component")
-    place = F.row_number().over(Window.partitionBy("key").orderBy("doc_id")) - 1
-    rest = rest.withColumn("chunk", F.floor(place / BLOCK).cast("int"))
-    chunks = rest.groupBy("key").agg((F.max("chunk") + 1).alias("chunks"))
-    blocks = rest.join(chunks, "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    blocks = blocks.withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")})
-    blocks = blocks.join(signs.select("doc_id", "signature"), "doc_id")
-    return blocks.groupBy("key", "low", "high").applyInPandas(_block_pairs, "u long, v long").distinct()
+    is_open = owned.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a != b")
+    rest = owned.join(is_open.select("key"), "key", "left_semi").select("key", "band", "doc_id", "component")
+    sized = rest.join(signs.select("doc_id", "n_words"), "doc_id")
+    before = Window.partitionBy("key").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    chunk = F.greatest(F.count("doc_id").over(before) / BLOCK, F.coalesce(F.sum("n_words").over(before), F.lit(0)) / BLOCK_WORDS)
+    sized = sized.withColumn("chunk", F.floor(chunk).cast("int")).drop("n_words")
+    chunks = sized.groupBy("key").agg((F.max("chunk") + 1).alias("chunks"))
+    blocks = sized.join(chunks, "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    blocks = blocks.withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")}).drop("other", "chunks")
+    sign = signs.select("doc_id", "n_shingles", "signature")
+    near = blocks.join(sign, "doc_id").groupBy("key", "low", "high").applyInPandas(
+        lambda rows: _block_members(rows, threshold), "key long, low int, high int, band int, chunk int, doc_id long")
+    members = stage(near, "members")
+    full = members.join(texts_for(docs, members.select("doc_id")), "doc_id")
+    return full.groupBy("key", "low", "high").applyInPandas(lambda rows: _block_links(rows, threshold), "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -161,18 +240,20 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     classes = nodes.groupBy("s1", "s2").agg(F.min("doc_id").alias("node"))
     # one signature for each word sequence
     signs = stage(
-        nodes.select("doc_id", "signature").join(classes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+        nodes.select("doc_id", "n_shingles", "n_words", "signature").join(classes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
         .dropDuplicates(["doc_id"]), "signs")
-    keys = [F.xxhash64(F.lit(i), F.substring("signature", 1 + 4 * BAND_ROWS * i, 4 * BAND_ROWS)) for i in range(BANDS)]
-    banded = signs.select("doc_id", F.explode(F.array(*keys)).alias("key"))
-    hubs = banded.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = stage(banded.join(hubs, "key").select("key", "doc_id", "hub"), "buckets")
-    stars = buckets.where("doc_id != hub").select(F.col("hub").alias("u"), F.col("doc_id").alias("v")).distinct()
-    links = stage(verified(by_estimate(stars, signs), docs, threshold), "links")
-    found = components(links)
-    more = stage(remaining_pairs(buckets, found, signs), "more")
+    keys = [F.xxhash64(F.lit(i), F.substring("signature", 1 + 2 * BAND_ROWS * i, 2 * BAND_ROWS)) for i in range(BANDS)]
+    buckets = stage(signs.select("doc_id", F.posexplode(F.array(*keys)).alias("band", "key")), "buckets")
+    found = signs.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component")).limit(0)
+    links = None
+    # one comparison per document joins almost all of a group, whatever its size
+    for _ in range(HUB_ROUNDS):
+        near = verified(by_estimate(stage(hub_pairs(_owned(buckets, found)), "pairs"), signs, threshold), docs, threshold)
+        links = stage(near if links is None else links.unionByName(near), "links")
+        found = components(links)
+    more = stage(remaining_links(_owned(buckets, found), signs, docs, threshold), "links")
     if not more.isEmpty():
-        found = components(links.unionByName(verified(more, docs, threshold)))
+        found = components(links.unionByName(more))
     classes = classes.join(found, "node", "left").select("s1", "s2", F.coalesce("component", "node").alias("component"))
     out = signed.join(classes, ["s1", "s2"], "left")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
