@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import decontaminate, exact_dedup, line_dedup, minhash, pii, quality, sentencepieces, substring_dedup, suffix_dedup, toxicity
+from reviewlens.llm import byte_pairs, decontaminate, exact_dedup, line_dedup, minhash, pii, quality, sentencepieces, substring_dedup, suffix_dedup, toxicity
 from reviewlens.llm.common import table
 
 
@@ -68,6 +68,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = byte_pairs.encode(docs, places=False).drop("text")
+    found = byte_pairs.decode(coded, as_bytes=True)
+    return found.select(
+        "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("token_ids", ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -79,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_byte_pairs": op13_byte_pairs,
 }
 
 #: Learned scores, edit distances of characters, tokens and scans for spans are not SQL, and every 100-byte string is too
