@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import byte_pairs, decontaminate, exact_dedup, line_dedup, minhash, pii, quality, sentencepieces, substring_dedup, suffix_dedup, toxicity
+from reviewlens.llm import byte_pairs, decontaminate, exact_dedup, hard_negatives, lexical_search, line_dedup, minhash, pii, quality, sentencepieces, substring_dedup, suffix_dedup, toxicity
 from reviewlens.llm.common import table
 
 
@@ -68,6 +68,19 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    scaled = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")))
+    return hard_negatives.hard_negatives(
+        rows.select("vec_id", label.alias("label"), F.when(hard_negatives.complete("embedding"), scaled).alias("vector")),
+        anchors=F.col("vec_id") % 50 == 0)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = byte_pairs.encode(docs, places=False).drop("text")
@@ -88,6 +101,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_lexical_search": op12_lexical_search,
     "op13_byte_pairs": op13_byte_pairs,
 }
 
@@ -129,5 +144,42 @@ WITH x AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM x GROUP BY norm)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
 FROM x JOIN g USING (norm)
+""",
+    "op11_hard_negatives": r"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.q, r.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v r ON a.vec_id % 50 = 0 AND r.vec_id <> a.vec_id),
+positives AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pairs WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+found AS (
+  SELECT p.anchor_id, p.positive_id, n.other_id AS negative_id, p.positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other_id) AS rank
+  FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same
+   AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 3
+""",
+    "op12_lexical_search": r"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark),
+q AS MATERIALIZED (SELECT item_id, term, count(*) AS times FROM i, unnest(terms) t(term) GROUP BY ALL),
+totals AS MATERIALIZED (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS all_terms FROM d WHERE len(terms) > 0),
+tf AS MATERIALIZED (SELECT doc_id, len(terms) AS n, term, count(*) AS tf FROM d, unnest(terms) t(term)
+                    WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, totals GROUP BY term, n_docs),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // all_terms)))) AS BIGINT) AS score
+  FROM tf JOIN w USING (term) JOIN q USING (term), totals GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20
 """,
 }
