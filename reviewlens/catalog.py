@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from reviewlens import adapters as A, constants as K
 from reviewlens.functions import clean, titles, vectors
 from reviewlens.operators import (
-    cohorts, completion, consensus, critics, joins, quantiles, recommend, sampling, text, themes,
+    cohorts, completion, consensus, critics, joins, pca, quantiles, recommend, sampling, text, themes,
 )
 from reviewlens.plans import studies
 from reviewlens.session import shared_path
@@ -514,12 +514,8 @@ def describe_clusters(spark, d):
 
 @query
 def pca_2d(spark, d):
-    rows = A.member_vectors(spark, d)
-    sides = [
-        themes.pca_2d(rows.filter(F.col("sentiment") == side), "vec_id", carry=["sentiment"])
-        for side in K.SENTIMENTS
-    ]
-    return rounded(sides[0].unionByName(sides[1]), "pc1", "pc2", digits=4)
+    rows = pca.pca_2d(A.member_vectors(spark, d), "vec_id", by=["sentiment"])
+    return rounded(rows, "pc1", "pc2", digits=4)
 
 
 # --- profiles and search ---------------------------------------------------------------
@@ -574,6 +570,23 @@ def moved_down(spark, d):
     return recommend.moved_down(items, clusters, wanted, avoid, min_rate=SEARCH_RATE, n=3)
 
 
+def _requests(spark, d):
+    """Every tenth embedding as a request; each avoids the vector after it, those divisible by 30 avoid nothing."""
+    rows = A.table(spark, d, "embeddings")
+    wanted = rows.filter("vec_id % 10 = 0").select(F.col("vec_id").alias("request_id"), F.col("embedding").alias("wanted"))
+    avoid = rows.select((F.col("vec_id") - 1).alias("request_id"), F.col("embedding").alias("avoid"))
+    return wanted.join(avoid.filter("request_id % 30 <> 0"), "request_id", "left")
+
+
+@query
+def rank_items_batch(spark, d):
+    items, clusters = A.items(spark, d), A.clusters(spark, d)
+    best = recommend.rank_items_batch(items, clusters, _requests(spark, d), min_rate=SEARCH_RATE)
+    best = best.select("request_id", "rank", "app_id", "app_name", "wanted_similarity", "avoid_similarity", "rank_score",
+                       "positive_review", "negative_review")
+    return rounded(best, "rank_score").withColumn("rank", whole(F.col("rank")))
+
+
 @query
 def random_pick(spark, d):
     items, clusters, _, _ = _search(spark, d)
@@ -602,7 +615,7 @@ def stream_hash_sample(spark, d):
 @query
 def stream_resume(spark, d):
     answers = A.as_responses(_event_stream(spark, d))
-    results = incremental.stream_resume(answers, shared_path(spark, "results"), [F.col("http_status")])
+    results = incremental.stream_resume(answers, shared_path(spark, "results"), [F.col("http_status")], leave_out=["body"])
     return results.select("review_id", "fetch_status", whole(F.col("achievements_unlocked")).alias("achievements_unlocked"))
 
 

@@ -4,18 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-import numpy as np
-from pyspark.ml.feature import CountVectorizerModel, IDF, Normalizer, PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.feature import CountVectorizerModel, IDF, Normalizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewlens import constants as K
 from reviewlens.functions.clean import flatten_text
-from reviewlens.functions.vectors import as_vector, dot, squared_distance, unit_vector, vector_mean
-from reviewlens.operators.sampling import top_k_per_group
+from reviewlens.functions.vectors import dot, unit_vector
+from reviewlens.operators.kmeans import fit_kmeans
 from reviewlens.operators.text import raw_tokens, tfidf
-from reviewlens.session import materialize
 
 
 def encode_text(
@@ -44,76 +41,6 @@ def encode_text(
     )
 
 
-def _nearest(points: DataFrame, centers: DataFrame, by: Sequence[str], restarts: int) -> DataFrame:
-    """Row per point and restart with the closest center's ``cluster`` and its ``gap``; low numbers win ties.
-
-    Centers of a group travel as one array of at most ``restarts`` times k
-    entries; a group with very many points is split by adaptive execution.
-    """
-    packed = centers.groupBy(*by).agg(F.collect_list(F.struct("_restart", "cluster", "at")).alias("_centers"))
-    gaps = F.transform(
-        "_centers",
-        lambda c: F.struct(
-            squared_distance(c.getField("at"), F.col("_x")).alias("gap"),
-            c.getField("cluster").alias("cluster"), c.getField("_restart").alias("_restart"),
-        ),
-    )
-    near = points.join(packed, list(by)).withColumn("_gaps", gaps).drop("_centers")
-    best = F.array(*[
-        F.array_min(F.filter("_gaps", lambda g: g.getField("_restart") == r)) for r in range(restarts)
-    ])
-    return near.withColumn("_best", F.explode(best)).drop("_gaps").select("*", "_best.*").drop("_best")
-
-
-def fit_kmeans(
-    df: DataFrame, by: Sequence[str], key: str, vector: str = "embedding",
-    k: int = K.CLUSTERS_PER_SENTIMENT, restarts: int = K.KMEANS_RESTARTS, iterations: int = K.KMEANS_ROUNDS,
-    seed: int = K.SEED,
-) -> tuple[DataFrame, DataFrame]:
-    """K-means inside every group at once: members (``by``…, key, cluster) and centers (``by``…, cluster, center).
-
-    All groups and restarts advance together, one join and one aggregation per
-    round, until no point changes its cluster, for ``iterations`` rounds at the
-    most. Start points are the rows of lowest hash priority; groups smaller
-    than k get one cluster per row. The restart with the least inertia wins.
-    Centers come back with length one, clusters without members are left out.
-    """
-    by = list(by)
-    points = df.select(*by, key, as_vector(vector).alias("_x")).filter(F.col("_x").isNotNull())
-    # every round reads the points again
-    points = materialize(points)
-    # keys alone are ranked; the vectors of the few chosen ones follow
-    keys = points.select(*by, key).withColumn("_restart", F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))))
-    hashed = F.md5(F.concat_ws("|", F.col(key).cast("string"), (F.col("_restart") + seed).cast("string")))
-    starts = top_k_per_group(
-        keys.withColumn("_priority", hashed), [*by, "_restart"], [F.col("_priority"), F.col(key)], k, "cluster"
-    )
-    starts = starts.drop("_priority").withColumn("cluster", F.col("cluster") - 1)
-    centers = materialize(starts.join(points, [*by, key]).select(*by, "_restart", "cluster", F.col("_x").alias("at")))
-    seen = None
-    for _ in range(iterations):
-        assigned = _nearest(points, centers, by, restarts)
-        # summed up by the JVM before the shuffle, so large groups cost no more than small ones
-        mean = Summarizer.mean(array_to_vector("_x"))
-        mark = F.sum(F.pmod(F.xxhash64(key, "_restart", "cluster"), F.lit(1 << 31)))
-        centers = materialize(
-            assigned.groupBy(*by, "_restart", "cluster").agg(vector_to_array(mean).alias("at"), mark.alias("_mark"))
-        )
-        mark = centers.agg(F.sum("_mark")).first()[0]
-        if mark == seen:
-            break
-        seen = mark
-    final = materialize(_nearest(points, centers, by, restarts).drop("_x"))
-    inertia = final.groupBy(*by, "_restart").agg(F.round(F.sum("gap"), 6).alias("_inertia"))
-    best = inertia.groupBy(*by).agg(F.min(F.struct("_inertia", "_restart")).alias("_won"))
-    best = best.select(*by, F.col("_won._restart").alias("_restart"))
-    won = [*by, "_restart"]
-    return (
-        final.join(best, won, "left_semi").select(*by, key, "cluster"),
-        centers.join(best, won, "left_semi").select(*by, "cluster", unit_vector("at").alias("center")),
-    )
-
-
 def grouped_kmeans(df: DataFrame, by: Sequence[str], key: str, vector: str = "embedding", **options) -> DataFrame:
     """Members of ``fit_kmeans`` with their center beside them: (``by``…, key, ``cluster``, ``center``)."""
     members, centers = fit_kmeans(df, by, key, vector, **options)
@@ -223,20 +150,6 @@ def describe_clusters(
     )
 
 
-def pca_2d(df: DataFrame, key: str, vector: str = "embedding", carry: Sequence[str] = ()) -> DataFrame:
-    """Centred vectors on their first two principal axes, as ``pc1`` and ``pc2``.
-
-    The largest loading of each axis is made positive. Only the axes and the
-    mean, three vectors of the embedding's length, visit the driver.
-    """
-    points = df.select(key, *carry, array_to_vector(as_vector(vector)).alias("_v"))
-    axes = PCA(k=2, inputCol="_v", outputCol="_p").fit(points).pc.toArray()
-    axes = axes * np.sign(axes[np.abs(axes).argmax(axis=0), range(axes.shape[1])])
-    middle = np.array(vector_mean(df, [], vector, "_mean").first()[0]) @ axes
-    places = [dot(vector_to_array("_v"), axes[:, i].tolist()) - float(middle[i]) for i in range(2)]
-    return points.select(key, *carry, *[place.alias(f"pc{i}") for i, place in enumerate(places, start=1)])
-
-
 def map_centers(points: DataFrame, by: Sequence[str]) -> DataFrame:
     """Middle of each cluster on the 2-D map."""
     return points.groupBy(*by).agg(F.avg("pc1").alias("pc1"), F.avg("pc2").alias("pc2"))

@@ -345,11 +345,20 @@ TWIN_ROUNDS = 24
 
 def kmeans(restarts: int, iterations: int, k: int = 4, size: int = 64) -> str:
     gap = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))"
-    views = [
-        f"""c0 AS MATERIALIZED (SELECT app_id, sentiment, r, rank - 1 AS cluster, embedding AS c FROM (
-  SELECT *, row_number() OVER (PARTITION BY app_id, sentiment, r ORDER BY md5(vec_id || '|' || (42 + r)), vec_id) AS rank
-  FROM member_vectors, range({restarts}) t(r)) WHERE rank <= {k})"""
-    ]
+    # starts: a race for each, with times -ln(u) / squared distance to the starts before it
+    views = [f"""factors AS MATERIALIZED (
+  SELECT r, j, CAST('0x' || substr(h, 1, 8) AS BIGINT) % 2147483646 + 1 AS factor, CAST('0x' || substr(h, 9, 8) AS BIGINT) % 2147483647 AS shift
+  FROM (SELECT r, j, md5('42|' || r || '|' || j) AS h FROM range({restarts}) t(r), range({k}) u(j))),
+near0 AS MATERIALIZED (SELECT app_id, sentiment, vec_id, r, embedding AS x, CAST(NULL AS DOUBLE) AS d,
+    CAST('0x' || substr(md5(vec_id || '|42'), 1, 8) AS BIGINT) % 2147483647 AS h FROM member_vectors, range({restarts}) t(r))"""]
+    for j in range(k):
+        views.append(f"""start{j} AS MATERIALIZED (
+  SELECT app_id, sentiment, r, {j} AS cluster, arg_min(x, (CASE WHEN d IS NULL THEN lead WHEN d > 0 THEN lead / d ELSE CAST('Infinity' AS DOUBLE) END, h, vec_id)) AS c
+  FROM (SELECT n.*, -ln(CAST((h * factor + shift) % 2147483647 + 1 AS DOUBLE) / 2147483648) AS lead
+        FROM near{j} n JOIN factors f ON f.r = n.r AND f.j = {j}) GROUP BY app_id, sentiment, r),
+near{j + 1} AS MATERIALIZED (SELECT n.* REPLACE (least(coalesce(d, CAST('Infinity' AS DOUBLE)), {gap}) AS d)
+  FROM near{j} n JOIN start{j} s USING (app_id, sentiment, r))""")
+    views.append("c0 AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM start{j}" for j in range(k)) + ")")
 
     def assign(centers):
         return f"""SELECT app_id, sentiment, r, vec_id, arg_min(cluster, (gap, cluster)) AS cluster, min(gap) AS gap, any_value(x) AS x
@@ -360,12 +369,47 @@ def kmeans(restarts: int, iterations: int, k: int = 4, size: int = 64) -> str:
         views.append(f"""a{i} AS MATERIALIZED ({assign(f'c{i - 1}')}),
 c{i} AS MATERIALIZED (SELECT app_id, sentiment, r, cluster, list(v ORDER BY pos) AS c FROM (
   SELECT app_id, sentiment, r, cluster, pos, avg(x[pos]) AS v FROM a{i}, range(1, {size + 1}) t(pos) GROUP BY ALL) GROUP BY ALL)""")
-    views.append(f"""last AS MATERIALIZED ({assign(f'c{iterations}')}),
+    # the rounds written out here must have been enough
+    views.append(f"""moving AS (SELECT count(*) AS n FROM a{iterations - 1} a JOIN a{iterations} b USING (app_id, sentiment, r, vec_id) WHERE a.cluster <> b.cluster),
+last AS MATERIALIZED (SELECT * FROM ({assign(f'c{iterations}')}), moving WHERE CASE WHEN n > 0 THEN error('rows that still move: ' || n) ELSE TRUE END),
 won AS (SELECT app_id, sentiment, arg_min(r, (inertia, r)) AS r FROM (
   SELECT app_id, sentiment, r, round(sum(gap), 6) AS inertia FROM last GROUP BY ALL) GROUP BY ALL)""")
     return ",\n".join(views)
 
 
+# squarings of a matrix, after which only its largest axis is left of it
+SQUARINGS = 24
+
+
+def principal_axes(source: str, key: str, size: int) -> str:
+    """Places ``placed`` of the source's (key, sentiment, embedding) rows on the first two principal axes of each sentiment."""
+    scaled = "list_transform(q, lambda r: list_transform(r, lambda v: v / t))"
+    views = [f"""middle AS MATERIALIZED (SELECT sentiment, list(v ORDER BY pos) AS mid FROM (
+  SELECT sentiment, pos, avg(embedding[pos]) AS v FROM {source}, range(1, {size + 1}) t(pos) GROUP BY ALL) GROUP BY sentiment),
+centred AS MATERIALIZED (SELECT {key}, sentiment, list_transform(range(1, {size + 1}), lambda i: embedding[i] - mid[i]) AS x
+  FROM {source} JOIN middle USING (sentiment)),
+sides AS MATERIALIZED (SELECT sentiment, i, list(x[i] ORDER BY {key}) AS line FROM centred, range(1, {size + 1}) t(i) GROUP BY sentiment, i),
+matrix0 AS MATERIALIZED (SELECT sentiment, list(row ORDER BY i) AS m FROM (
+  SELECT a.sentiment, a.i, list(list_inner_product(a.line, b.line) ORDER BY b.i) AS row FROM sides a JOIN sides b USING (sentiment) GROUP BY ALL) GROUP BY sentiment)"""]
+    for axis in (1, 2):
+        before = f"matrix{axis - 1}"
+        trace = f"list_sum(list_transform(range(1, {size + 1}), lambda i: q[i][i]))"
+        for i in range(SQUARINGS + 1):
+            q = "m" if i == 0 else "list_transform(m, lambda r: list_transform(m, lambda c: list_inner_product(r, c)))"
+            views.append(f"""p{axis}_{i} AS MATERIALIZED (SELECT sentiment, CASE WHEN t > 0 THEN {scaled} ELSE q END AS m
+  FROM (SELECT *, {trace} AS t FROM (SELECT sentiment, {q} AS q FROM {before if i == 0 else f'p{axis}_{i - 1}'})))""")
+        views.append(f"""axis{axis} AS MATERIALIZED (SELECT sentiment, CASE WHEN n > 0 THEN list_transform(v, lambda x: x / n * s) ELSE v END AS axis
+  FROM (SELECT *, sqrt(list_inner_product(v, v)) AS n, sign(list_extract(v, list_position(list_transform(v, lambda x: abs(x)), list_max(list_transform(v, lambda x: abs(x)))))) AS s
+        FROM (SELECT sentiment, m[list_position(list_transform(range(1, {size + 1}), lambda i: m[i][i]), list_max(list_transform(range(1, {size + 1}), lambda i: m[i][i])))] AS v
+              FROM p{axis}_{SQUARINGS}))),
+matrix{axis} AS MATERIALIZED (SELECT sentiment, list_transform(range(1, {size + 1}), lambda i: list_transform(range(1, {size + 1}), lambda j: m[i][j] - w * axis[i] * axis[j])) AS m
+  FROM (SELECT b.sentiment, b.m, a.axis, list_inner_product(a.axis, list_transform(b.m, lambda r: list_inner_product(r, a.axis))) AS w
+        FROM {before} b JOIN axis{axis} a USING (sentiment)))""")
+    views.append(f"""mapped AS MATERIALIZED (SELECT {key}, sentiment, list_inner_product(x, a.axis) AS pc1, list_inner_product(x, b.axis) AS pc2
+  FROM centred JOIN axis1 a USING (sentiment) JOIN axis2 b USING (sentiment))""")
+    return ",\n".join(views)
+
+
 def vector_of(vec_id: int) -> str:
     return f"(SELECT CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = {vec_id})"
 
@@ -574,6 +618,8 @@ SELECT app_id, sentiment, CAST(pos - 1 AS BIGINT) AS pos, round(avg(embedding[po
 FROM member_vectors, range(1, 65) t(pos) GROUP BY app_id, sentiment, pos""")
     out["grouped_kmeans"] = with_views("member_vectors", """
 SELECT app_id, sentiment, vec_id, CAST(cluster AS BIGINT) AS cluster FROM last JOIN won USING (app_id, sentiment, r)""", kmeans(K.KMEANS_RESTARTS, TWIN_ROUNDS))
+    out["pca_2d"] = with_views("member_vectors", """
+SELECT vec_id, sentiment, round(pc1, 4) AS pc1, round(pc2, 4) AS pc2 FROM mapped""", principal_axes("member_vectors", "vec_id", 64))
     out["representatives"] = with_views("member_vectors clustered clusters", """
 SELECT app_id, sentiment, cluster, sample_count, representative_review FROM clusters""")
     out["cluster_shares"] = with_views("member_vectors clustered", """
@@ -624,6 +670,31 @@ FROM scored QUALIFY rank <= 5""", SCORED)
     out["rank_items_avoid"] = with_views(SEARCH, """
 SELECT rank, app_id, wanted_similarity, avoid_similarity,
        round(rank_score, 6) AS rank_score FROM placed WHERE rank <= 5""", SCORED)
+    out["rank_items_batch"] = with_views(SEARCH, f"""
+SELECT request_id, rank, app_id, app_name, wanted_similarity, avoid_similarity, round(rank_score, 6) AS rank_score,
+       {excerpt('positive_review')} AS positive_review, {excerpt('negative_review')} AS negative_review
+FROM ranked WHERE rank <= 5""", f"""
+requests AS (SELECT w.vec_id AS request_id, CAST(w.embedding AS DOUBLE[]) AS wanted, CAST(a.embedding AS DOUBLE[]) AS avoid
+  FROM embeddings w LEFT JOIN embeddings a ON a.vec_id = w.vec_id + 1 AND w.vec_id % 30 <> 0 WHERE w.vec_id % 10 = 0),
+compared AS MATERIALIZED (SELECT r.request_id, r.avoid IS NOT NULL AS with_avoid, c.*,
+    round(list_inner_product(CAST(CAST(c.embedding AS FLOAT[]) AS DOUBLE[]), r.wanted), 9) AS ws,
+    round(list_inner_product(CAST(CAST(c.embedding AS FLOAT[]) AS DOUBLE[]), r.avoid), 9) AS avs,
+    CASE WHEN length(coalesce(representative_review, '')) >= {K.READABLE_CHARS} THEN 1 ELSE 0 END AS readable FROM clusters c, requests r),
+every AS (SELECT s.*, i.app_name, i.recommendation_rate FROM items i JOIN (
+  SELECT request_id, with_avoid, app_id, max(ws) FILTER (WHERE sentiment = 'positive') AS wanted_similarity,
+         coalesce(max(avs) FILTER (WHERE sentiment = 'negative'), 0) AS avoid_similarity,
+         arg_max(representative_review, (readable, ws, -cluster)) FILTER (WHERE sentiment = 'positive') AS positive_review,
+         coalesce(arg_max(representative_review, (readable, sample_count, -cluster)) FILTER (WHERE sentiment = 'negative'), '') AS negative_review
+  FROM compared GROUP BY request_id, with_avoid, app_id) s ON s.app_id = i.app_id
+  WHERE i.recommendation_rate >= 60 AND wanted_similarity IS NOT NULL),
+listed AS (SELECT *, max(wanted_similarity) OVER w AS wmax, min(wanted_similarity) OVER w AS wmin,
+                  max(avoid_similarity) OVER w AS amax, min(avoid_similarity) OVER w AS amin
+  FROM (SELECT * FROM every QUALIFY NOT with_avoid OR row_number() OVER (PARTITION BY request_id ORDER BY wanted_similarity DESC, app_id) <= {K.CANDIDATE_POOL})
+  WINDOW w AS (PARTITION BY request_id)),
+scored_lists AS (SELECT *, CASE WHEN NOT with_avoid THEN wanted_similarity ELSE
+    CASE WHEN wmax - wmin > 1e-9 THEN (wanted_similarity - wmin) / (wmax - wmin) ELSE 0 END
+    - {K.AVOID_PENALTY} * CASE WHEN amax - amin > 1e-9 THEN (avoid_similarity - amin) / (amax - amin) ELSE 0 END END AS rank_score FROM listed),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY round(rank_score, 9) DESC, recommendation_rate DESC, app_id) AS rank FROM scored_lists)""")
     out["moved_down"] = with_views(SEARCH, "SELECT app_id, app_name FROM placed WHERE plain <= 3 AND rank > 3", SCORED)
     out["item_search"] = with_views(SEARCH, f"""
 SELECT app_id, app_name, rank, greatest(0, wanted_similarity) * 100 AS match_pct, {excerpt('positive_review')} AS positive_review

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewlens import constants as K
 from reviewlens.functions.clean import clean_id, clean_text, has_words, item_matches, numeric
-from reviewlens.operators import cohorts, completion, consensus, critics, joins, recommend, sampling, text, themes
+from reviewlens.operators import cohorts, completion, consensus, critics, joins, pca, recommend, sampling, text, themes
 from reviewlens.session import materialize
 from reviewlens.sources.tables import require_columns
 
@@ -215,16 +215,8 @@ def theme_map(
         themes.cluster_terms(members, by, "review_id").withColumn("_title", F.split(F.lower(title), r"\W+")),
         by, banned_column="_title",
     )
-    mapped = [
-        themes.map_centers(
-            themes.pca_2d(members.filter(F.col("sentiment") == side), "review_id", carry=["sentiment", "cluster"]),
-            ["sentiment", "cluster"],
-        )
-        for side in K.SENTIMENTS
-        if not members.filter(F.col("sentiment") == side).isEmpty()
-    ]
-    places = mapped[0] if len(mapped) == 1 else mapped[0].unionByName(mapped[1])
     keys = ["sentiment", "cluster"]
+    places = themes.map_centers(pca.pca_2d(members, "review_id", carry=["cluster"], by=by), keys)
     shares = themes.cluster_shares(members, by=by).filter(F.col("n") > 0)
     return (
         themes.representatives(members, by, "review_id")

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reviewlens.operators import recommend
+from reviewlens.operators import blocks, recommend
 
 
 @pytest.fixture(scope="module")
@@ -120,3 +120,39 @@ def test_random_pick(shelf):
         assert row["positive_review"] in ([t for t in liked if len(t) >= 90] or liked)
     nobody = recommend.random_pick(item_df, cluster_df.filter("sentiment = 'positive'"), 1).first()
     assert nobody["negative_review"] == ""
+
+
+def test_relative_scale_of_any_number_of_rows(spark):
+    rows = spark.createDataFrame([(2.0,), (4.0,), (3.0,), (None,)], "v double")
+    spread = recommend.relative_scale(rows, "v", "s", bounded=False)
+    assert "SinglePartition" not in spread._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["v"]: r["s"] for r in spread.collect() if r["v"]} == {2.0: 0.0, 3.0: 0.5, 4.0: 1.0}
+
+
+@pytest.mark.parametrize("block", [5, 2048])
+def test_batch_equals_single_searches(spark, shelf, monkeypatch, block):
+    monkeypatch.setattr(blocks, "BLOCK", block)
+    _, _, item_df, cluster_df = shelf
+    rng = np.random.default_rng(5)
+    asked = []
+    for i in range(12):
+        wanted, avoid = rng.normal(0, 1, (2, 6)).tolist()
+        asked.append((f"r{i}", wanted, avoid if i % 3 else None))
+    requests = spark.createDataFrame([*asked, ("none", None, [1.0] * 6), (None, [1.0] * 6, None)], "request_id string, wanted array<double>, avoid array<double>")
+    found = recommend.rank_items_batch(item_df, cluster_df, requests, n=7)
+    rows = {}
+    for r in found.orderBy("request_id", "rank").collect():
+        rows.setdefault(r["request_id"], []).append(r)
+    assert set(rows) == {name for name, _, _ in asked}
+    columns = ["rank", "app_id", "app_name", "recommendation_rate", "review_count", "wanted_similarity", "avoid_similarity", "match_pct", "positive_review", "negative_review"]
+    for name, wanted, avoid in asked:
+        single = recommend.rank_items(item_df, cluster_df, wanted, avoid, n=7).orderBy("rank").collect()
+        assert [[r[c] for c in columns] for r in rows[name]] == [[r[c] for c in columns] for r in single]
+        assert [r["rank_score"] for r in rows[name]] == pytest.approx([r["rank_score"] for r in single])
+
+
+def test_batch_without_requests_or_themes(spark, shelf):
+    _, _, item_df, cluster_df = shelf
+    requests = spark.createDataFrame([("a", [1.0] * 6, None)], "request_id string, wanted array<double>, avoid array<double>")
+    assert recommend.rank_items_batch(item_df, cluster_df, requests.limit(0)).count() == 0
+    assert recommend.rank_items_batch(item_df, cluster_df.filter("sentiment = 'negative'"), requests).count() == 0

@@ -13,8 +13,8 @@ LIBRARY = set(catalog.REGISTRY) | {"consensus", "completion"}
 QUERIES = {k: v for k, v in entry_point.queries().items() if k in LIBRARY}
 ORACLES = {k: v for k, v in entry_point.oracle_sql().items() if k in LIBRARY}
 TABLES = ("customer", "supplier", "part", "lineitem", "events", "documents", "embeddings", "pages")
-# without SQL: principal axes; checked in the unit tests
-ROWS_ONLY = {"pca_2d", "theme_map"}
+# without SQL
+ROWS_ONLY = {"theme_map"}
 
 
 @pytest.fixture(scope="module")

@@ -1,4 +1,5 @@
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -6,16 +7,34 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlens.functions import vectors
-from reviewlens.operators import text, themes
+from reviewlens.operators import blocks, kmeans, pca, text, themes
+
+
+def brute_starts(points, k, r, seed=42):
+    """Starts of one restart, one race after the other."""
+    digest = lambda text: hashlib.md5(text.encode()).hexdigest()
+    chosen = []
+    for j in range(k):
+        d = digest(f"{seed}|{r}|{j}")
+        factor, shift = int(d[:8], 16) % (2**31 - 2) + 1, int(d[8:16], 16) % (2**31 - 1)
+
+        def arrival(i):
+            h = int(digest(f"{i}|{seed}")[:8], 16) % (2**31 - 1)
+            lead = -math.log(((h * factor + shift) % (2**31 - 1) + 1) / 2**31)
+            if chosen:
+                gap = min(sum((a - b) ** 2 for a, b in zip(points[i], c)) for c in chosen)
+                lead = lead / gap if gap > 0 else math.inf
+            return lead, h, i
+        chosen.append(points[min(points, key=arrival)])
+    return chosen
 
 
 def brute_kmeans(points, k, restarts, iterations, seed=42):
-    """Labels and centers of {id: vector} with the same starts."""
+    """Labels and centers of {id: vector} with the same starts, comparing all points with all centers in every round."""
     ids, x = list(points), np.array(list(points.values()))
     best = None
     for r in range(restarts):
-        order = sorted(ids, key=lambda i: (hashlib.md5(f"{i}|{seed + r}".encode()).hexdigest(), i))[:k]
-        centers = {c: np.array(points[i]) for c, i in enumerate(order)}
+        centers = {c: np.array(v) for c, v in enumerate(brute_starts(points, k, r, seed))}
         def label():
             names = sorted(centers)
             gaps = np.stack([((x - centers[c]) ** 2).sum(axis=1) for c in names])
@@ -42,8 +61,10 @@ def cloud(spark):
     return rows, spark.createDataFrame(rows, "g string, id long, embedding array<double>")
 
 
-@pytest.mark.parametrize("restarts,iterations", [(1, 3), (4, 100)])
-def test_kmeans_equals_direct_loop(cloud, restarts, iterations):
+@pytest.mark.parametrize("restarts,iterations,block", [(1, 3, 16384), (4, 100, 16384), (1, 3, 13), (3, 100, 13)])
+def test_kmeans_equals_direct_loop(cloud, restarts, iterations, block, monkeypatch):
+    # with small blocks the large group is worked on block by block
+    monkeypatch.setattr(blocks, "POINTS", block)
     rows, df = cloud
     found = themes.grouped_kmeans(df, ["g"], "id", restarts=restarts, iterations=iterations).collect()
     assert len(found) == len(rows)
@@ -56,6 +77,44 @@ def test_kmeans_equals_direct_loop(cloud, restarts, iterations):
     assert len({r["cluster"] for r in found if r["g"] == "same"}) == 1
 
 
+def test_bounds_give_the_clusters_of_full_comparisons():
+    rng = np.random.default_rng(8)
+    for trial in range(20):
+        middles = rng.normal(0, 6, (5, 4))
+        x = np.concatenate([m + rng.normal(0, rng.uniform(0.1, 2), (80, 4)) for m in middles] + [np.repeat(middles, 3, axis=0)])
+        hashes = rng.integers(0, kmeans.PRIME, len(x))
+        centers = kmeans.starts_of(x, hashes, kmeans.race_factors(trial, 1, 6)[0])
+        bounds, full, rounds = kmeans.Bounds(x, centers), kmeans.squared_distances(x, centers).argmin(axis=1), 0
+        while True:
+            assert (bounds.cluster == full).all()
+            after = kmeans.means_of(x, full, len(centers))
+            before, full = full, kmeans.squared_distances(x, after).argmin(axis=1)
+            moved, rounds = bounds.move(centers, after), rounds + 1
+            assert moved == (before != full).sum()
+            centers = after
+            if not moved:
+                break
+        # a point that stays far from other centers is not compared again
+        assert bounds.compared < len(x) * (rounds + 1)
+
+
+def test_starts_lie_apart():
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(c, 0.01, (100, 2)) for c in (0, 10, 20, 30)])
+    apart = 0
+    for seed in range(50):
+        starts = kmeans.starts_of(x, rng.integers(0, kmeans.PRIME, len(x)), kmeans.race_factors(seed, 1, 4)[0])
+        apart += len({round(s[0] / 10) for s in starts}) == 4
+    assert apart >= 45
+
+
+def test_kmeans_leaves_out_what_has_no_group_or_vector(spark):
+    rows = [("a", 1, [1.0, 0.0]), ("a", 2, None), (None, 3, [1.0, 1.0]), ("b", 4, [0.0, 2.0])]
+    members, centers = themes.fit_kmeans(spark.createDataFrame(rows, "g string, id long, embedding array<double>"), ["g"], "id")
+    assert {tuple(r) for r in members.collect()} == {("a", 1, 0), ("b", 4, 0)}
+    assert {(r["g"], r["cluster"], tuple(r["center"])) for r in centers.collect()} == {("a", 0, (1.0, 0.0)), ("b", 0, (0.0, 1.0))}
+
+
 def test_more_rounds_never_raise_inertia(cloud):
     rows, df = cloud
     points = {i: np.array(v) for n, i, v in rows if n == "big"}
@@ -126,10 +185,35 @@ def test_labels(spark):
     assert found[0] == "sun, moon, late"
 
 
+@pytest.mark.parametrize("block", [16384, 12])
+def test_grouped_pca(spark, block, monkeypatch):
+    # with small blocks the larger groups' scatter matrices are added up from several tasks
+    monkeypatch.setattr(blocks, "POINTS", block)
+    rng = np.random.default_rng(2)
+    groups = {"wide": rng.normal(0, [5, 3, 1], (60, 3)) + 100, "line": np.outer(np.arange(30.0), [1, 2, 2]) / 3,
+              "one": np.ones((1, 3)), "same": np.full((25, 3), 0.1)}
+    rows = [(g, f"{g}{i}", [float(t) for t in v], "kept") for g, x in groups.items() for i, v in enumerate(x)]
+    rows += [("wide", "nothing", None, "kept"), (None, "no group", [1.0, 2.0, 3.0], "kept")]
+    df = spark.createDataFrame(rows, "g string, id string, embedding array<double>, mean string").withColumn("axes", F.lit(1))
+    found = {r["id"]: r for r in pca.pca_2d(df, "id", by=["g"], carry=["mean"]).collect()}
+    assert len(found) == sum(map(len, groups.values()))
+    for g, x in groups.items():
+        places = np.array([[found[f"{g}{i}"][c] for c in ("pc1", "pc2")] for i in range(len(x))])
+        if g in ("one", "same"):
+            assert np.abs(places).max() < 1e-9
+            continue
+        centred = x - x.mean(axis=0)
+        _, size, axes = np.linalg.svd(centred, full_matrices=False)
+        axes = axes[:2] * np.sign(axes[:2][[0, 1], np.abs(axes[:2]).argmax(axis=1)])[:, None]
+        axes[size[:2] < 1e-9] = 0
+        assert np.allclose(places, centred @ axes.T, atol=1e-7)
+    assert pca.pca_2d(df.limit(0), "id", by=["g"]).count() == 0
+
+
 def test_pca_equals_svd(spark):
     x = np.random.default_rng(12).normal(0, [3, 2, 1, 0.5], (80, 4)) + 5
     df = spark.createDataFrame([(i, [float(t) for t in v]) for i, v in enumerate(x)], "id int, embedding array<double>")
-    found = themes.pca_2d(df, "id").orderBy("id").collect()
+    found = pca.pca_2d(df, "id").orderBy("id").collect()
     centred = x - x.mean(axis=0)
     axes = np.linalg.svd(centred, full_matrices=False)[2][:2].T
     axes = axes * np.sign(axes[np.abs(axes).argmax(axis=0), [0, 1]])
