@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from reviewlens import constants as K
 from reviewlens.functions.vectors import unit_vector, vector_mean
 from reviewlens.operators.themes import representatives
+from reviewlens.session import spread
 
 # page fields of the test pages: field -> (pattern, type)
 TEST_PAGE_FIELDS = {
@@ -19,7 +20,8 @@ THEME_TWO = ["tion", "eren", "anea", "thou"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(rows) if name in ("documents", "pages") else rows
 
 
 def as_plays(events: DataFrame) -> DataFrame:

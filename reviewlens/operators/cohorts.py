@@ -10,6 +10,7 @@ from reviewlens import constants as K
 from reviewlens.functions.clean import boolean, minutes_to_hours, numeric, text_length
 from reviewlens.operators.quantiles import box_stats, one_quantile, with_levels
 from reviewlens.operators.sampling import sample_n
+from reviewlens.session import materialize
 
 
 def cohort_flags(
@@ -99,42 +100,68 @@ def length_box(df: DataFrame) -> DataFrame:
     return box_stats(df, "cohort", "review_length", K.COHORTS)
 
 
+#: Bandwidths from a point within which its kernel counts; beyond, it is under 1e-17 of its top.
+DENSITY_REACH = 9.0
+#: Bins to a bandwidth where the bin width follows from the data.
+BINS_TO_A_BANDWIDTH = 200
+
+
 def density(
     df: DataFrame, value: str, key: str | None = None, log: bool = True, grid: int = K.DENSITY_GRID,
-    sample: int | None = None, floor: float = K.MIN_PLOTTED_HOURS, bin_width: float = K.DENSITY_BIN,
+    sample: int | None = None, floor: float | None = K.MIN_PLOTTED_HOURS, bin_width: float | None = None,
     cut: float = 3.0, seed: int = K.SEED,
 ) -> DataFrame:
     """Gaussian density curve of all rows, or of a seeded ``sample`` of them, on an even grid.
 
-    Values are first counted in bins of ``bin_width``, far below the bandwidth,
-    so the curve costs bins times grid whatever the number of rows. The
-    bandwidth follows Scott's rule and the grid reaches ``cut`` bandwidths
-    beyond the data. With ``log`` bins and curve are over log10 of the value.
+    Values are counted in bins far narrower than the bandwidth: of
+    ``bin_width``, by default DENSITY_BIN with ``log`` and a small part of the
+    bandwidth without. A bin adds to the grid steps within its kernel's reach
+    and to no others, so bins of any number are worked on apart and summed up
+    before the shuffle. The bandwidth follows Scott's rule and the grid reaches
+    ``cut`` bandwidths beyond the data. With ``log`` bins and curve are over
+    log10 of the value. Values up to ``floor`` and those that are null,
+    infinite or not a number are left out; fewer than two values, or values
+    without spread, have no curve and give no rows.
     """
-    rows = df.filter(F.col(value) > floor)
+    finite = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")) & (F.abs(value) < float("inf"))
+    rows = df.filter(finite if floor is None else finite & (F.col(value) > floor))
+    if log:
+        rows = rows.filter(F.col(value) > 0)
     if sample is not None:
         rows = sample_n(rows.select(key, value), [key], sample, seed)
-    number = F.log10(value) if log else F.col(value)
-    counts = rows.groupBy(F.round(number / bin_width).alias("_bin")).agg(F.count(F.lit(1)).alias("n"))
-    points = counts.select((F.col("_bin") * bin_width).alias("x"), "n")
-    # the bins, whose number the width bounds, become one row: nothing reads the table twice
-    total = F.col("_n")
-    one = points.agg(
-        F.array_sort(F.collect_list(F.struct("x", "n"))).alias("_points"), F.sum("n").alias("_n"),
-        (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("_mean"),
-        F.min("x").alias("_min"), F.max("x").alias("_max"),
-    ).filter(total > 1)
-
-    def summed(term) -> Column:
-        return F.aggregate("_points", F.lit(0.0), lambda s, p: s + p.getField("n") * term(p.getField("x")))
-
-    spread = F.sqrt(summed(lambda x: (x - F.col("_mean")) * (x - F.col("_mean"))) / (total - 1))
-    shape = one.withColumn("_width", spread * F.pow(total, F.lit(-0.2)))
-    reach = F.col("_width") * cut
-    shape = shape.withColumns({"_low": F.col("_min") - reach, "_high": F.col("_max") + reach})
-    steps = shape.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
-    steps = steps.withColumn("_at", F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("step") / float(grid - 1)))
-    kernels = summed(lambda x: F.exp(F.lit(-0.5) * F.pow((F.col("_at") - x) / F.col("_width"), F.lit(2.0))))
-    scale = total * F.col("_width") * math.sqrt(2 * math.pi)
-    at = F.pow(F.lit(10.0), "_at") if log else F.col("_at")
-    return steps.repartition("step").select("step", at.alias("at"), (kernels / scale).alias("density"))
+    numbers = rows.select((F.log10(value) if log else F.col(value).cast("double")).alias("x"))
+    if bin_width is None and not log:
+        # as wide as a part of the bandwidth that all values, unbinned, would have
+        wide = numbers.agg((F.stddev_samp("x") * F.pow(F.count("x"), F.lit(-0.2)) / BINS_TO_A_BANDWIDTH).alias("w")).scalar()
+        width = F.when(wide > 0, wide).otherwise(1.0)
+    else:
+        width = F.lit(K.DENSITY_BIN if bin_width is None else bin_width)
+    counts = numbers.groupBy(F.round(F.col("x") / width).alias("_bin")).agg(F.count(F.lit(1)).alias("n"))
+    # bins are read for the bandwidth and for the curve
+    counts = materialize(counts.select((F.col("_bin") * width).alias("x"), "n"))
+    basic = counts.agg(F.struct(
+        F.sum("n").alias("n"), (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mean"),
+        F.min("x").alias("low"), F.max("x").alias("high"))).scalar()
+    total, mean = basic.getField("n"), basic.getField("mean")
+    spread = counts.agg(F.struct(F.sqrt(F.sum(F.col("n") * F.pow(F.col("x") - mean, F.lit(2.0))) / F.when(total > 1, total - 1)).alias("v"))).scalar().getField("v")
+    # rounding is no spread
+    there = spread > 1e-12 * F.greatest(F.abs(basic.getField("low")), F.abs(basic.getField("high")))
+    shape = {"_h": spread * F.pow(total, F.lit(-0.2)), "_low": basic.getField("low"), "_high": basic.getField("high"), "_n": total}
+
+    def placed(frame: DataFrame) -> DataFrame:
+        frame = frame.filter(there).withColumns(shape)
+        frame = frame.withColumns({"_low": F.col("_low") - F.col("_h") * cut, "_high": F.col("_high") + F.col("_h") * cut})
+        return frame.withColumn("_step", (F.col("_high") - F.col("_low")) / float(grid - 1))
+
+    reach = F.col("_h") * DENSITY_REACH
+    first = F.greatest(F.lit(0), F.ceil((F.col("x") - reach - F.col("_low")) / F.col("_step")))
+    last = F.least(F.lit(grid - 1), F.floor((F.col("x") + reach - F.col("_low")) / F.col("_step")))
+    near = placed(counts).withColumns({"_first": first, "_last": last}).filter("_first <= _last")
+    near = near.withColumn("step", F.explode(F.sequence(F.col("_first").cast("int"), F.col("_last").cast("int"))))
+    at = F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("step") / float(grid - 1))
+    kernel = F.exp(F.lit(-0.5) * F.pow((at - F.col("x")) / F.col("_h"), F.lit(2.0)))
+    sums = near.groupBy("step").agg(F.sum(F.col("n") * kernel).alias("_sum"))
+    steps = placed(df.sparkSession.range(grid).select(F.col("id").cast("int").alias("step")))
+    scale = F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi)
+    return steps.join(F.broadcast(sums), "step", "left").select(
+        "step", (F.pow(F.lit(10.0), at) if log else at).alias("at"), (F.coalesce("_sum", F.lit(0.0)) / scale).alias("density"))

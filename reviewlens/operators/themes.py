@@ -13,6 +13,7 @@ from reviewlens.functions.clean import flatten_text
 from reviewlens.functions.vectors import dot, unit_vector
 from reviewlens.operators.kmeans import fit_kmeans
 from reviewlens.operators.text import raw_tokens, tfidf
+from reviewlens.session import materialize
 
 
 def encode_text(
@@ -33,12 +34,11 @@ def encode_text(
     words = df.withColumn("_words", F.transform(raw_tokens(text), lambda word: place(word).cast("string")))
     words = words.withColumn("_words", F.coalesce("_words", F.array().cast("array<string>")))
     counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(size)], "_words", "_counts")
-    counts = counter.transform(words)
+    # texts are read once, counts for the frequencies and for the weights
+    counts = materialize(counter.transform(words).drop("_words"))
     weighted = IDF(inputCol="_counts", outputCol="_weights").fit(counts).transform(counts)
     scaled = Normalizer(inputCol="_weights", outputCol="_unit").transform(weighted)
-    return scaled.withColumn(name, vector_to_array("_unit", "float32")).drop(
-        "_words", "_counts", "_weights", "_unit"
-    )
+    return scaled.withColumn(name, vector_to_array("_unit", "float32")).drop("_counts", "_weights", "_unit")
 
 
 def grouped_kmeans(df: DataFrame, by: Sequence[str], key: str, vector: str = "embedding", **options) -> DataFrame:

@@ -80,6 +80,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan dealt out to all cores where its files have fewer parts than there are cores.
+
+    Work on texts costs far more than moving them; a table of many parts stays
+    as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def release_stages(spark: SparkSession) -> None:
     """Drop all stage tables of the session with their files; results that read them must be written before."""
     name = spark.conf.get(_STAGES, None)

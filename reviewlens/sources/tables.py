@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from reviewlens.session import materialize
 
 REVIEWS_SCHEMA = (
     "review_id string, app_id string, app_name string, `author.steamid` string, review string, "
@@ -126,15 +128,81 @@ def newest_change(spark: SparkSession, path: str):
         raise
 
 
+_FINGERPRINT = "file string, path string, length long, modified timestamp"
+
+
+def fingerprints(spark: SparkSession, source: str) -> DataFrame:
+    """Name as rows know it, path, length and modification time of every file below a path; contents stay unread."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
+    return files.select(F.input_file_name().alias("file"), "path", "length", F.col("modificationTime").alias("modified"))
+
+
+def _commits(spark: SparkSession, target: str) -> tuple[int, DataFrame] | None:
+    """Number and content of the last commit below a target: every source file and the commit that holds its rows."""
+    try:
+        markers = spark.read.schema(f"{_FINGERPRINT}, home long, number long").parquet(f"{target}/commits")
+        last = markers.agg(F.max("number")).first()[0]
+    except Exception as error:  # nothing was ever committed
+        if "PATH_NOT_FOUND" in str(error):
+            return None
+        raise
+    return None if last is None else (last, markers.filter(F.col("number") == last).drop("number"))
+
+
+def current_table(spark: SparkSession, target: str) -> DataFrame:
+    """What the last commit of ``refresh_if_stale`` made visible."""
+    found = _commits(spark, target)
+    if found is None:
+        raise FileNotFoundError(target)
+    _, files = found
+    rows = spark.read.option("basePath", f"{target}/data").parquet(*[
+        f"{target}/data/home={row[0]}" for row in files.select("home").distinct().collect()])
+    if "_file" in rows.columns:
+        # of a home only the files that have not been built anew since
+        rows = rows.join(files.select(F.col("file").alias("_file"), "home"), ["_file", "home"], "left_semi")
+    return rows.drop("_file", "home")
+
+
 def refresh_if_stale(
-    spark: SparkSession, source: str, target: str,
-    build: Callable[[SparkSession, str], DataFrame], force: bool = False,
+    spark: SparkSession, source: str, target: str, build: Callable[..., DataFrame], force: bool = False, row_wise: bool = False,
 ) -> DataFrame:
-    """The derived table at ``target``, rebuilt when older than its source."""
-    changed = newest_change(spark, source)
-    if changed is None:
+    """The table at ``target`` derived from the files below ``source``, built anew where these have changed.
+
+    Every build writes files of its own and then a marker, a single file that
+    names all source files with length and modification time. Readers follow
+    the last marker, so they have the old table until a build is complete, and
+    a build that fails changes nothing. ``build(spark, source)`` makes the whole
+    table. A ``row_wise`` build makes its rows one by one from those of its
+    files, without shuffles; it is called with the list of files that are new
+    or have changed, and rows of other files stay where they are. Without any
+    change, and without ``force``, nothing is built. Files of earlier commits
+    are left to running readers.
+    """
+    try:
+        now = materialize(fingerprints(spark, source))
+    except Exception as error:
+        if "PATH_NOT_FOUND" in str(error):
+            raise FileNotFoundError(source) from error
+        raise
+    if now.isEmpty():
         raise FileNotFoundError(source)
-    built = newest_change(spark, target)
-    if force or built is None or built < changed:
-        build(spark, source).write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    last = _commits(spark, target)
+    number = 0 if last is None else last[0] + 1
+    names = ["file", "path", "length", "modified"]
+    kept = now.limit(0).withColumn("home", F.lit(0).cast("long")) if last is None or force else now.join(last[1], names)
+    # one row for each source file that has to be read
+    changed = now.join(kept, "file", "left_anti")
+    gone = last is not None and not last[1].join(now, "file", "left_anti").isEmpty()
+    if changed.isEmpty() and not gone:
+        return current_table(spark, target)
+    home = f"{target}/data/home={number}"
+    if row_wise:
+        files = sorted(row[0] for row in changed.select("path").collect())
+        if files:
+            build(spark, files).withColumn("_file", F.input_file_name()).write.mode("overwrite").parquet(home)
+        marker = kept.unionByName(changed.withColumn("home", F.lit(number).cast("long")))
+    else:
+        build(spark, source).write.mode("overwrite").parquet(home)
+        marker = now.withColumn("home", F.lit(number).cast("long"))
+    marker.withColumn("number", F.lit(number).cast("long")).coalesce(1).write.mode("append").parquet(f"{target}/commits")
+    return current_table(spark, target)

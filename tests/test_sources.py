@@ -98,6 +98,48 @@ def test_refresh_only_when_stale(spark, tmp_path):
         tables.refresh_if_stale(spark, str(tmp_path / "none"), target, build)
 
 
+def test_a_failed_build_leaves_the_old_table(spark, tmp_path):
+    source, target = str(tmp_path / "s"), str(tmp_path / "t")
+    spark.range(3).write.parquet(source)
+    tables.refresh_if_stale(spark, source, target, lambda session, path: session.read.parquet(path))
+    reader = tables.current_table(spark, target)
+    spark.range(3, 10).write.mode("append").parquet(source)
+
+    def broken(session, path):
+        # some rows are written before one of them fails
+        return session.read.parquet(path).select(F.when(F.col("id") == 9, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).alias("id"))
+
+    with pytest.raises(Exception, match="broken"):
+        tables.refresh_if_stale(spark, source, target, broken)
+    assert sorted(r[0] for r in tables.current_table(spark, target).collect()) == [0, 1, 2] == sorted(r[0] for r in reader.collect())
+    assert tables.refresh_if_stale(spark, source, target, lambda session, path: session.read.parquet(path)).count() == 10
+    # who still reads the old version finds its files
+    assert reader.count() == 3
+
+
+def test_only_changed_files_are_built(spark, tmp_path):
+    source, target = tmp_path / "s", str(tmp_path / "t")
+    for name, low in (("a", 0), ("b", 10), ("c", 20)):
+        spark.range(low, low + 3).coalesce(1).write.parquet(str(source / name))
+    calls = []
+
+    def doubled(session, files):
+        calls.append({f.split("/")[-2] for f in files})
+        return session.read.parquet(*files).selectExpr("id * 2 AS id")
+
+    ids = lambda rows: sorted(r[0] for r in rows.collect())
+    refresh = lambda **more: tables.refresh_if_stale(spark, str(source), target, doubled, row_wise=True, **more)
+    assert ids(refresh()) == [0, 2, 4, 20, 22, 24, 40, 42, 44]
+    assert ids(refresh()) == [0, 2, 4, 20, 22, 24, 40, 42, 44] and calls == [{"a", "b", "c"}]
+    spark.range(100, 102).coalesce(1).write.mode("overwrite").parquet(str(source / "b"))
+    spark.range(50, 51).coalesce(1).write.parquet(str(source / "d"))
+    assert ids(refresh()) == [0, 2, 4, 40, 42, 44, 100, 200, 202] and calls[1:] == [{"b", "d"}]
+    for file in (source / "a").iterdir():
+        file.unlink()
+    assert ids(refresh()) == [40, 42, 44, 100, 200, 202] and len(calls) == 2
+    assert ids(refresh(force=True)) == [40, 42, 44, 100, 200, 202] and calls[2:] == [{"b", "c", "d"}]
+
+
 def test_stored_reviews_are_split(spark, csv_path, tmp_path):
     target = str(tmp_path / "stored")
     rows = tables.store_reviews(spark, csv_path, target, 2, columns=["review_id", "review"])

@@ -113,6 +113,31 @@ def test_density_equals_direct_sum(spark):
     assert area == pytest.approx(1, abs=0.01)
 
 
+def test_density_of_any_range(spark):
+    rng = np.random.default_rng(9)
+    values = [float(v) for v in np.concatenate([rng.normal(0, 1e8, 4000), rng.normal(9e8, 3e7, 500)])]
+    strange = [float("inf"), float("-inf"), float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in [*values, *strange]], "h double")
+    found = cohorts.density(df, "h", log=False, floor=None, grid=60).orderBy("step").collect()
+    x, at = np.array(values), np.array([r["at"] for r in found])
+    width = x.std(ddof=1) * len(x) ** -0.2
+    direct = np.exp(-0.5 * ((at[:, None] - x) / width) ** 2).sum(axis=1) / (len(x) * width * np.sqrt(2 * np.pi))
+    assert at[0] == pytest.approx(x.min() - 3 * width, abs=width / 100) and len(found) == 60
+    assert np.allclose([r["density"] for r in found], direct, rtol=1e-3, atol=direct.max() * 1e-4)
+    # an infinite value changes nothing with logarithms either
+    logs = [cohorts.density(spark.createDataFrame([(v,) for v in [*map(abs, values), *extra]], "h double"), "h").orderBy("step").collect()
+            for extra in ([], strange)]
+    assert len(logs[0]) == len(logs[1]) == K.DENSITY_GRID
+    assert np.allclose([tuple(r) for r in logs[0]], [tuple(r) for r in logs[1]], rtol=1e-9)
+
+
+def test_density_without_spread(spark):
+    for values in ([0.1] * 30, [1e9] * 3, [5.0], [], [None], [float("inf")] * 3):
+        df = spark.createDataFrame([(v,) for v in values], "h double")
+        assert cohorts.density(df, "h").collect() == []
+        assert cohorts.density(df, "h", log=False).collect() == []
+
+
 def test_density_of_a_sample(spark):
     df = spark.range(1, 400).selectExpr("id AS k", "CAST(id AS DOUBLE) AS h")
     curve = cohorts.density(df, "h", "k", grid=80, sample=50).collect()
