@@ -27,9 +27,9 @@ SALTS = 16
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line) of every line with a visible character."""
+    """(doc_id, version, line_no, line) of every line with a visible character; ``version`` tells texts of one doc_id apart."""
     whole = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("t"))
-    split = whole.select("doc_id", F.posexplode(F.split("t", "\n", -1)).alias("line_no", "line"))
+    split = whole.select("doc_id", F.xxhash64("t").alias("version"), F.posexplode(F.split("t", "\n", -1)).alias("line_no", "line"))
     return split.where(F.col("line").rlike(r"[^\s]"))
 
 
@@ -40,11 +40,11 @@ def _identity() -> list[Column]:
 
 def distinct_lines(lines: DataFrame) -> DataFrame:
     """(nr, h1, h2, first, copies, line) of each distinct line; nr numbers the written rows, first is its first place."""
-    first = F.min(F.struct("doc_id", "line_no", "line"))
-    found = lines.select("doc_id", "line_no", "line", *_identity()).groupBy("h1", "h2").agg(
+    first = F.min(F.struct("doc_id", "version", "line_no", "line"))
+    found = lines.select("doc_id", "version", "line_no", "line", *_identity()).groupBy("h1", "h2").agg(
         first.alias("m"), F.count(F.lit(1)).alias("copies"))
     return stage(found.select(
-        F.monotonically_increasing_id().alias("nr"), "h1", "h2", F.struct("m.doc_id", "m.line_no").alias("first"), "copies",
+        F.monotonically_increasing_id().alias("nr"), "h1", "h2", F.struct("m.doc_id", "m.version", "m.line_no").alias("first"), "copies",
         F.col("m.line").alias("line"), F.length("m.line").alias("size")), "lines")
 
 
@@ -213,7 +213,7 @@ def line_links(lines: DataFrame, group: int = GROUP) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, group: int = GROUP) -> DataFrame:
-    """(doc_id, line_no, keep_doc_id, keep_line_no): lines that go, and the first line of their class, which stays."""
+    """(doc_id, version, line_no, keep_doc_id, keep_line_no): lines that go, and the first line of their class, which stays."""
     all_lines = _lines(docs)
     lines = distinct_lines(all_lines)
     found = components(line_links(lines, group)).withColumnRenamed("node", "nr")
@@ -222,9 +222,9 @@ def removed_lines(docs: DataFrame, group: int = GROUP) -> DataFrame:
     classed = classed.where("copies > 1 OR component IS NOT NULL").withColumn("component", F.coalesce("component", "nr"))
     firsts = classed.groupBy("component").agg(F.min("first").alias("keep"))
     kept = stage(classed.join(firsts, "component").select("h1", "h2", "keep"), "kept")
-    placed = all_lines.select("doc_id", "line_no", *_identity()).join(kept, ["h1", "h2"])
-    return placed.where(F.struct("doc_id", "line_no") > F.col("keep")).select(
-        "doc_id", "line_no", F.col("keep.doc_id").alias("keep_doc_id"), F.col("keep.line_no").alias("keep_line_no"))
+    placed = all_lines.select("doc_id", "version", "line_no", *_identity()).join(kept, ["h1", "h2"])
+    return placed.where(F.struct("doc_id", "version", "line_no") > F.col("keep")).select(
+        "doc_id", "version", "line_no", F.col("keep.doc_id").alias("keep_doc_id"), F.col("keep.line_no").alias("keep_line_no"))
 
 
 def line_dedup(docs: DataFrame, group: int = GROUP) -> DataFrame:
@@ -234,11 +234,13 @@ def line_dedup(docs: DataFrame, group: int = GROUP) -> DataFrame:
     if they are within EDITS edits, shorter ones if they are identical; links
     join lines into classes, and the first line of a class, by doc_id and line
     number, stays. Lines of white space alone always stay. A null text is one
-    empty line. doc_id is the key: rows that repeat in full are not copies of
-    each other, and rows without doc_id lose nothing. Other columns are not read.
+    empty line. Rows that repeat in full are one document; of rows that share
+    a doc_id and differ in text, each is a document of its own, ordered by a
+    hash of the text. Rows without doc_id lose nothing. Other columns are not read.
     """
-    gone = stage(removed_lines(docs, group).groupBy("doc_id").agg(F.collect_set("line_no").alias("gone")), "gone")
-    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(gone, "doc_id", "left")
+    gone = stage(removed_lines(docs, group).groupBy("doc_id", "version").agg(F.collect_set("line_no").alias("gone")), "gone")
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    whole = whole.withColumn("version", F.xxhash64("text")).join(gone, ["doc_id", "version"], "left")
     rows = whole.withColumn("lines", F.split("text", "\n", -1))
     rows = rows.withColumn("stay", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("gone", F.array().cast("array<int>"))))
     kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlens.llm.anchors import SpanHash, mixed
+from reviewlens.llm.anchors import mixed
 from reviewlens.llm.common import arrow_map, stage, texts_of, thinned
 from reviewlens.llm.components import components
 from reviewlens.llm.words import shingle_sets, words_of
@@ -59,17 +59,15 @@ def _signed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     if len(full):
         for i, row in zip(full.tolist(), signatures([sets[i] for i in full.tolist()])):
             signs[i] = row.tobytes()
-    # the word sequence by two hashes of different bases
-    first = SpanHash(words.codes)(words.bounds[:-1], words.bounds[1:])
-    second = SpanHash(mixed(words.codes))(words.bounds[:-1], words.bounds[1:])
+    sequence = words.sequence_digests()
     yield pa.RecordBatch.from_arrays(
-        [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(first.view(np.int64)),
-         pa.array(second.view(np.int64)), pa.array(np.diff(words.bounds), pa.int64()), pa.array(signs, pa.binary())],
+        [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(sequence[:, 0]),
+         pa.array(sequence[:, 1]), pa.array(np.diff(words.bounds), pa.int64()), pa.array(signs, pa.binary())],
         names=["doc_id", "n_shingles", "s1", "s2", "n_words", "signature"])
 
 
 def signed_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, word-sequence hash (s1, s2), n_words and signature of each document."""
+    """doc_id, n_shingles, word-sequence digest (s1, s2), n_words and signature of each document."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return arrow_map(plain, _signed, "doc_id long, n_shingles long, s1 long, s2 long, n_words long, signature binary")
 

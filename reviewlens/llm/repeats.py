@@ -20,19 +20,25 @@ from reviewlens.llm.common import arrow_map, stage, texts_of
 Coder = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 
 
-def _after_first(group: np.ndarray, doc: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """Whether an entry's (doc, low) comes after the smallest one of its group."""
-    order = np.lexsort((low, doc, group))
+def rows_of(docs: DataFrame) -> DataFrame:
+    """doc_id, version and text. Rows with one doc_id and different texts are told apart by ``version``, a hash of the text."""
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return plain.select("doc_id", F.xxhash64("text").alias("version"), "text")
+
+
+def _after_first(group: np.ndarray, doc: np.ndarray, version: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Whether an entry's (doc, version, low) comes after the smallest one of its group."""
+    order = np.lexsort((low, version, doc, group))
     head = np.ones(len(group), dtype=bool)
     head[1:] = group[order][1:] != group[order][:-1]
     first = order[np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))]
     out = np.empty(len(group), dtype=bool)
-    out[order] = (doc[order] != doc[first]) | (low[order] != low[first])
+    out[order] = (doc[order] != doc[first]) | (version[order] != version[first]) | (low[order] != low[first])
     return out
 
 
 def marked_units(docs: DataFrame, coder: Coder, length: int, k: int) -> DataFrame:
-    """(doc_id, low, count, slot, covered) of the units that other units call into question, as a staged table.
+    """(doc_id, version, low, count, slot, covered) of the units that other units call into question, as a staged table.
 
     covered: all windows of the unit stand earlier too. Else the unit is the
     first with its text, and some unit with another text shares its anchor's
@@ -46,10 +52,10 @@ def marked_units(docs: DataFrame, coder: Coder, length: int, k: int) -> DataFram
         text, low, count, gram, whole = units(codes, bounds, length, k)
         if not len(text):
             return
-        doc = batch.column("doc_id").to_numpy()[text]
-        again = _after_first(gram ^ mixed(whole), doc, low)
+        doc, version = (batch.column(name).to_numpy()[text] for name in ("doc_id", "version"))
+        again = _after_first(gram ^ mixed(whole), doc, version, low)
         kept = np.flatnonzero(~again)
-        yield _rows(doc[kept], low[kept], count[kept], gram[kept], whole[kept], False)
+        yield _rows(doc[kept], version[kept], low[kept], count[kept], gram[kept], whole[kept], False)
         runs = np.flatnonzero(again)
         if len(runs):
             new = np.ones(len(runs), dtype=bool)
@@ -58,31 +64,29 @@ def marked_units(docs: DataFrame, coder: Coder, length: int, k: int) -> DataFram
             total = np.add.reduceat(count[runs], head)
             at = runs[head]
             # a run needs no partner, so its slot only spreads it
-            yield _rows(doc[at], low[at], total, mixed(gram[at] ^ mixed(doc[at].astype(np.uint64))), whole[at], True)
+            yield _rows(doc[at], version[at], low[at], total, mixed(gram[at] ^ mixed(doc[at].astype(np.uint64))), whole[at], True)
 
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = arrow_map(plain.where("doc_id IS NOT NULL"), work,
-                      "doc_id long, low int, count int, slot long, whole long, covered boolean")
+    found = arrow_map(rows_of(docs).where("doc_id IS NOT NULL"), work,
+                      "doc_id long, version long, low int, count int, slot long, whole long, covered boolean")
     # rank gives ties one place: a row of documents that repeats in full is not its own copy
-    place = F.rank().over(Window.partitionBy("slot", "whole").orderBy("doc_id", "low"))
+    place = F.rank().over(Window.partitionBy("slot", "whole").orderBy("doc_id", "version", "low"))
     same_slot = Window.partitionBy("slot")
     found = found.repartition("slot").withColumn("covered", F.col("covered") | (place > 1))
     several = F.min("whole").over(same_slot) != F.max("whole").over(same_slot)
     return stage(found.withColumn("several", several).where("covered OR several").drop("whole", "several"), "units")
 
 
-def _rows(doc, low, count, gram, whole, covered: bool) -> pa.RecordBatch:
+def _rows(doc, version, low, count, gram, whole, covered: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(doc, pa.int64()), pa.array(low, pa.int32()), pa.array(count, pa.int32()),
+        [pa.array(doc, pa.int64()), pa.array(version, pa.int64()), pa.array(low, pa.int32()), pa.array(count, pa.int32()),
          pa.array(gram.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(np.full(len(doc), covered))],
-        names=["doc_id", "low", "count", "slot", "whole", "covered"])
+        names=["doc_id", "version", "low", "count", "slot", "whole", "covered"])
 
 
 def with_spans(docs: DataFrame, spans: DataFrame, how: str, *more: str) -> DataFrame:
-    """doc_id, text and ``spans``, the document's (low, count, ...) entries; a document has no more of them than elements."""
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    lists = spans.groupBy("doc_id").agg(F.collect_list(F.struct("low", "count", *more)).alias("spans"))
-    return plain.join(lists, "doc_id", how)
+    """doc_id, version, text and ``spans``, the document's (low, count, ...) entries; a document has no more of them than elements."""
+    lists = spans.groupBy("doc_id", "version").agg(F.collect_list(F.struct("low", "count", *more)).alias("spans"))
+    return rows_of(docs).join(lists, ["doc_id", "version"], how)
 
 
 def span_arrays(column: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.llm.anchors import SpanHash, mixed
+from reviewlens.llm.anchors import SpanHash
 from reviewlens.llm.common import arrow_map, stage, texts_of
 from reviewlens.llm.repeats import marked_units, removed_elements, span_arrays, with_spans
 from reviewlens.llm.words import words_of
@@ -35,23 +35,24 @@ def _coded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def edges(docs: DataFrame, open_units: DataFrame) -> DataFrame:
-    """(doc_id, place, edge, proof, tail, head) of every window of the open units; proof is a second hash of the window."""
+    """(doc_id, version, place, edge, proof, tail, head) of every window of the open units; proof is a second hash of the window."""
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        codes, bounds = _coded(texts_of(batch.column("text")))
+        words = words_of(texts_of(batch.column("text")))
+        bounds = words.bounds
         row, spans = span_arrays(batch.column("spans"))
         count = spans["count"].astype(np.int64)
         place = np.repeat(spans["low"] - (np.cumsum(count) - count), count) + np.arange(count.sum())
         row = np.repeat(row, count)
         at = bounds[row] + place
-        first, second = SpanHash(codes), SpanHash(mixed(codes))
+        first, second = SpanHash(words.codes), SpanHash(words.proofs)
         columns = [first(at, at + WINDOW), second(at, at + WINDOW), first(at, at + WINDOW - 1), first(at + 1, at + WINDOW)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").take(pa.array(row)), pa.array(place, pa.int32()), *(pa.array(c.view(np.int64)) for c in columns)],
-            names=["doc_id", "place", "edge", "proof", "tail", "head"])
+            [batch.column("doc_id").take(pa.array(row)), batch.column("version").take(pa.array(row)), pa.array(place, pa.int32()), *(pa.array(c.view(np.int64)) for c in columns)],
+            names=["doc_id", "version", "place", "edge", "proof", "tail", "head"])
 
     rows = with_spans(docs, open_units, "inner")
-    return arrow_map(rows, work, "doc_id long, place int, edge long, proof long, tail long, head long")
+    return arrow_map(rows, work, "doc_id long, version long, place int, edge long, proof long, tail long, head long")
 
 
 def compacted(repeated: DataFrame) -> DataFrame:
@@ -87,25 +88,25 @@ def compacted(repeated: DataFrame) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, low, count): runs of windows that stand earlier too."""
+    """(doc_id, version, low, count): runs of windows that stand earlier too."""
     units = marked_units(docs, _coded, WINDOW, ANCHOR)
     found = stage(edges(docs, units.where("NOT covered")), "edges")
     # an edge is a window's words: both hashes must agree
     repeated = stage(
         found.groupBy("edge", "proof").agg(F.min("tail").alias("tail"), F.min("head").alias("head"), F.count(F.lit(1)).alias("n"),
-                                           F.min(F.struct("doc_id", "place")).alias("first")).where("n > 1"), "repeated")
+                                           F.min(F.struct("doc_id", "version", "place")).alias("first")).where("n > 1"), "repeated")
     paths = compacted(repeated.select("edge", "proof", "tail", "head"))
     placed = paths.join(repeated.select("edge", "proof", "first"), ["edge", "proof"])
     # source coordinates: an occurrence counts from its path's start; what does not stand there first, goes
-    later = found.join(placed, ["edge", "proof"]).where(F.struct("doc_id", "place") > F.col("first"))
-    runs = later.groupBy("doc_id", "path", (F.col("place") - F.col("step")).alias("origin")).agg(
+    later = found.join(placed, ["edge", "proof"]).where(F.struct("doc_id", "version", "place") > F.col("first"))
+    runs = later.groupBy("doc_id", "version", "path", (F.col("place") - F.col("step")).alias("origin")).agg(
         F.array_sort(F.collect_list("place")).alias("places"))
     # a run breaks where the path's first occurrence changes sides
     starts = F.filter("places", lambda p: ~F.array_contains("places", p - 1))
     ends = F.filter("places", lambda p: ~F.array_contains("places", p + 1))
-    spans = runs.select("doc_id", F.explode(F.arrays_zip(starts.alias("low"), ends.alias("last"))).alias("s")).select(
-        "doc_id", F.col("s.low").alias("low"), (F.col("s.last") - F.col("s.low") + 1).alias("count"))
-    return stage(units.where("covered").select("doc_id", "low", "count").unionByName(spans), "spans")
+    spans = runs.select("doc_id", "version", F.explode(F.arrays_zip(starts.alias("low"), ends.alias("last"))).alias("s")).select(
+        "doc_id", "version", F.col("s.low").alias("low"), (F.col("s.last") - F.col("s.low") + 1).alias("count"))
+    return stage(units.where("covered").select("doc_id", "version", "low", "count").unionByName(spans), "spans")
 
 
 def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
@@ -137,9 +138,10 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     Every word is removed that a window of 20 consecutive words covers which
     also starts earlier: in a document with a smaller doc_id, or earlier in the
     same one. Windows are judged on the input. Words are runs of bytes other
-    than ``[\\x20\\x09-\\x0D]``; a null text has none. doc_id is the key: rows that
-    repeat in full are not copies of each other, rows without doc_id lose
-    nothing and are no one's source. Other columns are not read.
+    than ``[\\x20\\x09-\\x0D]``; a null text has none. Rows that
+    repeat in full are one document; of rows that share a doc_id and differ in
+    text, each is a document of its own, ordered by a hash of the text. Rows
+    without doc_id lose nothing and are no one's source. Other columns are not read.
     """
     return cut(docs, repeated_spans(docs))
 

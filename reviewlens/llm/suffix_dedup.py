@@ -158,61 +158,64 @@ def _coded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def contents(docs: DataFrame, open_units: DataFrame) -> DataFrame:
-    """(slot, doc_id, low, content) of each open unit."""
+    """(slot, doc_id, version, low, content) of each open unit."""
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = texts_of(batch.column("text"))
         row, spans = span_arrays(batch.column("spans"))
         found = [texts[r][a : a + c + LENGTH - 1] for r, a, c in zip(row.tolist(), spans["low"].tolist(), spans["count"].tolist())]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(spans["slot"], pa.int64()), batch.column("doc_id").take(pa.array(row)),
-             pa.array(spans["low"], pa.int32()), pa.array(found, pa.binary())], names=["slot", "doc_id", "low", "content"])
+            [pa.array(spans["slot"], pa.int64()), *(batch.column(name).take(pa.array(row)) for name in ("doc_id", "version")),
+             pa.array(spans["low"], pa.int32()), pa.array(found, pa.binary())], names=["slot", "doc_id", "version", "low", "content"])
 
-    return arrow_map(with_spans(docs, open_units, "inner", "slot"), work, "slot long, doc_id long, low int, content binary")
+    return arrow_map(with_spans(docs, open_units, "inner", "slot"), work, "slot long, doc_id long, version long, low int, content binary")
 
 
 def _in_lots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whole slots, some LOT_BYTES of text at a time; rows come sorted by slot."""
-    held: list[tuple[int, int, int, bytes]] = []
+    held: list[tuple[int, int, int, int, bytes]] = []
     size = 0
     for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+        for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
             if size > LOT_BYTES and row[0] != held[-1][0]:
                 yield _later(held)
                 held, size = [], 0
             held.append(row)
-            size += len(row[3])
+            size += len(row[4])
     if held:
         yield _later(held)
 
 
-def _later(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
-    _, doc, low, texts = zip(*rows)
-    found = later_strings(list(texts), np.array(doc), np.array(low, dtype=np.int64), LENGTH)
+def _later(rows: list[tuple[int, int, int, int, bytes]]) -> pa.RecordBatch:
+    _, doc, version, low, texts = zip(*rows)
+    # documents by number, in the order of doc_id and version
+    both, number = np.unique(np.array([doc, version]), axis=1, return_inverse=True)
+    found = later_strings(list(texts), number.ravel(), np.array(low, dtype=np.int64), LENGTH)
+    at = np.asarray(found[0], dtype=np.int64)
     return pa.RecordBatch.from_arrays(
-        [pa.array(found[0], pa.int64()), pa.array(found[1], pa.int32()), pa.array(found[2], pa.int32())],
-        names=["doc_id", "low", "count"])
+        [pa.array(both[0][at], pa.int64()), pa.array(both[1][at], pa.int64()), pa.array(found[1], pa.int32()), pa.array(found[2], pa.int32())],
+        names=["doc_id", "version", "low", "count"])
 
 
 def one_by_one(found: DataFrame) -> DataFrame:
     """The same runs for slots with more text than a lot: every string by itself, counted before the shuffle."""
     places = F.sequence(F.lit(0), F.length("content") - LENGTH)
-    strings = found.select("doc_id", "low", "content", F.explode(places).alias("i")).select(
-        "doc_id", (F.col("low") + F.col("i")).cast("int").alias("low"), F.expr(f"substring(content, i + 1, {LENGTH})").alias("string"))
-    first = strings.groupBy("string").agg(F.min(F.struct("doc_id", "low")).alias("first"))
-    later = strings.join(first, "string").where(F.struct("doc_id", "low") > F.col("first"))
-    return later.select("doc_id", "low", F.lit(1).alias("count"))
+    strings = found.select("doc_id", "version", "low", "content", F.explode(places).alias("i")).select(
+        "doc_id", "version", (F.col("low") + F.col("i")).cast("int").alias("low"), F.expr(f"substring(content, i + 1, {LENGTH})").alias("string"))
+    first = strings.groupBy("string").agg(F.min(F.struct("doc_id", "version", "low")).alias("first"))
+    later = strings.join(first, "string").where(F.struct("doc_id", "version", "low") > F.col("first"))
+    return later.select("doc_id", "version", "low", F.lit(1).alias("count"))
 
 
 def repeated_spans(docs: DataFrame, lot_bytes: int = LOT_BYTES) -> DataFrame:
-    """(doc_id, low, count): runs of strings that stand earlier too."""
+    """(doc_id, version, low, count): runs of strings that stand earlier too."""
     units = marked_units(docs, _coded, LENGTH, ANCHOR)
-    covered, open_units = units.where("covered").select("doc_id", "low", "count"), units.where("NOT covered")
+    covered, open_units = units.where("covered").select("doc_id", "version", "low", "count"), units.where("NOT covered")
     texts = F.sum(F.col("count") + LENGTH - 1)
     wide = stage(open_units.groupBy("slot").agg(texts.alias("size")).where(F.col("size") > 4 * lot_bytes).select("slot"), "wide")
     found = contents(docs, open_units.join(wide, "slot", "left_anti"))
     dealt = found.repartition("slot").sortWithinPartitions("slot")
-    spans = covered.unionByName(dealt.mapInArrow(_in_lots, "doc_id long, low int, count int"))
+    spans = covered.unionByName(dealt.mapInArrow(_in_lots, "doc_id long, version long, low int, count int"))
     if not wide.isEmpty():
         spans = spans.unionByName(one_by_one(contents(docs, open_units.join(wide, "slot", "left_semi"))))
     return stage(spans, "spans")
@@ -250,9 +253,10 @@ def suffix_dedup(docs: DataFrame, lot_bytes: int = LOT_BYTES) -> DataFrame:
     Texts are UTF-8 bytes, null texts empty. Every byte is removed that a
     string of 100 bytes covers which also starts earlier: in a document with a
     smaller doc_id, or earlier in the same one. Strings are judged on the
-    input. doc_id is the key: rows that repeat in full are not copies of each
-    other, rows without doc_id lose nothing and are no one's source. Other
-    columns are not read.
+    input. Rows that repeat in full are one document; of rows that share a
+    doc_id and differ in text, each is a document of its own, ordered by a hash
+    of the text. Rows without doc_id lose nothing and are no one's source.
+    Other columns are not read.
     """
     return cut(docs, repeated_spans(docs, lot_bytes))
 

@@ -237,6 +237,45 @@ def test_empty_tables_and_repeated_rows(spark, dedup):
         assert found["doc_id"] == 1 and found.get("kept", True) is not False
 
 
+def thue_morse(zero, one, n=10):
+    """Sequences of this shape have equal polynomials modulo 2^64, whatever the base."""
+    out = [zero]
+    other = {zero: one, one: zero}
+    for _ in range(n):
+        out += [other[x] for x in out]
+    return out
+
+
+def test_words_made_to_share_a_polynomial(spark):
+    one, two = "".join(thue_morse("a", "b")), "".join(thue_morse("b", "a"))
+    rest = [f"word{i}" for i in range(19)]
+    rows = [(1, " ".join([one, *rest])), (2, " ".join([two, *rest])), (3, " ".join(thue_morse("xx", "yy"))), (4, " ".join(thue_morse("yy", "xx")) + " end")]
+    words = dict(rows)
+    masks = brute_repeats([(i, t.split()) for i, t in rows], 20)
+    found = by_id(substring_dedup.substring_dedup(frame(spark, rows)))
+    assert {i: r["n_removed"] for i, r in found.items()} == {i: int(masks[i].sum()) for i in words}
+    assert found[1]["n_removed"] == found[2]["n_removed"] == 0
+    short = [(1, " ".join([one, *rest[:4]])), (2, " ".join([two, *rest[:4]])), (3, one), (4, two)]
+    found = by_id(minhash.near_duplicates(frame(spark, short)))
+    assert {i: r["component_id"] for i, r in found.items()} == {1: 1, 2: 2, 3: 3, 4: 4}
+
+
+@pytest.mark.parametrize("dedup", [substring_dedup.substring_dedup, suffix_dedup.suffix_dedup, line_dedup.line_dedup])
+def test_one_id_with_several_texts(spark, dedup):
+    text = lambda name, n: "\n".join(" ".join(f"{name}{i}x{j}" for j in range(24)) for i in range(n))
+    alone = [(1, text("a", 9)), (1, text("b", 2)), (1, text("c", 9)), (2, text("d", 3))]
+    kept = lambda r: bytes(r["kept"]) if isinstance(r["kept"], (bytes, bytearray)) else r["kept"].encode()
+    found = dedup(frame(spark, alone)).collect()
+    assert sorted((r["doc_id"], b"".join(kept(r).split())) for r in found) == sorted((i, b"".join(t.encode().split())) for i, t in alone)
+    # a copy in one of them is gone from one place only, and rows that repeat in full fare alike
+    rows = [(1, text("a", 5)), (1, text("a", 5)), (1, text("b", 2) + "\n" + text("a", 5)), (3, text("b", 2))]
+    found = dedup(frame(spark, rows)).collect()
+    assert len(found) == 4 and sum(r["n_removed"] == 0 for r in found) in (1, 2)
+    left = [kept(r) for r in found if r["doc_id"] == 1]
+    assert all(any(f"{name}1x5".encode() in t for t in left) for name in "ab")
+    assert sum(b"b1x5" in kept(r) for r in found) == 1
+
+
 def edit_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a):
