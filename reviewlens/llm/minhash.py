@@ -241,7 +241,10 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         nodes.select("doc_id", "n_shingles", "n_words", "signature").join(classes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
         .dropDuplicates(["doc_id"]), "signs")
     keys = [F.xxhash64(F.lit(i), F.substring("signature", 1 + 2 * BAND_ROWS * i, 2 * BAND_ROWS)) for i in range(BANDS)]
-    buckets = stage(signs.select("doc_id", F.posexplode(F.array(*keys)).alias("band", "key")), "buckets")
+    every = signs.select("doc_id", F.posexplode(F.array(*keys)).alias("band", "key"))
+    # almost all buckets hold one document, which they can link with nothing
+    shared = stage(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "shared")
+    buckets = stage(thinned(every, "key", shared).join(shared, "key", "left_semi"), "buckets")
     found = signs.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component")).limit(0)
     links = None
     # one comparison per document joins almost all of a group, whatever its size
