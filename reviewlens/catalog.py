@@ -476,6 +476,12 @@ def encode_text(spark, d):
     return elements(coded, ["doc_id"], "embedding", 4).filter("value <> 0")
 
 
+@query
+def encode_latent(spark, d):
+    docs = A.table(spark, d, "documents").select("doc_id", F.col("text").alias("review"))
+    return elements(themes.encode_text(docs, latent=4), ["doc_id"], "embedding", 4)
+
+
 @query
 def centroids(spark, d):
     means = vectors.vector_mean(A.member_vectors(spark, d), ["app_id", "sentiment"], "embedding")

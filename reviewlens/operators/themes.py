@@ -12,19 +12,22 @@ from reviewlens import constants as K
 from reviewlens.functions.clean import flatten_text
 from reviewlens.functions.vectors import dot, unit_vector
 from reviewlens.operators.kmeans import fit_kmeans
+from reviewlens.operators.latent import in_latent_space, latent_axes
 from reviewlens.operators.text import raw_tokens, tfidf
 from reviewlens.session import materialize
 
 
 def encode_text(
     df: DataFrame, text: str = "review", name: str = "embedding",
-    encoder: Callable[[Column], Column] | None = None, size: int = 384,
+    encoder: Callable[[Column], Column] | None = None, size: int = 384, latent: int | None = None,
 ) -> DataFrame:
     """Unit vector per text.
 
     ``encoder`` turns the text column into a vector column, for example an
     iterator ``pandas_udf`` that loads a model once per worker. The default
-    hashes words and weighs them by inverse document frequency.
+    hashes words and weighs them by inverse document frequency. With ``latent``
+    these vectors are seen along that many latent axes of all texts, so texts
+    without a common word are near if their words go with the same others.
     """
     if encoder is not None:
         coded = df.withColumn(name, encoder(F.col(text)))
@@ -38,7 +41,8 @@ def encode_text(
     counts = materialize(counter.transform(words).drop("_words"))
     weighted = IDF(inputCol="_counts", outputCol="_weights").fit(counts).transform(counts)
     scaled = Normalizer(inputCol="_weights", outputCol="_unit").transform(weighted)
-    return scaled.withColumn(name, vector_to_array("_unit", "float32")).drop("_counts", "_weights", "_unit")
+    coded = scaled.withColumn(name, vector_to_array("_unit", "float32")).drop("_counts", "_weights", "_unit")
+    return coded if latent is None else in_latent_space(coded, name, latent_axes(coded, name, latent))
 
 
 def grouped_kmeans(df: DataFrame, by: Sequence[str], key: str, vector: str = "embedding", **options) -> DataFrame:
@@ -125,29 +129,25 @@ def describe_clusters(
 
     Terms with a banned word or a digit are passed over. ``banned_column`` may
     hold more banned words per row, such as those of the item's own title.
-    A cluster carries at most as many terms as its vocabulary limit.
+    Each of the ``n`` terms is the best one left that fits those before it, one
+    aggregate after the other, so a vocabulary of any size meets in no task.
     """
     by = list(by)
     blocked = F.array(*[F.lit(word) for word in banned])
     if banned_column:
         blocked = F.concat(blocked, F.coalesce(F.col(banned_column), F.array().cast("array<string>")))
     usable = ~F.arrays_overlap(F.split("term", " "), blocked) & ~F.col("term").rlike(r"\p{Nd}")
-    entry = F.struct((-F.col("score")).alias("minus"), F.col("term"))
-    ranked = terms.groupBy(*by, "cluster").agg(
-        F.array_sort(F.collect_list(F.when(usable, entry))).alias("_ranked")
-    )
-    nothing = F.array().cast("array<string>")
-
-    def take(chosen, item):
-        term = item.getField("term")
-        clash = F.exists(chosen, lambda c: F.contains(c, term) | F.contains(term, c))
-        return F.when((F.size(chosen) < n) & ~clash, F.array_append(chosen, term)).otherwise(chosen)
-
-    chosen = F.aggregate("_ranked", nothing, take)
+    keys = [*by, "cluster"]
+    rows = materialize(terms.select(*keys, "term", "score", usable.alias("_usable")))
+    chosen = rows.select(*keys).distinct().withColumn("_chosen", F.array().cast("array<string>"))
+    clash = F.exists("_chosen", lambda c: F.contains(c, F.col("term")) | F.contains(F.col("term"), c))
+    for _ in range(n):
+        fitting = rows.filter("_usable").join(chosen, keys).filter(~clash)
+        best = fitting.groupBy(*keys).agg(F.min(F.struct((-F.col("score")).alias("minus"), "term"))["term"].alias("_next"))
+        more = F.when(F.col("_next").isNull(), F.col("_chosen")).otherwise(F.array_append("_chosen", F.col("_next")))
+        chosen = chosen.join(best, keys, "left").select(*keys, more.alias("_chosen"))
     label = F.when(F.size("_chosen") > 0, F.array_join("_chosen", ", ")).otherwise(K.LABEL_FALLBACK)
-    return ranked.select(*by, "cluster", chosen.alias("_chosen")).select(
-        *by, "cluster", label.alias("description")
-    )
+    return chosen.select(*keys, label.alias("description"))
 
 
 def map_centers(points: DataFrame, by: Sequence[str]) -> DataFrame:

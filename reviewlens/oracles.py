@@ -410,6 +410,33 @@ matrix{axis} AS MATERIALIZED (SELECT sentiment, list_transform(range(1, {size +
     return ",\n".join(views)
 
 
+def latent_views(latent: int, size: int, rounds: int) -> str:
+    """Axes ``axes`` (c1, c2, …) of the unit vectors ``unit`` (doc_id, pos, w), by as many rounds of block power iteration."""
+    columns = range(1, latent + 1)
+    start = lambda c: f"(p * 7919 + {c - 1} * 104729 + p * p * 31 * {c}) % 1009 / 1009.0::DOUBLE - 0.5"
+    views = ["y0 AS MATERIALIZED (SELECT " + ", ".join(f"list({start(c)} ORDER BY p) AS y{c}" for c in columns) + f" FROM range({size}) t(p))"]
+    for i in range(rounds + 1):
+        before = f"y{i}"
+        for c in columns:
+            # one column after the other is freed of those before it
+            for e in range(1, c):
+                views.append(f"g{i}_{c}_{e} AS MATERIALIZED (SELECT * REPLACE (list_transform(list_zip(y{c}, y{e}), lambda p: p[1] - d * p[2]) AS y{c}) "
+                             f"FROM (SELECT *, list_inner_product(y{c}, y{e}) AS d FROM {before}))".replace("SELECT * REPLACE", "SELECT * EXCLUDE (d) REPLACE"))
+                before = f"g{i}_{c}_{e}"
+            views.append(f"g{i}_{c} AS MATERIALIZED (SELECT * EXCLUDE (d) REPLACE (list_transform(y{c}, lambda x: x / d) AS y{c}) "
+                         f"FROM (SELECT *, sqrt(list_inner_product(y{c}, y{c})) AS d FROM {before}))")
+            before = f"g{i}_{c}"
+        views.append(f"axes{i} AS MATERIALIZED (SELECT * FROM {before})")
+        if i < rounds:
+            along = ", ".join(f"sum(w * y{c}[pos + 1]) AS s{c}" for c in columns)
+            back = ", ".join(f"sum(w * s{c}) AS v{c}" for c in columns)
+            views.append(f"s{i} AS MATERIALIZED (SELECT doc_id, {along} FROM unit, axes{i} GROUP BY doc_id)")
+            views.append(f"y{i + 1} AS MATERIALIZED (SELECT " + ", ".join(f"list(coalesce(v{c}, 0) ORDER BY p) AS y{c}" for c in columns)
+                         + f" FROM range({size}) t(p) LEFT JOIN (SELECT pos, {back} FROM unit JOIN s{i} USING (doc_id) GROUP BY pos) z ON z.pos = p)")
+    views.append(f"axes AS MATERIALIZED (SELECT * FROM axes{rounds})")
+    return ",\n".join(views)
+
+
 def vector_of(vec_id: int) -> str:
     return f"(SELECT CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = {vec_id})"
 
@@ -613,6 +640,14 @@ weights AS (SELECT doc_id, pos, n * ln(((SELECT count(*) FROM documents) + 1.0)
             FROM counts JOIN (SELECT pos, count(*) AS df FROM counts GROUP BY pos) USING (pos)),
 scaled AS (SELECT doc_id, CAST(pos AS BIGINT) AS pos, round(CAST(CAST(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS FLOAT) AS DOUBLE), 4) AS value FROM weights)
 SELECT * FROM scaled WHERE value <> 0"""
+    coded = out["encode_text"].split("scaled AS")[0]
+    places = ", ".join(f"coalesce(s{c}, 0)" for c in range(1, 5))
+    out["encode_latent"] = coded + r"""unit AS MATERIALIZED (SELECT doc_id, pos, CAST(CAST(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS FLOAT) AS DOUBLE) AS w FROM weights),
+""" + latent_views(4, 384, 8) + f"""
+SELECT doc_id, CAST(i AS BIGINT) AS pos, round(CAST(CAST(CASE WHEN n > 1e-12 THEN seen[i + 1] / n ELSE 0 END AS FLOAT) AS DOUBLE), 4) AS value
+FROM (SELECT doc_id, seen, sqrt(list_inner_product(seen, seen)) AS n FROM (
+  SELECT d.doc_id, [{places}] AS seen FROM documents d LEFT JOIN (
+    SELECT doc_id, {', '.join(f'sum(w * y{c}[pos + 1]) AS s{c}' for c in range(1, 5))} FROM unit, axes GROUP BY doc_id) p ON p.doc_id = d.doc_id)), range(4) t(i)"""
     out["centroids"] = with_views("member_vectors", """
 SELECT app_id, sentiment, CAST(pos - 1 AS BIGINT) AS pos, round(avg(embedding[pos]), 6) AS value
 FROM member_vectors, range(1, 65) t(pos) GROUP BY app_id, sentiment, pos""")

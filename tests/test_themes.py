@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlens.functions import vectors
-from reviewlens.operators import blocks, kmeans, pca, text, themes
+from reviewlens.operators import blocks, kmeans, latent, pca, text, themes
 
 
 def brute_starts(points, k, r, seed=42):
@@ -222,6 +222,49 @@ def test_pca_equals_svd(spark):
     assert np.allclose(places.mean(axis=0), 0)
 
 
+def test_labels_from_a_large_vocabulary(spark):
+    # the best terms lie inside of each other, further ones come late
+    rows = spark.range(200_000).selectExpr("0 AS cluster", "concat('term', lpad(CAST(id AS STRING), 6, '0')) AS term", "CAST(id AS DOUBLE) AS score")
+    rows = rows.withColumn("term", F.translate("term", "0123456789", "abcdefghij"))
+    nested = spark.createDataFrame([(0, "deep sea", 9e6), (0, "sea", 8e6), (0, "deep", 7e6), (1, "x2", 5.0)], "cluster int, term string, score double")
+    found = themes.describe_clusters(rows.unionByName(nested), [])
+    assert {r["cluster"]: r["description"] for r in found.collect()} == {0: "deep sea, termbjjjjj, termbjjjji", 1: "mixed reviews"}
+
+
+def test_latent_axes_equal_singular_vectors(spark):
+    rng = np.random.default_rng(4)
+    x = (rng.normal(0, 1, (90, 6)) * [9, 7, 5, 3, 2, 1] @ np.linalg.qr(rng.normal(0, 1, (6, 6)))[0]).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(t) for t in v]) for i, v in enumerate(x)] + [(100, None), (101, [0.0] * 6)], "id int, v array<float>").repartition(5)
+    axes = latent.latent_axes(df, "v", 2, rounds=60)
+    expected = np.linalg.svd(x.astype(np.float64), full_matrices=False)[2][:2].T
+    assert np.allclose(np.abs((axes * expected).sum(axis=0)), 1, atol=1e-6) and np.allclose(axes.T @ axes, np.eye(2), atol=1e-9)
+    seen = {r["id"]: r["v"] for r in latent.in_latent_space(df, "v", axes).collect()}
+    places = x @ axes
+    assert seen[100] is None and list(seen[101]) == [0, 0]
+    assert np.allclose([seen[i] for i in range(90)], places / np.linalg.norm(places, axis=1, keepdims=True), atol=1e-5)
+    assert latent.latent_axes(df.limit(0), "v", 2).shape == (0, 0)
+
+
+def test_texts_without_a_common_word_can_be_near(spark):
+    # two subjects, each with two words for everything that never stand in one text, but go with the same others
+    rng = np.random.default_rng(6)
+    subjects = [(["lift", "elevator"], [f"floor{i}" for i in range(12)]), (["movie", "film"], [f"scene{i}" for i in range(12)])]
+    rows, key = [], 0
+    for names, others in subjects:
+        for name in names:
+            for _ in range(60):
+                rows.append((key, " ".join([name, *rng.choice(others, 4, replace=False)])))
+                key += 1
+    rows += [(1000 + i, name) for i, name in enumerate(["lift", "elevator", "movie", "film"])]
+    df = spark.createDataFrame(rows, "id int, review string")
+    cosine = lambda v, a, b: float(np.dot(v[a], v[b]))
+    plain = {r["id"]: np.array(r["embedding"]) for r in themes.encode_text(df, size=2048).filter("id >= 1000").collect()}
+    near = {r["id"]: np.array(r["embedding"]) for r in themes.encode_text(df, size=2048, latent=2).filter("id >= 1000").collect()}
+    assert abs(cosine(plain, 1000, 1001)) < 0.01 and abs(cosine(plain, 1002, 1003)) < 0.01
+    assert cosine(near, 1000, 1001) > 0.9 and cosine(near, 1002, 1003) > 0.9
+    assert abs(cosine(near, 1000, 1002)) < 0.3 and abs(cosine(near, 1001, 1003)) < 0.3
+
+
 def test_encode_text(spark):
     df = spark.createDataFrame([(1, "red sun"), (2, "red sun"), (3, "blue moon shines"), (4, "")], "id int, review string")
     found = {r["id"]: np.array(r["embedding"]) for r in themes.encode_text(df, size=64).collect()}
