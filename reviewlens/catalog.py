@@ -479,7 +479,8 @@ def encode_text(spark, d):
 @query
 def encode_latent(spark, d):
     docs = A.table(spark, d, "documents").select("doc_id", F.col("text").alias("review"))
-    return elements(themes.encode_text(docs, latent=4), ["doc_id"], "embedding", 4)
+    # one zero, not two
+    return elements(themes.encode_text(docs, latent=4), ["doc_id"], "embedding", 4).withColumn("value", F.col("value") + 0.0)
 
 
 @query

@@ -644,7 +644,7 @@ SELECT * FROM scaled WHERE value <> 0"""
     places = ", ".join(f"coalesce(s{c}, 0)" for c in range(1, 5))
     out["encode_latent"] = coded + r"""unit AS MATERIALIZED (SELECT doc_id, pos, CAST(CAST(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS FLOAT) AS DOUBLE) AS w FROM weights),
 """ + latent_views(4, 384, 8) + f"""
-SELECT doc_id, CAST(i AS BIGINT) AS pos, round(CAST(CAST(CASE WHEN n > 1e-12 THEN seen[i + 1] / n ELSE 0 END AS FLOAT) AS DOUBLE), 4) AS value
+SELECT doc_id, CAST(i AS BIGINT) AS pos, round(CAST(CAST(CASE WHEN n > 1e-12 THEN seen[i + 1] / n ELSE 0 END AS FLOAT) AS DOUBLE), 4) + 0.0 AS value
 FROM (SELECT doc_id, seen, sqrt(list_inner_product(seen, seen)) AS n FROM (
   SELECT d.doc_id, [{places}] AS seen FROM documents d LEFT JOIN (
     SELECT doc_id, {', '.join(f'sum(w * y{c}[pos + 1]) AS s{c}' for c in range(1, 5))} FROM unit, axes GROUP BY doc_id) p ON p.doc_id = d.doc_id)), range(4) t(i)"""
