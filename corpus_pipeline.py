@@ -13,28 +13,28 @@ from reviewlens.llm.common import stage, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
+    """Documents that the quality classifier rejects go; null texts are judged as empty ones, repeated rows alike."""
     return quality.keep_good(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
 def one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays."""
+    """One document of each group of equal texts stays; null and empty texts are one group."""
     return exact_dedup.drop_copies(docs)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document of each group of near-duplicates stays; texts without words are near to none."""
     return minhash.drop_near_duplicates(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
+    """Documents that hold a benchmark passage go; null and empty texts hold none."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with the ids of their SentencePiece encoding and the number of ids."""
-    coded = sentencepieces.encode(docs)
+    """The documents with ``token_ids`` of their SentencePiece encoding and their number ``n_tokens``; columns of these names are replaced."""
+    coded = sentencepieces.encode(docs.drop("n_tokens"))
     return coded.selectExpr("*", "size(token_ids) AS n_tokens")
 
 
@@ -51,7 +51,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the last one's rows."""
+    """All stages over ``documents``; the last one's rows.
+
+    An empty table gives no rows. doc_id is the key of documents; rows that
+    repeat it stay or go together. Further columns are carried along, except
+    token_ids and n_tokens, which the last stage writes.
+    """
     docs = table(spark, sf_dir, "documents")
     for place, (name, work) in enumerate(STAGES):
         docs = work(spark, docs, sf_dir)

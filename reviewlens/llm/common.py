@@ -56,6 +56,17 @@ def thinned(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     return found.select(*rows.columns)
 
 
+def of_ids(rows: DataFrame, key: str, ids: DataFrame, how: str) -> DataFrame:
+    """The rows whose ``key`` is (``left_semi``) or is not (``left_anti``) in the one column of ``ids``; null equals null.
+
+    All columns of the rows stay as they are, whatever their names.
+    """
+    # names that no column begins with, so that a struct column is never meant
+    left, right = [x for x in (f"side{i}" for i in range(len(rows.columns) + 2)) if x not in rows.columns][:2]
+    found = ids.distinct().toDF("key").alias(right)
+    return rows.alias(left).join(found, F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.key")), how)
+
+
 def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
     """``work`` on slices of at most ``SLICE_BYTES`` of Arrow data, so that long texts never pile up in one call."""
 
@@ -71,14 +82,14 @@ def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[pa.Record
 SLICE_BYTES = 2_000_000
 
 
-def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    if batch.nbytes <= SLICE_BYTES or batch.num_rows < 2:
+def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    if batch.nbytes <= most or batch.num_rows < 2:
         if batch.num_rows:
             yield batch
         return
     half = batch.num_rows // 2
-    yield from slices(batch.slice(0, half))
-    yield from slices(batch.slice(half))
+    yield from slices(batch.slice(0, half), most)
+    yield from slices(batch.slice(half), most)
 
 
 def texts_of(column: pa.Array) -> list[bytes]:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.llm.anchors import mixed
-from reviewlens.llm.common import arrow_map, texts_of
+from reviewlens.llm.common import arrow_map, of_ids, texts_of
 
 #: An item occurs where at most this part of its bytes, rounded down, is edited.
 MAX_EDITS = 0.1
@@ -280,6 +280,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no item, with all their columns."""
-    bad = contamination(docs, benchmark).select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad_id")), "left_anti")
+    """The documents that hold no item, with all their columns.
+
+    Null and empty texts hold none. doc_id is the key, null included: rows that
+    repeat it stay or go together.
+    """
+    return of_ids(docs, "doc_id", contamination(docs, benchmark).select("doc_id"), "left_anti")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlens.llm.common import stage
+from reviewlens.llm.common import of_ids, stage
 
 #: A white-space run counts as one space.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -118,5 +118,4 @@ def exact_dedup(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
 
 def drop_copies(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents that stay, with all their columns; doc_id is taken as their key, null included."""
-    kept = exact_dedup(docs, block_chars).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    return of_ids(docs, "doc_id", exact_dedup(docs, block_chars).where("kept").select("doc_id"), "left_semi")

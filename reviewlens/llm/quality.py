@@ -205,7 +205,10 @@ def quality(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_LIMIT) ->
 
 
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents predicted to be good, with all their columns; rows are read once and never shuffled."""
+    """The documents predicted to be good, with all their columns; rows are read once and never shuffled.
+
+    Every row is judged by its own text, a null one as an empty one.
+    """
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -293,6 +293,23 @@ def test_stages_keep_the_columns(spark, sf):
         assert work(spark, docs.limit(0), sf).count() == 0
 
 
+def test_stages_take_odd_rows_and_clashing_columns(spark, sf):
+    names = ["n_tokens", "token_ids", "_kept_id", "_bad_id", "side0", "key", "component_id", "signature", "n"]
+    text = spark.read.parquet(f"{sf}/documents.parquet").filter("lang = 'en'").orderBy(F.desc("n_chars")).first()["text"]
+    rows = [(1, text), (1, text), (2, text), (3, None), (4, ""), (5, None), (None, None), (None, "a b c"), (6, text + " and more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({n: F.struct(F.lit(7).alias("doc_id")) for n in names})
+    for name, work in corpus_pipeline.STAGES:
+        found = work(spark, docs, sf)
+        fresh = {"token_ids", "n_tokens"} if name == "sentencepiece" else set()
+        assert set(found.columns) == set(docs.columns) and len(found.columns) == len(set(found.columns))
+        assert all(r[n]["doc_id"] == 7 for r in found.collect() for n in set(names) - fresh)
+    kept = lambda work: sorted((r["doc_id"] or 0 for r in work(spark, docs, sf).collect()))
+    stages = dict(corpus_pipeline.STAGES)
+    assert kept(stages["near dedup"]) == [0, 0, 1, 1, 3, 4, 5]
+    assert kept(stages["decontamination"]) in ([0, 0, 1, 1, 2, 3, 4, 5, 6], [0, 0, 3, 4, 5])
+    assert kept(stages["sentencepiece"]) == [0, 0, 1, 1, 2, 3, 4, 5, 6]
+
+
 def test_exact_dedup_equals_sql(spark, sf):
     import duckdb
 
