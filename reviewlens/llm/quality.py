@@ -66,7 +66,8 @@ def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     rows = passage[heads]
     change = np.zeros(len(words.buffer) + 1, dtype=np.int64)
     np.add.at(change, begin, np.arange(1, len(rows) + 1))
-    np.subtract.at(change, end, np.arange(1, len(rows) + 1))
+    # the last trigram ends with the blank after the text, so no other text of the batch has a part in it
+    np.subtract.at(change, np.maximum(begin, np.minimum(end, text_end[doc[heads]] - 2)), np.arange(1, len(rows) + 1))
     owner = np.cumsum(change)[: len(tri)] - 1
     here = owner >= 0
     grid = np.bincount(owner[here] * _TRIGRAMS + tri[here], minlength=len(rows) * _TRIGRAMS).reshape(len(rows), -1)
@@ -120,6 +121,22 @@ class Model:
         return self.attend(x, counts)["p"]
 
 
+def slopes(model: Model, x: np.ndarray, counts: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+    """Gradient of the mean logistic loss of the documents, with a small decay of W and c."""
+    s, u = model.attend(x, counts), model.weights
+    miss = (s["p"] - y) / len(y)
+    back = (miss[:, None] * u["c"])[s["bag"]]
+    dh = s["share"][:, None] * back
+    pull = (back * s["h"]).sum(1)
+    de = s["share"] * (pull - np.add.reduceat(s["share"] * pull, s["starts"])[s["bag"]])
+    dt, dg = de[:, None] * u["a"] * s["g"], de[:, None] * u["a"] * s["t"]
+    dt, dg = dt * (1 - s["t"] ** 2), dg * s["g"] * (1 - s["g"])
+    dh += dt @ u["V"].T + dg @ u["U"].T
+    da = dh * (1 - s["h"] ** 2)
+    return {"W": s["n"].T @ da + 1e-4 * u["W"], "b": da.sum(0), "V": s["h"].T @ dt, "U": s["h"].T @ dg,
+            "a": (s["t"] * s["g"]).T @ de, "c": s["z"].T @ miss + 1e-4 * u["c"], "d": miss.sum()}
+
+
 def fit(x: np.ndarray, counts: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, seed: int = 1) -> Model:
     """Gradient steps (Adam) on the logistic loss of the documents."""
     rng = np.random.default_rng(seed)
@@ -134,22 +151,9 @@ def fit(x: np.ndarray, counts: np.ndarray, y: np.ndarray, rounds: int = ROUNDS,
         order = rng.permutation(len(counts))
         for lot in np.array_split(order, max(1, len(order) // BATCH)):
             rows = np.concatenate([np.arange(first[i], first[i + 1]) for i in lot])
-            s = model.attend(x[rows], counts[lot])
             u = model.weights
-            miss = (s["p"] - y[lot]) / len(lot)
-            dz = miss[:, None] * u["c"]
-            back = dz[s["bag"]]
-            dh = s["share"][:, None] * back
-            pull = (back * s["h"]).sum(1)
-            de = s["share"] * (pull - np.add.reduceat(s["share"] * pull, s["starts"])[s["bag"]])
-            dt, dg = de[:, None] * u["a"] * s["g"], de[:, None] * u["a"] * s["t"]
-            dt, dg = dt * (1 - s["t"] ** 2), dg * s["g"] * (1 - s["g"])
-            dh += dt @ u["V"].T + dg @ u["U"].T
-            da = dh * (1 - s["h"] ** 2)
-            slope = {"W": s["n"].T @ da + 1e-4 * u["W"], "b": da.sum(0), "V": s["h"].T @ dt, "U": s["h"].T @ dg,
-                     "a": (s["t"] * s["g"]).T @ de, "c": s["z"].T @ miss + 1e-4 * u["c"], "d": miss.sum()}
             step += 1
-            for k, v in slope.items():
+            for k, v in slopes(model, x[rows], counts[lot], y[lot]).items():
                 m = moment[k]
                 m[0] = 0.9 * m[0] + 0.1 * v
                 m[1] = 0.999 * m[1] + 0.001 * v * v
