@@ -24,8 +24,10 @@ from reviewlens.llm.common import slices
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 _WORDS = re.compile("▁+[^▁]*")
-#: Encoded words a worker remembers from batch to batch.
-REMEMBERED = 200_000
+#: Bytes that the words a worker remembers from batch to batch may take, and the longest of them, in characters.
+REMEMBERED_BYTES, REMEMBERED_CHARS = 64_000_000, 64
+#: Arrow bytes of text encoded at once: looking up all pieces costs the same for any number of words.
+BATCH_BYTES = 4_000_000
 
 
 class Vocabulary:
@@ -38,7 +40,11 @@ class Vocabulary:
         self.byte_ids = [i for i, k in enumerate(kinds) if k == "byte"]
         self.longest = max(map(len, self.ids), default=1)
         self.known: dict[str, bytes] = {}
+        self.size = 0
         self._merges()
+        self.alphabet = {c for p in self.usable for c in p}
+        self.codes: dict[str, int] = {}
+        self.coded: tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None = None
 
     @classmethod
     def load(cls, path: str = MODEL_PATH) -> Vocabulary:
@@ -114,6 +120,23 @@ class Vocabulary:
         return good
 
 
+    def search_keys(self, characters: list[str], width: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Bits of a code, then for all pieces of characters met so far the least and greatest key of a suffix that begins with
+        the piece, the pieces' lengths and ids. Built anew only when a character of some piece is met for the first time."""
+        fresh = [c for c in characters if c in self.alphabet and c not in self.codes]
+        self.codes.update((c, i) for i, c in enumerate(fresh, len(self.codes) + 1))
+        if fresh or self.coded is None:
+            # the last code stands for all characters that no piece holds
+            bits = 8 if len(self.codes) < 254 else 16 if len(self.codes) < 65_534 else 32
+            n_keys = -(-width // (64 // bits))
+            pieces = [p for p in self.usable if self.codes.keys() >= set(p)]
+            low = [b"".join([self.codes[c].to_bytes(bits // 8, "big") for c in p]) for p in pieces]
+            kind = f"S{8 * n_keys}"
+            self.coded = (bits, np.array(low, dtype=kind), np.array([x.ljust(8 * n_keys, b"\xff") for x in low], dtype=kind),
+                          np.array([len(p) for p in pieces], dtype=np.int64), np.array([self.ids[p] for p in pieces], dtype=np.int64))
+        return self.coded
+
+
 _loaded: dict[int, Vocabulary] = {}
 
 
@@ -145,22 +168,20 @@ def suffix_keys(codes: np.ndarray, longest: int, bits: int) -> tuple[np.ndarray,
 def piece_edges(text: str, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All occurrences of pieces in ``text`` as (place, length, piece id)."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    alphabet, codes = np.unique(points, return_inverse=True)
-    bits = 8 if len(alphabet) < 255 else 16 if len(alphabet) < 65535 else 32
-    code_of = {chr(c): i + 1 for i, c in enumerate(alphabet.tolist())}
-    order, prefixes = suffix_keys(codes + 1, vocabulary.longest, bits)
-    size, width = bits // 8, prefixes.dtype.itemsize
-    pieces = [p for p in vocabulary.usable if code_of.keys() >= set(p)]
-    low = [b"".join([code_of[c].to_bytes(size, "big") for c in p]) for p in pieces]
-    high = [x.ljust(width, b"\xff") for x in low]
-    begin = np.searchsorted(prefixes, np.array(low, dtype=prefixes.dtype), "left")
-    count = np.searchsorted(prefixes, np.array(high, dtype=prefixes.dtype), "right") - begin
+    used = np.zeros(int(points.max()) + 1, dtype=bool)
+    used[points] = True
+    alphabet = np.flatnonzero(used)
+    characters = list(map(chr, alphabet.tolist()))
+    bits, low, high, lengths, piece_ids = vocabulary.search_keys(characters, vocabulary.longest)
+    code_of = np.zeros(len(used), dtype=np.uint64)
+    code_of[alphabet] = [vocabulary.codes.get(c, (1 << bits) - 2) for c in characters]
+    order, prefixes = suffix_keys(code_of[points], vocabulary.longest, bits)
+    begin = np.searchsorted(prefixes, low, "left")
+    count = np.searchsorted(prefixes, high, "right") - begin
     found = np.flatnonzero(count)
     begin, count = begin[found], count[found]
     rows = np.arange(count.sum()) + np.repeat(begin - (np.cumsum(count) - count), count)
-    length = np.repeat(np.array([len(pieces[i]) for i in found], dtype=np.int64), count)
-    ids = np.repeat(np.array([vocabulary.ids[pieces[i]] for i in found], dtype=np.int64), count)
-    return order[rows], length, ids
+    return order[rows], np.repeat(lengths[found], count), np.repeat(piece_ids[found], count)
 
 
 def encode_words(words: list[str], vocabulary: Vocabulary) -> dict[str, bytes]:
@@ -172,7 +193,8 @@ def encode_words(words: list[str], vocabulary: Vocabulary) -> dict[str, bytes]:
     size = np.array([len(w) for w in words])
     start = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
     place, length, ids = piece_edges(text, vocabulary)
-    within = place - start[np.searchsorted(start, place, "right") - 1]
+    start_of = np.repeat(start, size + 1)
+    within = place - start_of[place]
     by_place = np.argsort(within.astype(np.uint16) if size.max() < 65_536 else within, kind="stable")
     place, length, ids, within = place[by_place], length[by_place], ids[by_place], within[by_place]
     # last piece of the one valid path to each place: NONE before one is found, ALONE for a sign outside the vocabulary
@@ -184,7 +206,7 @@ def encode_words(words: list[str], vocabulary: Vocabulary) -> dict[str, bytes]:
     lone[place[length == 1]] = False
     lone[start + size] = False
     lone = np.flatnonzero(lone)
-    lone_within = lone - start[np.searchsorted(start, lone, "right") - 1]
+    lone_within = lone - start_of[lone]
     lone = lone[np.argsort(lone_within, kind="stable")]
     lone_within = np.sort(lone_within)
     steps = np.arange(size.max() + 1)
@@ -230,12 +252,18 @@ def encode_texts(texts: list[str], vocabulary: Vocabulary) -> list[bytes]:
     """Ids of each whole text. Pieces never run on from one word into the next space, so words are coded on their own."""
     split = [_WORDS.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
     known = vocabulary.known
-    new = {w for words in split for w in words if w not in known}
-    if len(known) + len(new) > REMEMBERED:
+    if vocabulary.size > REMEMBERED_BYTES:
         known.clear()
-        new = {w for words in split for w in words}
-    known |= encode_words(sorted(new), vocabulary)
-    return [b"".join([known[w] for w in words]) for words in split]
+        vocabulary.size = 0
+    now = encode_words(list({w for words in split for w in words if w not in known}), vocabulary)
+    known |= now
+    out = [b"".join(map(known.__getitem__, words)) for words in split]
+    for word, ids in now.items():
+        if len(word) > REMEMBERED_CHARS:
+            del known[word]
+        else:
+            vocabulary.size += len(word) + len(ids) + 200
+    return out
 
 
 def encode(docs: DataFrame, path: str = MODEL_PATH) -> DataFrame:
@@ -251,7 +279,7 @@ def encode(docs: DataFrame, path: str = MODEL_PATH) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, BATCH_BYTES):
                 ids = encode_texts([t or "" for t in part.column("text").to_pylist()], vocabulary)
                 ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
                 flat = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
@@ -281,7 +309,7 @@ def decode(encoded: DataFrame, path: str = MODEL_PATH, column: str = "decoded")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                texts = [decode_ids(x or [], table) for x in part.column("token_ids").to_pylist()]
+                texts = [decode_ids(x.values.to_numpy().tolist() if x.is_valid else [], table) for x in part.column("token_ids")]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, column])
 
     return encoded.mapInArrow(run, encoded.select("*", F.lit("").alias(column)).schema)
