@@ -314,7 +314,8 @@ def test_exact_dedup_equals_sql(spark, sf):
     import duckdb
 
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    for name in ("documents", "benchmark", "embeddings"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf}/{name}.parquet'")
     for name, sql in queries.ORACLES.items():
         found = queries.QUERIES[name](spark, sf)
         result = connection.execute(sql)
