@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.llm.anchors import mixed
-from reviewlens.llm.common import arrow_map, stage, texts_of, thinned
+from reviewlens.llm.common import arrow_map, of_ids, stage, texts_of, thinned
 from reviewlens.llm.components import components
 from reviewlens.llm.words import shingle_sets, words_of
 
@@ -31,6 +31,8 @@ BANDS, BAND_ROWS = 32, 4
 MARGIN = 20
 #: Rounds in which each document is compared with one hub, and members of a bucket in one block after that.
 HUB_ROUNDS, BLOCK = 1, 1024
+#: Tasks that compare blocks, to one shuffle partition.
+TASKS_TO_A_PARTITION = 4
 #: Words of text in one block; a longer text is a block of its own.
 BLOCK_WORDS = 1_000_000
 
@@ -111,13 +113,14 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: int = THRESHOLD) -> D
     pairs = stage(pairs, "pairs")
     texts = texts_for(docs, pairs.select(F.explode(F.array("u", "v")).alias("doc_id")))
     side = lambda node, name: texts.select(F.col("doc_id").alias(node), F.col("text").alias(name))
-    return arrow_map(pairs.join(side("v", "b"), "v").join(side("u", "a"), "u"), check, "u long, v long")
+    # pairs grow with the documents and are never broadcast, so the plan is the same for any number of them
+    return arrow_map(pairs.hint("merge").join(side("v", "b"), "v").join(side("u", "a"), "u"), check, "u long, v long")
 
 
 def texts_for(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(doc_id, text) of the documents in ``ids``, one row each, as a staged table."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = thinned(plain, "doc_id", ids).join(ids.distinct(), "doc_id", "left_semi")
+    found = thinned(plain, "doc_id", ids).join(ids.distinct().hint("merge"), "doc_id", "left_semi")
     return stage(found.groupBy("doc_id").agg(F.max("text").alias("text")), "texts")
 
 
@@ -215,7 +218,9 @@ def remaining_links(owned: DataFrame, signs: DataFrame, docs: DataFrame, thresho
     blocks = sized.join(chunks, "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     blocks = blocks.withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")}).drop("other", "chunks")
     sign = signs.select("doc_id", "n_shingles", "signature")
-    near = blocks.join(sign, "doc_id").groupBy("key", "low", "high").applyInPandas(
+    # comparisons cost time and few bytes, so they are dealt to more tasks than their size asks for
+    tasks = TASKS_TO_A_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = blocks.join(sign, "doc_id").repartition(tasks, "key", "low", "high").groupBy("key", "low", "high").applyInPandas(
         lambda rows: _block_members(rows, threshold), "key long, low int, high int, band int, chunk int, doc_id long")
     members = stage(near, "members")
     full = members.join(texts_for(docs, members.select("doc_id")), "doc_id")
@@ -263,6 +268,9 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """One document of each group of near-duplicates stays, with all its columns."""
-    kept = near_duplicates(docs, threshold).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    """One document of each group of near-duplicates stays, with all its columns.
+
+    Documents without words and rows without doc_id stay; doc_id is the key, so
+    rows that repeat it stay or go together.
+    """
+    return of_ids(docs, "doc_id", near_duplicates(docs, threshold).where("kept").select("doc_id"), "left_semi")
