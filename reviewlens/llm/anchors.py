@@ -53,7 +53,9 @@ def leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:
     """Place of the leftmost smallest value of each run of ``width`` values."""
     n = len(values)
     places = np.arange(n, dtype=np.uint64)
-    keys = (values >> np.uint64(_PLACE_BITS) << np.uint64(_PLACE_BITS)) | places
+    # a longer array takes more bits for its places and leaves fewer of the values
+    bits = max(_PLACE_BITS, n.bit_length())
+    keys = (values >> np.uint64(bits) << np.uint64(bits)) | places
     pad = -n % width
     if pad:
         keys = np.concatenate([keys, np.full(pad, np.iinfo(np.uint64).max, dtype=np.uint64)])
@@ -61,7 +63,7 @@ def leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:
     ahead = np.minimum.accumulate(blocks, axis=1).ravel()
     behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
     low = np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
-    return (low & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
+    return (low & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
 def units(codes: np.ndarray, bounds: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:

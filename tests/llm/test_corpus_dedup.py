@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reviewlens.llm import exact_dedup, line_dedup, minhash, substring_dedup, suffix_dedup
+from reviewlens.llm import anchors, exact_dedup, line_dedup, minhash, substring_dedup, suffix_dedup
 from reviewlens.llm.components import components
 
 #: Edge rows every operator meets: null and empty texts, white space, repeats, a clashing column, a null id.
@@ -214,6 +214,16 @@ def test_suffix_dedup(spark, corpus, lot):
         assert r["kept_sha256"] == hashlib.sha256(kept).hexdigest()
 
 
+@pytest.mark.parametrize("bits", [3, 26])
+def test_leftmost_minima_of_any_number_of_values(monkeypatch, bits):
+    # with few bits for places the array is as long as texts of over 64 MiB are otherwise
+    monkeypatch.setattr(anchors, "_PLACE_BITS", bits)
+    values = np.random.default_rng(1).integers(0, 2**63, 3000).astype(np.uint64)
+    values[1000:1400] = values[1000]
+    found = anchors.leftmost_minima(values, 40)
+    assert found.tolist() == [i + int(values[i : i + 40].argmin()) for i in range(len(values) - 39)]
+
+
 @pytest.mark.parametrize("length", [8, 24, 27, 50, 100, 101])
 @pytest.mark.parametrize("letters", [2, 250])
 def test_sorted_suffixes(length, letters):
