@@ -10,7 +10,9 @@ which the first line stays.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.llm.common import stage, thinned
@@ -20,10 +22,12 @@ from reviewlens.llm.components import components
 EDITS = 2
 #: Shorter lines are linked only if they are identical.
 MIN_CHARS = 16
-#: A segment shared by more lines than this is compared by way of hubs first.
-GROUP = 64
-#: Parts that the lines of such a segment are dealt to.
-SALTS = 16
+#: Lines of a block, where the lines of a segment are compared with each other.
+GROUP = 128
+#: Characters of a block; a longer line is a block of its own.
+BLOCK_CHARS = 1_000_000
+#: Characters whose numbers, odd or even, are compared before any distance.
+COUNTED = "abcdefghijklmnopqrstuvwxyz0123456789"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -100,16 +104,47 @@ def enough_pieces(a: Column, b: Column, size_a: Column, limit: int = EDITS, piec
     return intact >= pieces - limit
 
 
-def within_edits(a: Column, b: Column, size_a: Column, size_b: Column) -> Column:
-    """Whether two strings are within EDITS edits; the distance is computed only where enough pieces agree."""
-    return F.when(enough_pieces(a, b, size_a), edit_distance(a, b, size_a, size_b) <= EDITS).otherwise(False)
-
-
 def _let(value: Column, use) -> Column:
     """``use`` of a value that is computed once."""
     return F.transform(F.array(value), use)[0]
 
 
+def _shared(most: Column, same: Callable[[Column, Column], Column]) -> Column:
+    """The largest number of characters, up to ``most``, that are the same; ``same(at, step)`` compares the ``step`` behind the first ``at``."""
+    steps = F.transform(F.sequence(F.ceil(F.log2(F.greatest(most, F.lit(1)))).cast("int"), F.lit(0), F.lit(-1)), lambda i: F.pow(F.lit(2), i).cast("int"))
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= most) & same(at, step), at + step).otherwise(at))
+
+
+def edits_at_ends(a: Column, b: Column, size_a: Column, size_b: Column) -> Column:
+    """Whether two strings agree but for an edit at either end, once what they begin and end with alike is cut off.
+
+    Where both rests have characters they differ in the first and in the last
+    one, so an edit stands at either end and, of two edits, none between.
+    """
+    least = F.least(size_a, size_b)
+    prefix = _shared(least, lambda at, step: F.substring(a, at + 1, step) == F.substring(b, at + 1, step))
+
+    def behind(pre: Column) -> Column:
+        suffix = _shared(least - pre, lambda at, step: F.substring(a, size_a - at - step + 1, step) == F.substring(b, size_b - at - step + 1, step))
+        return _let(suffix, lambda suf: between(pre, size_a - pre - suf, size_b - pre - suf))
+
+    def between(pre: Column, rest_a: Column, rest_b: Column) -> Column:
+        found = F.greatest(rest_a, rest_b) <= EDITS
+        for front_a, front_b in ((1, 1), (1, 0), (0, 1)):
+            for end_a, end_b in ((1, 1), (1, 0), (0, 1)):
+                length, other = rest_a - (front_a + end_a), rest_b - (front_b + end_b)
+                found = found | ((length == other) & (length >= 0) & (
+                    F.substring(a, pre + front_a + 1, length) == F.substring(b, pre + front_b + 1, length)))
+        return found
+
+    return _let(prefix, behind)
+
+
+def within_edits(a: Column, b: Column, size_a: Column, size_b: Column) -> Column:
+    """Whether two strings are within EDITS edits; the distance is computed only where the edits can stand at both ends of what differs."""
+    return F.when(edits_at_ends(a, b, size_a, size_b), edit_distance(a, b, size_a, size_b) <= EDITS).otherwise(False)
+
+
 def edit_distance(a: Column, b: Column, size_a: Column, size_b: Column, limit: int = EDITS) -> Column:
     """Edit distance of two strings if it is at most ``limit``, else a larger number.
 
@@ -158,65 +193,120 @@ def edit_distance(a: Column, b: Column, size_a: Column, size_b: Column, limit: i
     return F.aggregate(masks, start, step, lambda s: s["distance"])
 
 
-def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+def parities(line: Column) -> Column:
+    """A bit for each character of COUNTED: whether the line holds it an odd number of times.
+
+    An edit turns two bits at the most.
+    """
+    bytes_ = F.octet_length(line)
+    bits = [F.shiftleft((bytes_ - F.octet_length(F.replace(line, F.lit(char), F.lit("")))).bitwiseAND(F.lit(1)).cast("long"), i)
+            for i, char in enumerate(COUNTED)]
+    mask = bits[0]
+    for bit in bits[1:]:
+        mask = mask.bitwiseOR(bit)
+    return mask
+
+
+def _near(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
+    """Whether two lines, given by their fields, are within EDITS edits; what costs least is asked first."""
+    alike = (F.abs(a("size") - b("size")) <= EDITS) & (F.bit_count(a("mask").bitwiseXOR(b("mask"))) <= 2 * EDITS)
+    return F.when(alike, within_edits(a("line"), b("line"), a("size"), b("size"))).otherwise(False)
+
+
+def buckets(lines: DataFrame) -> DataFrame:
+    """(key, nr, n, hub): the lines of each segment that two lines or more meet in, their number, and the first of them.
+
+    A line comes with the keys of its own segments and with those it looks up;
+    lines that only look the same segment up need not meet. The rows move once.
+    """
+    wide = lines.where(F.col("size") >= MIN_CHARS).select("nr", "size", F.encode("line", "UTF-32").alias("wide"))
+    own = F.array(*index_keys(F.col("wide"), F.col("size")))
+    looked_up = F.array(*probe_keys(F.col("wide"), F.col("size")))
+    keyed = wide.select("nr", own.alias("own"), looked_up.alias("looked_up")).select(
+        "nr", F.posexplode(F.concat("own", F.array_except("looked_up", "own"))).alias("place", "key"))
+    # number and kind in one column, as almost all keys leave right behind the shuffle
+    tagged = keyed.select("key", (F.col("nr") * 2 + (F.col("place") > EDITS).cast("long")).alias("tag"))
+    met = Window.partitionBy("key")
+    counted = tagged.withColumns({
+        "n": F.count(F.lit(1)).over(met), "hub": F.floor(F.min("tag").over(met) / 2), "kind": F.min(F.col("tag") % 2).over(met)})
+    return counted.where("n > 1 AND kind = 0").select("key", F.expr("tag div 2").alias("nr"), "n", "hub")
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (u, v) of line numbers whose lines are within EDITS edits."""
-    ids = pairs.select(F.col("u").alias("nr")).unionByName(pairs.select(F.col("v").alias("nr"))).distinct()
-    texts = stage(thinned(lines.select("nr", "line", "size"), "nr", ids).join(ids, "nr", "left_semi"), "texts")
-    side = lambda n: texts.select(F.col("nr").alias(n), F.col("line").alias(f"line_{n}"), F.col("size").alias(f"size_{n}"))
-    both = pairs.join(side("u"), "u").join(side("v"), "v")
-    return both.where(within_edits(F.col("line_u"), F.col("line_v"), F.col("size_u"), F.col("size_v"))).select("u", "v")
+    side = lambda n: texts.select(*(F.col(c).alias(n if c == "nr" else f"{c}_{n}") for c in texts.columns))
+    # pairs and texts grow with the lines and are never broadcast, so the plan is the same for any number of them
+    both = pairs.hint("merge").join(side("v"), "v").hint("merge").join(side("u"), "u")
+    return both.where(_near(lambda c: F.col(f"{c}_u"), lambda c: F.col(f"{c}_v"))).select("u", "v")
 
 
-def _pair(a: str, b: str) -> list[Column]:
-    return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
+def _spanning(found: Column) -> Column:
+    """Of rows (nr, others) of linked line numbers, links (label, nr) enough to hold them together: one less than there are lines."""
+    nodes = F.array_union(F.transform(found, lambda p: p["nr"]), F.flatten(F.transform(found, lambda p: p["others"])))
+    start = F.transform(nodes, lambda nr: F.struct(nr.alias("nr"), nr.alias("label")))
 
+    def merge(state: Column, p: Column) -> Column:
+        touched = F.filter(state, lambda e: (e["nr"] == p["nr"]) | F.array_contains(p["others"], e["nr"]))
+        return _let(F.transform(touched, lambda e: e["label"]), lambda labels: F.transform(state, lambda e: F.struct(
+            e["nr"].alias("nr"), F.when(F.array_contains(labels, e["label"]), F.array_min(labels)).otherwise(e["label"]).alias("label"))))
 
-def _hot_links(index: DataFrame, probes: DataFrame, hot: DataFrame, lines: DataFrame, links: DataFrame) -> DataFrame:
-    """Further links through segments that many lines share.
+    return F.aggregate(found, start, merge, lambda state: F.filter(state, lambda e: e["nr"] != e["label"]))
 
-    Every line is compared with the segment's first line. Lines of a segment
-    that lie in different classes after that are compared with each other,
-    dealt to parts, and only links leave the join.
+
+def open_links(shared: DataFrame, texts: DataFrame, found: DataFrame, group: int = GROUP) -> DataFrame:
+    """Links in the segments whose lines still lie in two classes or more.
+
+    The lines of such a segment are cut into blocks of bounded size, and every
+    two blocks meet in a row of their own, wherever the segment's other rows
+    are. A row gives links enough to join its lines, never its pairs, so lines
+    that are a little too different cost comparisons but no rows.
+    """
+    owned = shared.select("key", "nr").join(found, "nr", "left").withColumn("component", F.coalesce("component", "nr"))
+    is_open = owned.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a != b")
+    rest = owned.join(is_open.select("key"), "key", "left_semi").join(texts, "nr")
+    before = Window.partitionBy("key").orderBy("nr").rowsBetween(Window.unboundedPreceding, -1)
+    chunk = F.count("nr").over(before) / group + F.coalesce(F.sum("size").over(before), F.lit(0)) / BLOCK_CHARS
+    placed = rest.withColumn("chunk", F.floor(chunk).cast("int"))
+    placed = placed.withColumn("last", F.max("chunk").over(Window.partitionBy("key")))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
+    fields = ["nr", "component", "size", "mask", "line", "chunk"]
+    met = placed.groupBy("key", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")).agg(
+        F.collect_list(F.struct(*fields)).alias("members"))
+    of = lambda side: F.filter("members", lambda m: m["chunk"] == F.col(side))
+    met = met.select(of("low").alias("first"), of("high").alias("second"), (F.col("low") == F.col("high")).alias("same"))
+
+    def partners(x: Column) -> Column:
+        fits = lambda y: (x["component"] != y["component"]) & (~F.col("same") | (y["nr"] < x["nr"])) & _near(x.getField, y.getField)
+        return F.struct(x["nr"].alias("nr"), F.transform(F.filter("first", fits), lambda y: y["nr"]).alias("others"))
+
+    linked = F.filter(F.transform("second", partners), lambda p: F.size(p["others"]) > 0)
+    return met.select(F.explode(_let(linked, _spanning)).alias("link")).select(
+        F.col("link.label").alias("u"), F.col("link.nr").alias("v")).distinct()
+
+
+def line_classes(lines: DataFrame, group: int = GROUP) -> DataFrame:
+    """(nr, component) of the distinct lines that links join, component being the smallest nr of a class.
+
+    Lines are first compared with one line of each segment they share, which
+    settles segments of two lines and joins almost all of a large class.
     """
-    mine, theirs = (x.join(hot.select("key"), "key", "left_semi") for x in (index, probes))
-    all_rows = mine.unionByName(theirs).distinct()
-    to_hub = all_rows.join(hot, "key").where("nr != hub").select(*_pair("nr", "hub")).distinct()
-    links = stage(links.unionByName(verified(to_hub, lines)).distinct(), "links")
-    found = components(links).withColumnRenamed("node", "nr")
-    owned = all_rows.join(found, "nr", "left").withColumn("component", F.coalesce("component", "nr"))
-    is_open = owned.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a != b").select("key")
-    rest = stage(owned.join(is_open, "key", "left_semi").join(lines.select("nr", "line", "size"), "nr"), "open")
-    left = rest.withColumn("salt", F.pmod("nr", F.lit(SALTS)))
-    right = rest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumn("salt", F.col("salt").cast("long"))
-    a, b = left.alias("a"), right.alias("b")
-    near = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.salt") == F.col("b.salt")) & (F.col("a.nr") < F.col("b.nr"))
-                  & (F.col("a.component") != F.col("b.component")) & (F.abs(F.col("a.size") - F.col("b.size")) <= EDITS)
-                  & within_edits(F.col("a.line"), F.col("b.line"), F.col("a.size"), F.col("b.size")))
-    return links.unionByName(near.select(F.col("a.nr").alias("u"), F.col("b.nr").alias("v")).distinct())
-
-
-def line_links(lines: DataFrame, group: int = GROUP) -> DataFrame:
-    """(u, v): links enough to tell which of the distinct lines belong to one class."""
-    long_lines = lines.where(F.col("size") >= MIN_CHARS)
-    wide = long_lines.select("nr", "size", F.encode("line", "UTF-32").alias("wide"))
-    line, size = F.col("wide"), F.col("size")
-    index = wide.select("nr", F.explode(F.array(*index_keys(line, size))).alias("key"))
-    probes = wide.select("nr", F.explode(F.array(*probe_keys(line, size))).alias("key"))
-    counts = index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("nr").alias("hub"))
-    hot = stage(counts.where(F.col("n") > group).select("key", "hub"), "hot")
-    none_hot = hot.isEmpty()
-    cold_index, cold_probes = (index, probes) if none_hot else (x.join(hot, "key", "left_anti") for x in (index, probes))
-    met = cold_probes.withColumnRenamed("nr", "p").join(cold_index, "key").where("p != nr")
-    pairs = stage(met.select(*_pair("p", "nr")).distinct(), "pairs")
-    links = stage(verified(pairs, lines), "links")
-    return links if none_hot else _hot_links(index, probes, hot, lines, links)
+    shared = stage(buckets(lines), "buckets")
+    ids = shared.select("nr").distinct()
+    mine = thinned(lines.select("nr", "line", "size"), "nr", ids).join(ids.hint("merge"), "nr", "left_semi")
+    texts = stage(mine.withColumn("mask", parities(F.col("line"))), "texts")
+    to_hub = shared.where("nr != hub").select(F.col("hub").alias("u"), F.col("nr").alias("v")).distinct()
+    found = components(stage(verified(to_hub, texts), "links")).withColumnRenamed("node", "nr")
+    more = stage(open_links(shared.where("n > 2"), texts, found, group), "links")
+    if more.isEmpty():
+        return found
+    return components(found.select(F.col("nr").alias("u"), F.col("component").alias("v")).unionByName(more)).withColumnRenamed("node", "nr")
 
 
 def removed_lines(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """(doc_id, version, line_no, keep_doc_id, keep_line_no): lines that go, and the first line of their class, which stays."""
     all_lines = _lines(docs)
     lines = distinct_lines(all_lines)
-    found = components(line_links(lines, group)).withColumnRenamed("node", "nr")
+    found = line_classes(lines, group)
     classed = lines.drop("line", "size").join(found, "nr", "left")
     # lines that stand once and have no link are in no one's way
     classed = classed.where("copies > 1 OR component IS NOT NULL").withColumn("component", F.coalesce("component", "nr"))

@@ -349,3 +349,38 @@ def test_line_dedup(spark, group):
         kept = [x for n, x in enumerate(parts) if not x.strip() or first[top(x)] == (i, n)]
         assert (got[i]["n_lines"], got[i]["n_removed"], got[i]["kept"]) == (len(parts), len(parts) - len(kept), "\n".join(kept))
     assert collections.Counter(r["n_removed"] > 0 for r in got.values())[True] > 5
+
+
+def test_edits_at_both_ends_of_what_differs(spark):
+    rng, rows = random.Random(6), []
+    while len(rows) < 1500:
+        a = [rng.choice(rng.choice(["ab", "abcdé日😀"])) for _ in range(rng.randint(3, 40))]
+        b = list(a)
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(b))
+            b[at : at + rng.randint(0, 1)] = rng.choice(["", "a", "b", "é", "😀"])
+        if len(b) > 2 and abs(len(a) - len(b)) <= 2:
+            rows.append(("".join(a), "".join(b), edit_distance(a, b)))
+    df = spark.createDataFrame(rows, "a string, b string, d int")
+    sides = (F.col("a"), F.col("b"), F.length("a"), F.length("b"))
+    got = df.select("a", "b", "d", line_dedup.edits_at_ends(*sides).alias("ends"), line_dedup.within_edits(*sides).alias("near"),
+                    F.bit_count(line_dedup.parities(sides[0]).bitwiseXOR(line_dedup.parities(sides[1]))).alias("bits")).collect()
+    assert [r for r in got if (r["d"] <= 2) != r["ends"] or (r["d"] <= 2) != r["near"]] == []
+    assert [r for r in got if r["bits"] > 2 * r["d"]] == []
+
+
+def test_lines_that_share_a_segment_are_never_paired(spark):
+    # half of each line is the same; every fourth line has a near copy, of which no hub of the segment knows
+    rng = random.Random(9)
+    lines = ["the same beginning of all lines, " + "".join(rng.choice("abcdefgh") for _ in range(30)) for _ in range(240)]
+    near = [line[:-1] + "x" for line in lines[::4]]
+    docs = spark.createDataFrame([(i, line) for i, line in enumerate(lines + near)], "doc_id long, text string")
+    found = line_dedup.distinct_lines(line_dedup._lines(docs))
+    shared = line_dedup.buckets(found).cache()
+    assert shared.agg(F.max("n")).first()[0] >= 300
+    assert shared.where("n > 2 AND nr != hub").count() <= 12 * 300
+    links = line_dedup.open_links(shared, found.withColumn("mask", line_dedup.parities(F.col("line"))),
+                                  spark.createDataFrame([], "nr long, component long"), group=50)
+    assert links.count() == len(near)
+    gone = by_id(line_dedup.line_dedup(docs, 50))
+    assert sorted(i for i, r in gone.items() if r["n_removed"]) == list(range(240, 300))
