@@ -31,6 +31,8 @@ BANDS, BAND_ROWS = 32, 4
 MARGIN = 20
 #: Rounds in which each document is compared with one hub, and members of a bucket in one block after that.
 HUB_ROUNDS, BLOCK = 1, 1024
+#: Members of a bucket up to which its pairs are rows; a pair that meets in many buckets is one row then.
+FEW = 4
 #: Tasks that compare blocks, to one shuffle partition.
 TASKS_TO_A_PARTITION = 4
 #: Words of text in one block; a longer text is a block of its own.
@@ -202,15 +204,23 @@ def hub_pairs(owned: DataFrame) -> DataFrame:
 def remaining_links(owned: DataFrame, signs: DataFrame, docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Links in the buckets whose members still lie in two components or more.
 
-    The members of such a bucket are cut into blocks of bounded size, and every
-    two blocks meet in a task: first with signatures, which leaves the members
+    Most such buckets have FEW members or less: their pairs, no more than three for
+    every two members, are compared once each. The members of a larger one are cut
+    into blocks of bounded size, and every two blocks meet in a task: first with signatures, which leaves the members
     that have a partner, then with texts. Tasks give members and links, never
     pairs, so a group of documents that are a little too different costs
     comparisons but no rows.
     """
-    is_open = owned.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a != b")
-    rest = owned.join(is_open.select("key"), "key", "left_semi").select("key", "band", "doc_id", "component")
-    sized = rest.join(signs.select("doc_id", "n_words"), "doc_id")
+    is_open = owned.groupBy("key").agg(
+        F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("n")).where("a != b")
+    rest = stage(owned.join(is_open.select("key", "n"), "key").select("key", "n", "band", "doc_id", "component"), "open")
+    few = rest.where(F.col("n") <= FEW)
+    a, b = few.alias("a"), few.alias("b")
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.component") != F.col("b.component"))).select(
+        F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v")).distinct()
+    of_few = verified(by_estimate(stage(pairs, "pairs"), signs, threshold), docs, threshold)
+    # a pair whose first band is a bucket of few members has been looked at there
+    sized = rest.where(F.col("n") > FEW).drop("n").join(signs.select("doc_id", "n_words"), "doc_id")
     before = Window.partitionBy("key").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
     chunk = F.greatest(F.count("doc_id").over(before) / BLOCK, F.coalesce(F.sum("n_words").over(before), F.lit(0)) / BLOCK_WORDS)
     sized = sized.withColumn("chunk", F.floor(chunk).cast("int")).drop("n_words")
@@ -224,7 +234,8 @@ def remaining_links(owned: DataFrame, signs: DataFrame, docs: DataFrame, thresho
         lambda rows: _block_members(rows, threshold), "key long, low int, high int, band int, chunk int, doc_id long")
     members = stage(near, "members")
     full = members.join(texts_for(docs, members.select("doc_id")), "doc_id")
-    return full.groupBy("key", "low", "high").applyInPandas(lambda rows: _block_links(rows, threshold), "u long, v long").distinct()
+    of_blocks = full.groupBy("key", "low", "high").applyInPandas(lambda rows: _block_links(rows, threshold), "u long, v long")
+    return of_few.unionByName(of_blocks).distinct()
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:

@@ -119,6 +119,20 @@ def test_near_duplicates(spark, corpus):
     assert all(r["kept"] == (i == r["component_id"]) for i, r in found.items())
 
 
+@pytest.mark.parametrize("few", [1, 4, 1000])
+def test_pairs_of_small_buckets_are_compared_as_rows(spark, monkeypatch, few):
+    # whichever buckets count as small, the components are the same
+    monkeypatch.setattr(minhash, "FEW", few)
+    rng = random.Random(10)
+    text, docs = [f"w{rng.randrange(10**6)}" for _ in range(90)], []
+    for i in range(16):
+        docs.append((i * 5 % 16, " ".join(text)))
+        text[rng.randrange(90)] = f"w{rng.randrange(10**6)}"
+    found = by_id(minhash.near_duplicates(frame(spark, docs)))
+    expected = brute_components([(i, t.encode()) for i, t in docs])
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in found.items()} == expected
+
+
 @pytest.mark.parametrize("block", [3, 1024])
 def test_a_group_that_hangs_together_by_chains(spark, monkeypatch, block):
     # neighbours are similar enough, far ends are not; no hub sees them all
