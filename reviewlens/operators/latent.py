@@ -12,6 +12,8 @@ from reviewlens.operators.blocks import vector_sum
 from reviewlens.session import materialize
 
 LATENT_SIZE, LATENT_ROUNDS = 64, 8
+#: Vectors that are worked on at once.
+ROWS = 1024
 
 
 def start_axes(size: int, latent: int) -> np.ndarray:
@@ -53,8 +55,9 @@ def latent_axes(rows: DataFrame, vector: str, latent: int = LATENT_SIZE, rounds:
         def work(batches: Iterator[pa.RecordBatch], axes=axes) -> Iterator[pa.RecordBatch]:
             total = np.zeros_like(axes)
             for batch in batches:
-                x = _matrix(batch.column("_v"), size)
-                total += x.T @ (x @ axes)
+                for i in range(0, batch.num_rows, ROWS):
+                    x = _matrix(batch.column("_v").slice(i, ROWS), size)
+                    total += x.T @ (x @ axes)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(size), pa.int32()), pa.array(total.tolist(), pa.list_(pa.float64()))], names=["line", "entries"])
 
         sums = vectors.mapInArrow(work, "line int, entries array<double>").groupBy("line").agg(vector_sum("entries").alias("entries"))
@@ -65,18 +68,19 @@ def latent_axes(rows: DataFrame, vector: str, latent: int = LATENT_SIZE, rounds:
 def in_latent_space(df: DataFrame, vector: str, axes: np.ndarray) -> DataFrame:
     """The vectors seen along the axes, scaled to length one; one without a part along any axis is all zeros, a null one stays null."""
     width = axes.shape[1]
-    kept = [c for c in df.columns if c != vector]
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # only the vectors visit Python; texts and other columns beside them stay in the JVM
+    @F.arrow_udf("array<float>")
+    def place(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            lists = batch.column(vector)
-            there = lists.is_valid().to_numpy(zero_copy_only=False)
-            places = _matrix(lists, len(axes)) @ axes if there.any() else np.zeros((0, width))
-            length = np.sqrt(np.square(places).sum(axis=1, keepdims=True))
-            places = np.divide(places, length, out=np.zeros_like(places), where=length > 1e-12)
-            found = iter(places.astype(np.float32).tolist())
-            column = pa.array([next(found) if t else None for t in there.tolist()], pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), column], names=[*kept, vector])
-
-    shaped = df.select(*kept, F.col(vector).cast("array<float>").alias(vector))
-    return shaped.mapInArrow(work, shaped.schema)
+            yield pa.concat_arrays([seen(batch.slice(i, ROWS)) for i in range(0, len(batch), ROWS)] or [seen(batch)])
+
+    def seen(lists: pa.Array) -> pa.Array:
+        there = lists.is_valid().to_numpy(zero_copy_only=False)
+        places = _matrix(lists, len(axes)) @ axes if there.any() else np.zeros((0, width))
+        length = np.sqrt(np.square(places).sum(axis=1, keepdims=True))
+        places = np.divide(places, length, out=np.zeros_like(places), where=length > 1e-12)
+        found = iter(places.astype(np.float32).tolist())
+        return pa.array([next(found) if t else None for t in there.tolist()], pa.list_(pa.float32()))
+
+    return df.withColumn(vector, place(F.col(vector).cast("array<float>")))

@@ -277,3 +277,17 @@ def test_encode_text(spark):
 
     coded = themes.encode_text(df, encoder=lengths).orderBy("id").collect()
     assert [list(r["embedding"]) for r in coded] == [[1, 0], [1, 0], [1, 0], [0, 0]]
+
+
+def test_latent_places_leave_other_columns_in_the_jvm(spark):
+    rows = spark.createDataFrame([(i, "long text " * 50, [float(i), 1.0, 0.0]) for i in range(2500)] + [(9999, None, None)],
+                                 "id long, review string, v array<float>")
+    axes = np.eye(3)[:, :2]
+    seen = latent.in_latent_space(rows, "v", axes)
+    # no operator that hands whole rows to Python
+    assert "MapInArrow" not in seen._jdf.queryExecution().executedPlan().toString()
+    found = {r["id"]: (r["review"], r["v"]) for r in seen.collect()}
+    assert len(found) == 2501 and found[9999] == (None, None)
+    for i in (0, 1, 1024, 2499):
+        assert found[i][0] == "long text " * 50
+        assert np.allclose(found[i][1], np.array([i, 1]) / np.hypot(i, 1), atol=1e-6)
