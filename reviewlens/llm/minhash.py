@@ -29,8 +29,10 @@ THRESHOLD = 75
 BANDS, BAND_ROWS = 32, 4
 #: Hundredths by which the agreement of two signatures may lie under the threshold: over 5 standard deviations.
 MARGIN = 20
-#: Rounds in which each document is compared with one hub, and members of a bucket in one block after that.
+#: Rounds in which each document is compared with one hub, and members of a bucket whose texts meet in one block after that.
 HUB_ROUNDS, BLOCK = 1, 1024
+#: Such blocks in one chunk of a bucket, whose signatures meet; they are far smaller than texts.
+CHUNK_BLOCKS = 8
 #: Members of a bucket up to which its pairs are rows; a pair that meets in many buckets is one row then.
 FEW = 4
 #: Tasks that compare blocks, to one shuffle partition.
@@ -126,18 +128,30 @@ def texts_for(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return stage(found.groupBy("doc_id").agg(F.max("text").alias("text")), "texts")
 
 
-def _block_members(rows: pd.DataFrame, threshold: int) -> pd.DataFrame:
-    """The rows of one pair of blocks whose signature agrees well enough with one of another component.
+def _blocks(chunk: np.ndarray, n_words: np.ndarray, block: int) -> np.ndarray:
+    """Number of the block of each row: up to ``block`` rows and about BLOCK_WORDS words of one chunk."""
+    out = np.zeros(len(chunk), dtype=np.int64)
+    for part in np.unique(chunk):
+        of = np.flatnonzero(chunk == part)
+        before = np.cumsum(n_words[of]) - n_words[of]
+        out[of] = out.max() + 1 + np.maximum(np.arange(len(of)) // block, before // BLOCK_WORDS)
+    return np.unique(out, return_inverse=True)[1]
+
+
+def _block_members(rows: pd.DataFrame, threshold: int, block: int) -> pd.DataFrame:
+    """The rows of one pair of chunks whose signature agrees well enough with one of another component, by pairs of blocks.
 
     A pair is looked at in the bucket of the first band its signatures share.
     """
     rows = rows.sort_values(["chunk", "doc_id"])
-    band, here = int(rows["band"].iloc[0]), rows["chunk"].to_numpy() == rows["low"].iloc[0]
+    chunk = rows["chunk"].to_numpy()
+    band, here = int(rows["band"].iloc[0]), chunk == rows["low"].iloc[0]
+    part = _blocks(chunk, rows["n_words"].to_numpy(), block)
     component, size = rows["component"].to_numpy(), rows["n_shingles"].to_numpy()
     signs = np.frombuffer(b"".join(rows["signature"]), dtype=np.uint16).reshape(-1, _MINIMA)
-    wanted = np.zeros(len(rows), dtype=bool)
+    wanted = np.zeros((len(rows), part.max() + 1), dtype=bool)
     for i in np.flatnonzero(here).tolist():
-        # within one block each pair once, across two blocks every pair
+        # within one chunk each pair once, across two chunks every pair
         rest = np.arange(i + 1, len(rows)) if here.all() else np.flatnonzero(~here)
         fits = 100 * np.minimum(size[rest], size[i]) >= threshold * np.maximum(size[rest], size[i])
         rest = rest[(component[rest] != component[i]) & fits]
@@ -145,9 +159,14 @@ def _block_members(rows: pd.DataFrame, threshold: int) -> pd.DataFrame:
         rest = rest[same.sum(axis=1) * 100 >= (threshold - MARGIN) * _MINIMA]
         first = (signs[rest] == signs[i]).reshape(len(rest), BANDS, BAND_ROWS).all(axis=2).argmax(axis=1)
         rest = rest[first == band]
-        wanted[i] |= len(rest) > 0
-        wanted[rest] = True
-    return rows[wanted][["key", "low", "high", "band", "chunk", "doc_id"]]
+        wanted[i, part[rest]] = True
+        wanted[rest, part[i]] = True
+    at, other = np.nonzero(wanted)
+    found = rows[["key", "low", "high", "doc_id"]].iloc[at]
+    return found.assign(block_low=np.minimum(part[at], other), block_high=np.maximum(part[at], other))[_MEMBER]
+
+
+_MEMBER = ["key", "low", "high", "block_low", "block_high", "doc_id"]
 
 
 def _common(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
@@ -169,7 +188,7 @@ def _common(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
 
 def _block_links(rows: pd.DataFrame, threshold: int) -> pd.DataFrame:
     """Links enough to join the similar texts of one pair of blocks."""
-    rows = rows.sort_values(["chunk", "doc_id"])
+    rows = rows.sort_values("doc_id")
     ids = rows["doc_id"].to_numpy()
     sets = shingle_sets(words_of([(t or "").encode() for t in rows["text"]], lower=True), SHINGLE_WORDS)
     common, size = _common(sets), np.array([len(s) for s in sets])
@@ -201,13 +220,42 @@ def hub_pairs(owned: DataFrame) -> DataFrame:
     return apart.groupBy(F.col("r.doc_id").alias("v")).agg(F.min("h.u").alias("u")).select("u", "v")
 
 
+def chunk_rows(rest: DataFrame, size: int) -> DataFrame:
+    """The rows of open buckets, each in every pair of chunks (low, high) it is compared in.
+
+    A bucket of up to ``size`` members is one chunk. In a larger one a component
+    of that many members has chunks of its own, which never meet each other, and
+    the members of all smaller components share the others. So beside one large
+    component rows grow with its members; only members that lie in many
+    components still cost each of them a row for every ``size`` others.
+    """
+    columns = ["key", "band", "doc_id", "component"]
+    one = rest.where(F.col("n") <= size).select(*columns, *[F.lit(0).alias(x) for x in ("chunk", "low", "high")])
+    large = rest.where(F.col("n") > size).select(*columns)
+    sizes = large.groupBy("key", "component").agg(F.count(F.lit(1)).alias("members"))
+    sizes = sizes.withColumn("owner", F.when(F.col("members") >= size, F.col("component").cast("string")).otherwise(""))
+    parts = sizes.groupBy("key", "owner").agg(F.ceil(F.sum("members") / size).cast("int").alias("parts"))
+    chunks = parts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "key", "owner", "part", F.row_number().over(Window.partitionBy("key").orderBy("owner", "part")).alias("chunk"))
+    a, b = chunks.alias("a"), chunks.alias("b")
+    meet = (F.col("a.key") == F.col("b.key")) & (F.col("a.chunk") <= F.col("b.chunk")) & ((F.col("a.owner") != F.col("b.owner")) | (F.col("a.owner") == ""))
+    met = a.join(b, meet).select(
+        F.col("a.key").alias("key"), F.col("a.chunk").alias("low"), F.col("b.chunk").alias("high"),
+        F.explode(F.array_distinct(F.array(*[F.struct(f"{x}.owner", f"{x}.part", f"{x}.chunk") for x in "ab"]))).alias("of"))
+    met = met.select("key", "of.*", "low", "high")
+    owned = large.join(sizes.join(parts, ["key", "owner"]).drop("members"), ["key", "component"])
+    placed = owned.withColumn("part", F.pmod(F.xxhash64("doc_id"), "parts").cast("int")).join(met, ["key", "owner", "part"])
+    return one.unionByName(placed.select(one.columns))
+
+
 def remaining_links(owned: DataFrame, signs: DataFrame, docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Links in the buckets whose members still lie in two components or more.
 
     Most such buckets have FEW members or less: their pairs, no more than three for
     every two members, are compared once each. The members of a larger one are cut
-    into blocks of bounded size, and every two blocks meet in a task: first with signatures, which leaves the members
-    that have a partner, then with texts. Tasks give members and links, never
+    into chunks of bounded size, and every two chunks that differ in components meet
+    in a task with their signatures, which leaves the members that have a partner;
+    those meet with their texts, block by block. Tasks give members and links, never
     pairs, so a group of documents that are a little too different costs
     comparisons but no rows.
     """
@@ -220,21 +268,18 @@ def remaining_links(owned: DataFrame, signs: DataFrame, docs: DataFrame, thresho
         F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v")).distinct()
     of_few = verified(by_estimate(stage(pairs, "pairs"), signs, threshold), docs, threshold)
     # a pair whose first band is a bucket of few members has been looked at there
-    sized = rest.where(F.col("n") > FEW).drop("n").join(signs.select("doc_id", "n_words"), "doc_id")
-    before = Window.partitionBy("key").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    chunk = F.greatest(F.count("doc_id").over(before) / BLOCK, F.coalesce(F.sum("n_words").over(before), F.lit(0)) / BLOCK_WORDS)
-    sized = sized.withColumn("chunk", F.floor(chunk).cast("int")).drop("n_words")
-    chunks = sized.groupBy("key").agg((F.max("chunk") + 1).alias("chunks"))
-    blocks = sized.join(chunks, "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    blocks = blocks.withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")}).drop("other", "chunks")
-    sign = signs.select("doc_id", "n_shingles", "signature")
+    block = BLOCK
+    rows = chunk_rows(rest.where(F.col("n") > FEW), block * CHUNK_BLOCKS)
+    sign = signs.select("doc_id", "n_shingles", "n_words", "signature")
     # comparisons cost time and few bytes, so they are dealt to more tasks than their size asks for
     tasks = TASKS_TO_A_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    near = blocks.join(sign, "doc_id").repartition(tasks, "key", "low", "high").groupBy("key", "low", "high").applyInPandas(
-        lambda rows: _block_members(rows, threshold), "key long, low int, high int, band int, chunk int, doc_id long")
+    near = rows.join(sign, "doc_id").repartition(tasks, "key", "low", "high").groupBy("key", "low", "high").applyInPandas(
+        lambda rows: _block_members(rows, threshold, block),
+        "key long, low int, high int, block_low int, block_high int, doc_id long")
     members = stage(near, "members")
     full = members.join(texts_for(docs, members.select("doc_id")), "doc_id")
-    of_blocks = full.groupBy("key", "low", "high").applyInPandas(lambda rows: _block_links(rows, threshold), "u long, v long")
+    of_blocks = full.groupBy(*[x for x in _MEMBER if x != "doc_id"]).applyInPandas(
+        lambda rows: _block_links(rows, threshold), "u long, v long")
     return of_few.unionByName(of_blocks).distinct()
 
 

@@ -151,6 +151,29 @@ def test_a_group_that_hangs_together_by_chains(spark, monkeypatch, block):
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in found.items()} == expected
 
 
+def test_rows_of_a_large_group_grow_with_its_members(spark):
+    # (key, component sizes): one large component and strays, three components, all different, one that fits
+    groups = {1: [400, 1, 1, 1, 1, 1], 2: [30, 25, 8], 3: [1] * 23, 4: [9, 1]}
+    rows = [(key, sum(sizes), 0, place) for key, sizes in groups.items() for place, n in enumerate(sizes) for _ in range(n)]
+    rest = spark.createDataFrame(
+        [(*row[:3], i, row[3]) for i, row in enumerate(rows)], "key long, n long, band int, doc_id long, component long")
+    placed = minhash.chunk_rows(rest, 10).collect()
+    met, components_of = collections.Counter(), {r["doc_id"]: (r["key"], r["component"]) for r in rest.collect()}
+    tasks = collections.defaultdict(list)
+    for r in placed:
+        tasks[r["key"], r["low"], r["high"]].append((r["chunk"], r["doc_id"]))
+        assert r["chunk"] in (r["low"], r["high"])
+    for (_, low, high), members in tasks.items():
+        met.update(tuple(sorted((i, j))) for c, i in members for d, j in members
+                   if (low == high and i < j or c == low and d == high != low) and components_of[i][1] != components_of[j][1])
+    pairs = [(i, j) for i in components_of for j in components_of
+             if i < j and components_of[i][0] == components_of[j][0] and components_of[i][1] != components_of[j][1]]
+    assert met == collections.Counter(pairs)
+    # cut into 41 blocks that all meet each other these would be 16,605
+    assert sum(r["key"] == 1 for r in placed) <= 2 * 405
+    assert sum(r["key"] == 4 for r in placed) == 10
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(3)
     a = np.unique(rng.integers(0, 2**63, 4000).astype(np.uint64))
