@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from reviewlens.operators import text
+from reviewlens.session import materialize
 
 STOP = ["the", "of"]
 
@@ -50,6 +51,25 @@ def test_tfidf_equals_direct_counting(spark, bodies, low, share, limit, sublinea
     assert all(found[k] == pytest.approx(expected[k]) for k in expected)
 
 
+def test_rows_of_one_key_are_one_document(spark):
+    docs = spark.createDataFrame([(1, "sun moon"), (1, "sun sand"), (2, "sun moon sun"), (3, None), (4, "")], "id long, text string")
+    found = text.tfidf(docs, "id", text.clean_tokens("text"), stop_words=STOP, min_documents=2, max_share=1.0)
+    found = {(r["id"], r["term"]): r["weight"] for r in found.collect()}
+    sun, moon = (1 + math.log(2)) * (math.log(6 / 3) + 1), math.log(6 / 3) + 1
+    norm = math.sqrt(sun**2 + 2 * moon**2)
+    expected = {(i, t): w / norm for i in (1, 2) for t, w in (("sun", sun), ("moon", moon), ("sun moon", moon))}
+    assert found.keys() == expected.keys() and all(found[k] == pytest.approx(expected[k]) for k in expected)
+
+
+def test_terms_are_counted_without_holding_those_of_other_documents(spark, bodies, monkeypatch):
+    # no aggregate keeps (document, term) rows of a whole partition in memory, however many there are
+    written = []
+    monkeypatch.setattr(text, "materialize", lambda df: written.append(df._jdf.queryExecution().optimizedPlan().toString()) or materialize(df))
+    docs = spark.createDataFrame(list(bodies.items()), "id long, text string")
+    found = text.tfidf(docs, "id", text.clean_tokens("text"), stop_words=STOP, min_documents=2, max_share=1.0)
+    assert found.count() and not any("Aggregate" in plan and "id#" in plan.split("Aggregate")[1].split("\n")[0] for plan in written)
+
+
 def test_pairs_bridge_stop_words(spark):
     docs = spark.createDataFrame([(1, "sun of the moon"), (2, "sun moon")], "id long, text string")
     found = text.tfidf(docs, "id", text.clean_tokens("text"), stop_words=STOP, min_documents=2, max_share=1.0)
